@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 EARTH_RADIUS_KM = 6371.0
 
@@ -25,7 +25,7 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def geodesic_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
     """Metres on the WGS-84 ellipsoid (Vincenty inverse, whole batches at once)."""
     a, f = WGS84_MAJOR_M, WGS84_FLATTENING

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fleetspark.session import stored
+
 SPLITS = 255
 
 
@@ -46,7 +48,8 @@ def assign_ids(
     inside their slice and shifted by the number of keys in the slices before it. The cuts and
     the per-slice counts are at most SPLITS + 1 rows, whatever the number of keys.
     """
-    fresh = new_keys(candidates, existing, keys)
+    # The keys are read three times below; the candidates may be the whole history, so scan it once.
+    fresh = stored(new_keys(candidates, existing, keys), "keys")
     key = F.struct(*keys)
     cuts = (
         fresh.orderBy(F.xxhash64(*keys), *keys).limit(SPLITS)
