@@ -21,7 +21,10 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
     ``row_number() = 1`` lets Spark keep one row per key inside every map task before the
     shuffle, so a key with a huge number of copies never meets in one task.
+    Without an order the rows of a key are taken to be equal.
     """
+    if not order:
+        return df.dropDuplicates(keys)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
@@ -77,6 +80,11 @@ def assign_ids(
     return existing.select(F.col(id_col).cast(id_type).alias(id_col), *keys).unionByName(added)
 
 
+def sized_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast hint for a stored table that really is small; a larger one is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def edge_values(df: DataFrame, col: str) -> Column:
     """struct<lo, hi> of a column over the whole frame, as a scalar subquery."""
     return df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()

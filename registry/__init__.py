@@ -6,7 +6,7 @@ import importlib
 
 from registry.base import Query
 
-MODULES = ("facts",)
+MODULES = ("facts", "cleaning", "merging")
 
 
 def all_queries() -> list[Query]:

@@ -208,6 +208,24 @@ SELECT layer_order, name, CASE corners WHEN 4 THEN cx + r ELSE cx END, CASE corn
        CASE corners WHEN 4 THEN cx ELSE cx - r END, CASE corners WHEN 4 THEN cy + r ELSE cy END FROM {areas}
 UNION ALL
 SELECT layer_order, name, cx, cy + r, cx - r, cy FROM {areas} WHERE corners = 4""",
+    # report times per operator and day: one operator sends only the zero time, one sends old stamps
+    "reports": """
+SELECT event_type AS operator, cast(ts AS date) AS day, concat('v', cast(user_id AS string)) AS vehicle_id,
+       CASE WHEN event_type = 'signup' AND event_id % 23 = 0 THEN timestamp '2021-01-01 00:00:00' ELSE date_trunc('minute', ts) END AS last_updated,
+       CASE WHEN event_type = 'error' THEN timestamp '1754-08-30 22:43:41.128654'
+            WHEN event_type = 'click' AND event_id % 11 = 0 THEN timestamp '2022-06-01 00:00:00'
+            WHEN event_type IN ('view', 'click') AND event_id % 13 = 0 THEN NULL ELSE ts END AS last_reported,
+       event_id
+FROM {events}""",
+    "uris": """
+SELECT event_id,
+       concat(CASE event_id % 6 WHEN 0 THEN 'DOC:Vehicle:' WHEN 1 THEN 'DOD:Vehicle:' WHEN 2 THEN 'DOG:Vehicle:' WHEN 3 THEN 'DOJ:Vehicle:'
+                   WHEN 4 THEN 'LMG:Vehicle:' ELSE '' END, cast(user_id AS string)) AS vehicle_id,
+       CASE event_id % 4 WHEN 0 THEN concat('https://link.example/closest?t=b2&deep=app%3A%2F%2Fscooter%2Fn', cast(user_id AS string), '&campaign=x')
+            WHEN 1 THEN concat('https://www.callabike.de/bike?number=', cast(user_id AS string))
+            WHEN 2 THEN concat('https://www.regioradstuttgart.de/bike?number=', cast(user_id AS string)) END AS rental_uri_ios,
+       CASE WHEN event_id % 3 = 0 THEN concat('https://zeus.city/api/v1/applinks?vehicle=', cast(user_id AS string)) ELSE 'none' END AS rental_uri_web
+FROM {events}""",
     "cells": """
 SELECT row_number() OVER (ORDER BY lat, lng) AS location_id, lat, lng FROM (SELECT DISTINCT lat, lon AS lng FROM {snap}) d""",
 }
