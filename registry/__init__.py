@@ -6,7 +6,7 @@ import importlib
 
 from registry.base import Query
 
-MODULES = ("facts", "cleaning", "merging")
+MODULES = ("facts", "cleaning", "merging", "places")
 
 
 def all_queries() -> list[Query]:
