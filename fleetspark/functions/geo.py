@@ -15,7 +15,7 @@ WGS84_FLATTENING = 1 / 298.257223563
 
 def milli(degrees: Column) -> Column:
     """Degrees as whole thousandths, an exact join key for 3-decimal coordinates."""
-    return F.rint(degrees * 1000).cast("int")
+    return F.round(degrees * 1000).cast("int")
 
 
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
@@ -25,9 +25,8 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
-@F.pandas_udf(T.DoubleType())
-def geodesic_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
-    """Metres on the WGS-84 ellipsoid (Vincenty inverse, whole batches at once)."""
+def vincenty_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
+    """Metres on the WGS-84 ellipsoid by Vincenty's inverse formula, a whole batch at once."""
     a, f = WGS84_MAJOR_M, WGS84_FLATTENING
     b = (1 - f) * a
     u1 = np.arctan((1 - f) * np.tan(np.radians(lat1.to_numpy(float))))
@@ -65,6 +64,11 @@ def geodesic_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Serie
     return pd.Series(np.where(sin_s == 0, 0.0, metres), index=lat1.index)
 
 
+def geodesic_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
+    """Metres on the WGS-84 ellipsoid; the iteration runs in Python on Arrow batches."""
+    return F.pandas_udf(vincenty_m, T.DoubleType())(lat1, lng1, lat2, lng2)
+
+
 def ring_edges(rings: Column) -> Column:
     """array<ring<struct<x,y>>> to a flat array of edges; each ring is closed on itself."""
 

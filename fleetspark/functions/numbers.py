@@ -10,6 +10,15 @@ def half_even(value: Column, kind: str) -> Column:
     return F.rint(value).cast(kind)
 
 
+def decimals(value: Column, places: int) -> Column:
+    """Double to so many decimals, halves away from zero, decided on the scaled binary value.
+
+    Spark's ``round(x, n)`` decides on the printed number instead, which moves values such as 8.0095.
+    """
+    scale = float(10**places)
+    return F.round(value * scale) / scale
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 

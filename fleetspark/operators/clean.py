@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.geo import milli
-from fleetspark.functions.numbers import half_even, measured, number_or_null
+from fleetspark.functions.numbers import decimals, half_even, measured, number_or_null
 from fleetspark.operators.keys import sized_broadcast
 from fleetspark.session import stored
 
@@ -37,7 +37,7 @@ OLDEST_MICROS = int(OLDEST_REPORT.timestamp()) * 1_000_000
 
 def round_location(df: DataFrame, lat: str = "lat", lng: str = "lon") -> DataFrame:
     """Coordinates to 3 decimals, about 100 m."""
-    return df.withColumns({lat: F.round(F.col(lat), 3), lng: F.round(F.col(lng), 3)})
+    return df.withColumns({lat: decimals(F.col(lat), 3), lng: decimals(F.col(lng), 3)})
 
 
 def filter_names(df: DataFrame, column: str, names: list[str] | None) -> DataFrame:
@@ -204,7 +204,7 @@ def poi_clean(pois: DataFrame) -> DataFrame:
     return pois.where(
         (F.coalesce("fsq_id", F.lit("")) != "") & real("latitude") & real("longitude")
     ).select(
-        "fsq_id", text("name"), F.round("latitude", 3).alias("lat"), F.round("longitude", 3).alias("lng"),
+        "fsq_id", text("name"), decimals(F.col("latitude"), 3).alias("lat"), decimals(F.col("longitude"), 3).alias("lng"),
         text("categories"), unknown("popularity"), unknown("rating"), unknown("price"), text("hours_display"),
     )
 

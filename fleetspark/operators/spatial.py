@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.geo import haversine_km, inside, milli, ring_edges, wkt_point
+from fleetspark.functions.numbers import decimals
 from fleetspark.operators.keys import asc
 from fleetspark.session import stored
 
@@ -187,7 +188,7 @@ def stops_in_region(
 
 def group_nearby(locations: DataFrame) -> DataFrame:
     """2-decimal cells that hold a location, with the number of members."""
-    return locations.groupBy(F.round("lat", 2).alias("cell_lat"), F.round("lng", 2).alias("cell_lng")).agg(
+    return locations.groupBy(decimals(F.col("lat"), 2).alias("cell_lat"), decimals(F.col("lng"), 2).alias("cell_lng")).agg(
         F.count("*").alias("members"))
 
 
@@ -232,7 +233,7 @@ def geo_information(
     members. Locations already in ``known`` keep their stored row.
     """
     fresh = locations if known is None else locations.join(known.select("location_id"), "location_id", "left_anti")
-    fresh = fresh.withColumn("_glat", F.round("lat", 2)).withColumn("_glng", F.round("lng", 2))
+    fresh = fresh.withColumn("_glat", decimals(F.col("lat"), 2)).withColumn("_glng", decimals(F.col("lng"), 2))
     # Read once per layer, so kept as a table: about one row per square kilometre with locations.
     spots = stored(fresh.select("_glat", "_glng").distinct(), "cells")
     cells = spots

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fleetspark.functions.numbers import decimals
 from fleetspark.operators.clean import WEATHER_MEASURES
 
 
@@ -45,7 +46,7 @@ def coalesce_outer_merge(
 
 def attach_station(df: DataFrame, stations: DataFrame, on: list[str]) -> DataFrame:
     """Coordinates of the station a reading belongs to; readings of unknown stations are dropped."""
-    dim = stations.select(*on, F.round("lat", 3).alias("lat"), F.round("lng", 3).alias("lng")).dropDuplicates(on)
+    dim = stations.select(*on, decimals(F.col("lat"), 3).alias("lat"), decimals(F.col("lng"), 3).alias("lng")).dropDuplicates(on)
     return df.join(dim, on)
 
 

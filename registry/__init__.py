@@ -6,7 +6,7 @@ import importlib
 
 from registry.base import Query
 
-MODULES = ("facts", "cleaning", "merging", "places", "context")
+MODULES = ("facts", "cleaning", "merging", "places", "context", "storage")
 
 
 def all_queries() -> list[Query]:

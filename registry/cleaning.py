@@ -96,7 +96,6 @@ FROM {customer} WHERE c_custkey % 29 <> 0 AND c_custkey % 31 <> 0 AND c_custkey
 
 # ---------------------------------------------------------------------------------- feed upgrades
 
-IS_NEW = F.col("event_id") % 5 == 0
 IS_NEW_SQL = "event_id % 5 = 0"
 TEXT_KIND = "array<struct<text: string, language: string>>"
 
@@ -108,7 +107,7 @@ def documents(t: Source, old_data, new_data):
     new = F.to_json(F.struct(
         F.date_format(F.timestamp_seconds(epoch), "yyyy-MM-dd'T'HH:mm:ssxxx").alias("last_updated"),
         F.lit("3.0").alias("version"), new_data.alias("data")))
-    return t("events").select("event_id", F.when(IS_NEW, new).otherwise(old).alias("json"))
+    return t("events").select("event_id", F.when(F.col("event_id") % 5 == 0, new).otherwise(old).alias("json"))
 
 
 def text_list(value):

@@ -141,11 +141,8 @@ def named_readings(t: Source):
 # --------------------------------------------------------------------------------------- calendars
 
 CODES = [*WHOLE_CODES, *REGION_CODES, *CANTONS, "CZ-US-UL", "IT-ER-BO", "PT-LI-OE", "CH-AG-BA-BA", "CH-XX-YY", "DE-BW", "US-CA"]
-ALL_CODES = F.array(*(F.lit(c) for c in CODES))
-
-
 def code_at(position):
-    return F.element_at(ALL_CODES, (position % len(CODES) + 1).cast("int"))
+    return F.element_at(F.array(*(F.lit(c) for c in CODES)), (position % len(CODES) + 1).cast("int"))
 
 
 VALUES_SQL = ", ".join(

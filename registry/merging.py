@@ -8,11 +8,14 @@ from fleetspark.operators import merge
 from fleetspark.operators.keys import asc, union_all
 from registry.base import Query, Source
 
-BY_EVENT = asc("event_id")
+
+
+def by_event():
+    return asc("event_id")
 
 
 def merged(t: Source) -> DataFrame:
-    return merge.merge_snapshots(t("feed_a"), t("feed_b"), order=BY_EVENT)
+    return merge.merge_snapshots(t("feed_a"), t("feed_b"), order=by_event())
 
 
 MERGED_SQL = """
@@ -57,7 +60,7 @@ def recording(t: Source, source: str, step: int, legacy: bool) -> DataFrame:
 def operator_feeds(t: Source) -> DataFrame:
     return merge.merge_operator_feeds(
         recording(t, "native_a", 2, False), recording(t, "legacy_a", 1, True),
-        recording(t, "native_b", 4, False), recording(t, "legacy_b", 3, True), order=BY_EVENT)
+        recording(t, "native_b", 4, False), recording(t, "legacy_b", 3, True), order=by_event())
 
 
 def recording_sql(source: str, step: int) -> str:

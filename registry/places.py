@@ -86,7 +86,7 @@ def by_geodesic(t: Source):
     """Vehicle cells against each point's neighbour cell: ellipsoid and sphere agree to 0.6 percent."""
     df = t("snap").select("lat", "lon").distinct().select(
         "lat", F.col("lon").alias("lng"), (F.col("lat") + 0.013).alias("lat2"), (F.col("lon") + 0.021).alias("lng2"))
-    metres = geodesic_m("lat", "lng", "lat2", "lng2")
+    metres = geodesic_m(*(F.col(c) for c in ("lat", "lng", "lat2", "lng2")))
     sphere = haversine_km(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) * 1000
     return df.withColumn("m", metres).withColumn("s", sphere).select(
         "lat", "lng", F.round("s", 4).alias("sphere_m"), (F.abs(F.col("m") - F.col("s")) < 0.006 * F.col("s")).alias("close"))
