@@ -90,7 +90,8 @@ def trip_candidates(pairs: DataFrame, metres: str = "sphere") -> DataFrame:
     """
     ends = [F.col(c) for c in ("lat_lend", "lng_lend", "lat_return", "lng_return")]
     length = geodesic_m(*ends) if metres == "ellipsoid" else haversine_km(*ends) * 1000
-    hours = F.col("time_diff") / 3600
+    # The planner may test the speed before the gap, so a zero gap must not raise.
+    hours = F.nullif(F.col("time_diff"), F.lit(0)) / 3600
     measured = pairs.withColumn("distance", F.floor(length).cast("int")).where(F.col("distance") <= MAX_METRES).withColumns({
         "speed": F.round(F.col("distance") / 1000 / hours, 2),
         "speed_range_based": F.round(F.col("range_diff") / 1000 / hours, 2),
@@ -125,11 +126,12 @@ def trip_features(known_trips: DataFrame, locations: DataFrame) -> DataFrame:
             "range_diff": F.col("current_range_meters_lend") - F.col("current_range_meters_return"),
             "distance": F.floor(haversine_km(*ends) * 1000).cast("int"),
         })
-        .where("time_diff > 0")
+        .withColumn("_hours", F.nullif(F.col("time_diff"), F.lit(0)) / 3600)
         .withColumns({
-            "speed": F.round(F.col("distance") / 1000 / (F.col("time_diff") / 3600), 2),
-            "speed_range_based": F.round(F.col("range_diff") / 1000 / (F.col("time_diff") / 3600), 2),
+            "speed": F.round(F.col("distance") / 1000 / F.col("_hours"), 2),
+            "speed_range_based": F.round(F.col("range_diff") / 1000 / F.col("_hours"), 2),
         })
+        .drop("_hours").where("time_diff > 0")
         .dropna(subset=FEATURES)
     )
 

@@ -15,13 +15,13 @@ def gtfs_join(
 ) -> DataFrame:
     """Well-formed stop times at the given (located) stops, with route names and service days.
 
-    Trips meet the short tables first, so the long stop_times table joins once by trip.
+    The two long tables meet first, by trip and on few columns; the short route and calendar tables
+    are joined to the result where it stands. Stop ids are unique in ``stops``.
     """
-    runs = trips.join(routes, "route_id").join(calendar, "service_id").select(
-        "trip_id", "route_long_name", "route_short_name", "route_type", *WEEKDAYS, "start_date", "end_date")
-    located = stops.select("stop_id").distinct()
     return (
-        valid_stop_times(stop_times).join(located, "stop_id", "left_semi").join(runs, "trip_id")
+        valid_stop_times(stop_times).join(stops.select("stop_id"), "stop_id", "left_semi")
+        .join(trips.select("trip_id", "route_id", "service_id"), "trip_id")
+        .join(routes, "route_id").join(calendar, "service_id")
         .select("route_long_name", "route_short_name", "route_type", "stop_id", "arrival_time", "departure_time",
                 *WEEKDAYS, "start_date", "end_date")
     )
@@ -33,20 +33,21 @@ def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
     Hours from 24 on fall on the following days; rows with unreadable times are left out. Each row
     is expanded where it stands, no shuffle. Local times of ``tz`` become UTC stamps.
     """
-    active = F.array(*(F.col(d).cast("int") for d in WEEKDAYS))
-    first, last = F.col("start_date").cast("date"), F.col("end_date").cast("date")
-    days = F.filter(
-        F.sequence(first, F.greatest(first, last)),
-        lambda d: (d <= last) & (F.get(active, F.weekday(d)) != 0))
+    # The active days as bits, tested after the explode: both stay in generated code.
+    bits = sum((F.when(F.col(d).cast("int") != 0, 1 << i).otherwise(0) for i, d in enumerate(WEEKDAYS)), F.lit(0))
+    # Days as plain numbers since 1970-01-01, a Thursday.
+    first, last = (F.unix_date(F.col(c).cast("date")) for c in ("start_date", "end_date"))
     timed = (
         joined.withColumn("_a", day_seconds(F.col("arrival_time"))).withColumn("_d", day_seconds(F.col("departure_time")))
-        .where(F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last))
-        .withColumn("_day", F.explode(days))
+        .withColumn("_bits", bits)
+        .where(F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last) & (F.col("_bits") != 0))
+        .withColumn("_day", F.explode(F.sequence(first, last)))
+        .where(F.getbit("_bits", F.pmod(F.col("_day") + 3, F.lit(7))) == 1)
     )
     keep = [c for c in ("stop_id", "location_id") if c in joined.columns]
 
     def stamp(seconds: str):
-        local = F.timestamp_seconds(F.unix_date("_day").cast("bigint") * 86400 + F.col(seconds))
+        local = F.timestamp_seconds(F.col("_day").cast("bigint") * 86400 + F.col(seconds))
         return local if tz == "UTC" else F.to_utc_timestamp(local, tz)
 
     return timed.select(

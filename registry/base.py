@@ -24,6 +24,12 @@ class Query:
     sql: str | None = None
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share the rows of an input with fewer splits than cores; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     naive = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]

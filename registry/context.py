@@ -10,7 +10,8 @@ from fleetspark.operators.clean import WEATHER_MEASURES, sentinel_to_null, valid
 from fleetspark.operators.keys import asc
 from fleetspark.operators.lookup import with_location_id
 from fleetspark.plans.rotating import rotating_trips
-from registry.base import NETWORKS, Query, Source
+from fleetspark.session import stored
+from registry.base import NETWORKS, Query, Source, spread
 from registry.facts import locations, trips
 
 # --------------------------------------------------------------------------------- rotating fleets
@@ -54,7 +55,9 @@ def model(t: Source):
 
 
 def timetable(t: Source):
-    return transit.gtfs_join(t("stop_times"), t("gtfs_trips"), t("routes"), t("calendar"), valid_stops(t("stops")))
+    located = stored(valid_stops(t("stops")).select("stop_id"), "located")
+    landed = stored(spread(t("stop_times")), "stop_times")
+    return transit.gtfs_join(landed, t("gtfs_trips"), t("routes"), t("calendar"), located)
 
 
 TIMETABLE_SQL = """
