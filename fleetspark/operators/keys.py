@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetspark.session import stored
 
 SPLITS = 255
+ONE_TASK_KEYS = 200_000
 
 
 def asc(*names: str) -> list[Column]:
@@ -37,22 +38,8 @@ def new_keys(candidates: DataFrame, dictionary: DataFrame | None, keys: list[str
     return found.join(dictionary.select(*keys), keys, "left_anti")
 
 
-def assign_ids(
-    candidates: DataFrame,
-    keys: list[str],
-    id_col: str,
-    existing: DataFrame | None = None,
-    id_type: str = "int",
-) -> DataFrame:
-    """Dictionary with new keys numbered ``max(id) + 1 ..`` in key order; old ids never change.
-
-    A global ``row_number()`` would sort every key in one task. Instead at most SPLITS keys,
-    picked evenly by hash, cut the key range into slices of similar size; rows are numbered
-    inside their slice and shifted by the number of keys in the slices before it. The cuts and
-    the per-slice counts are at most SPLITS + 1 rows, whatever the number of keys.
-    """
-    # The keys are read three times below; the candidates may be the whole history, so scan it once.
-    fresh = stored(new_keys(candidates, existing, keys), "keys")
+def _sliced_ids(fresh: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys with their position ``_nth`` in key order, numbered slice by slice."""
     key = F.struct(*keys)
     cuts = (
         fresh.orderBy(F.xxhash64(*keys), *keys).limit(SPLITS)
@@ -65,16 +52,35 @@ def assign_ids(
     )
     counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col("_slice"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
+    offsets = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     nth = F.row_number().over(Window.partitionBy("_slice").orderBy(*keys))
+    # offsets: at most SPLITS + 1 rows
+    return sliced.join(F.broadcast(offsets), "_slice").select((nth + F.col("_offset")).alias("_nth"), *keys)
+
+
+def assign_ids(
+    candidates: DataFrame,
+    keys: list[str],
+    id_col: str,
+    existing: DataFrame | None = None,
+    id_type: str = "int",
+    one_task_keys: int = ONE_TASK_KEYS,
+) -> DataFrame:
+    """Dictionary with new keys numbered ``max(id) + 1 ..`` in key order; old ids never change.
+
+    Up to ``one_task_keys`` new keys (counted first) are numbered by one window. More would sort in
+    one task, so then at most SPLITS keys, picked evenly by hash, cut the key range into slices of
+    similar size; rows are numbered inside their slice and shifted by the number of keys in the
+    slices before it. The cuts and the per-slice counts are at most SPLITS + 1 rows.
+    """
+    # The keys are read several times below; the candidates may be the whole history, so scan it once.
+    fresh = stored(new_keys(candidates, existing, keys), "keys")
     base = F.lit(0) if existing is None else existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    added = (
-        # offsets: at most SPLITS + 1 rows
-        sliced.join(F.broadcast(offsets), "_slice")
-        .select((nth + F.col("_offset") + base).cast(id_type).alias(id_col), *keys)
-    )
+    if fresh.count() <= one_task_keys:
+        nth = F.row_number().over(Window.orderBy(*keys))
+        added = fresh.select((nth + base).cast(id_type).alias(id_col), *keys)
+    else:
+        added = _sliced_ids(fresh, keys).select((F.col("_nth") + base).cast(id_type).alias(id_col), *keys)
     if existing is None:
         return added
     return existing.select(F.col(id_col).cast(id_type).alias(id_col), *keys).unionByName(added)

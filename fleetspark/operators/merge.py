@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetspark.operators.keys import asc, keep_first
+from fleetspark.operators.keys import asc, keep_first, union_all
 from fleetspark.operators.upgrade import upgrade_free_bike_status
+from fleetspark.session import stored
 
 
 def align_schemas(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -29,6 +30,25 @@ def _rest(df: DataFrame, keys: list[str]) -> list[Column]:
     return asc(*(c for c in simple if c not in keys))
 
 
+def merge_ranked(
+    frames: list[DataFrame], ts: str = "last_updated", entity: str = "vehicle_id",
+    scope: list[str] | None = None, order: list[Column] | None = None,
+) -> DataFrame:
+    """Recordings in order of precedence: every (scope, instant) is taken from the first that has it.
+
+    Which recording owns an instant needs only the instants, aggregated before any shuffle and kept
+    as a table; while that table is small Spark broadcasts it and the rows shuffle once, for keep-one.
+    """
+    scope = scope or []
+    keys = [*scope, ts, entity]
+    order = order or _rest(frames[0], keys)
+    columns = frames[0].columns
+    rows = union_all(*(df.withColumn("_rank", F.lit(i)) for i, df in enumerate(frames)))
+    owners = stored(rows.where(F.col(ts).isNotNull()).groupBy(*scope, ts).agg(F.min("_rank").alias("_owner")), "owners")
+    own = rows.join(owners, [*scope, ts], "left").where(F.col("_owner").isNull() | (F.col("_owner") == F.col("_rank")))
+    return keep_first(own.select(*columns), keys, order)
+
+
 def merge_snapshots(
     a: DataFrame, b: DataFrame, ts: str = "last_updated", entity: str = "vehicle_id",
     scope: list[str] | None = None, order: list[Column] | None = None,
@@ -38,14 +58,7 @@ def merge_snapshots(
     ``scope`` (operator, day) limits the comparison. A scope or instant only one side has is kept
     whole. ``order`` says which of equal keys wins; by default the smallest of the other columns.
     """
-    a, b = align_schemas(a, b)
-    scope = scope or []
-    keys = [*scope, ts, entity]
-    order = order or _rest(a, keys)
-    instants = a.select(*scope, ts).distinct()
-    fresh = b.join(instants, [*scope, ts], "left_anti").select(*b.columns)
-    # One pass of keep-one serves both sides: their instants cannot meet.
-    return keep_first(a.unionByName(fresh), keys, order)
+    return merge_ranked(list(align_schemas(a, b)), ts, entity, scope, order)
 
 
 def merge_station_network(a: dict[str, DataFrame], b: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -77,10 +90,10 @@ def merge_operator_feeds(
     Old rows are upgraded; inside a recording they come first, then the native rows; then the first
     recording comes before the second. Operators and days found in one input pass through.
     """
-    scope = list(scope)
-    one = merge_snapshots(upgrade_free_bike_status(legacy_a), native_a, scope=scope, order=order)
-    two = merge_snapshots(upgrade_free_bike_status(legacy_b), native_b, scope=scope, order=order)
-    return merge_snapshots(one, two, scope=scope, order=order)
+    frames = [upgrade_free_bike_status(legacy_a), native_a, upgrade_free_bike_status(legacy_b), native_b]
+    first = frames[0]
+    aligned = [align_schemas(first, df) for df in frames]
+    return merge_ranked([aligned[0][0], *(b for _, b in aligned[1:])], scope=list(scope), order=order)
 
 
 def merge_documents(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

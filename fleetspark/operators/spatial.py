@@ -87,9 +87,10 @@ def point_in_polygon(
     """Attach the name of the first polygon (lowest layer_order) around each point.
 
     A point outside all polygons gets "" (0 when ``numeric``; so does a name that is no number).
-    Distinct coordinates are looked up once, then joined back. Boundary points follow the even-odd rule.
+    Distinct coordinates are looked up once and kept as a table; while it is small Spark broadcasts it
+    and the points are not shuffled. Boundary points follow the even-odd rule.
     """
-    first = _first_polygon(points, layer, lat, lng)
+    first = stored(_first_polygon(points, layer, lat, lng), "names")
     return points.join(first, [lat, lng], "left").withColumn(result, _shown(numeric)).drop("_name")
 
 
@@ -103,6 +104,7 @@ def split_by_polygon(
     """
     within = containing(df if only is None else df.where(only), boundary, lat, lng).select(
         lat, lng, F.lit(True).alias("_in")).distinct()
+    within = stored(within, "inside")
     known = F.col(lat).isNotNull() & F.col(lng).isNotNull()
     new = F.when(~known, F.col(column)).when(F.col("_in"), F.lit(inside_name)).otherwise(F.lit(outside_name))
     if only is not None:
@@ -148,7 +150,7 @@ def nearest(
     if max_km is not None:
         pairs = pairs.where(F.col("_km") <= max_km)
     best = pairs.groupBy(lat, lng).agg(F.min(F.struct("_km", "_site")).alias("_best"))
-    return points.join(best, [lat, lng]).select(
+    return points.join(stored(best, "nearest"), [lat, lng]).select(
         "*", F.col("_best._site").alias(site), F.col("_best._km").alias("distance_km")).drop("_best")
 
 

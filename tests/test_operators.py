@@ -84,15 +84,16 @@ def test_demand_counts_every_known_end(spark):
     assert tuple(total) == (2, 2)
 
 
-def test_ids_are_dense_ordered_and_stable(spark):
+@pytest.mark.parametrize("one_task", [0, 10**6])
+def test_ids_are_dense_ordered_and_stable(spark, one_task):
     rng = random.Random(1)
     names = [("CAB:Station:" + str(rng.randrange(10**6)),) for _ in range(3000)] + [("hot",)] * 2000 + [(None,)]
     df = spark.createDataFrame(names, "name string")
-    first = assign_ids(df, ["name"], "id")
+    first = assign_ids(df, ["name"], "id", one_task_keys=one_task)
     got = {r["name"]: r["id"] for r in first.collect()}
     distinct = sorted({n for (n,) in names if n})
     assert got == {n: i + 1 for i, n in enumerate(distinct)}
-    second = assign_ids(spark.createDataFrame([("aaa",), ("hot",), ("zzz",)], "name string"), ["name"], "id", existing=first)
+    second = assign_ids(spark.createDataFrame([("aaa",), ("hot",), ("zzz",)], "name string"), ["name"], "id", existing=first, one_task_keys=one_task)
     again = {r["name"]: r["id"] for r in second.collect()}
     assert {k: again[k] for k in got} == got
     assert (again["aaa"], again["zzz"]) == (len(distinct) + 1, len(distinct) + 2)
