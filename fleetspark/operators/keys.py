@@ -45,10 +45,12 @@ def _sliced_ids(fresh: DataFrame, keys: list[str]) -> DataFrame:
         fresh.orderBy(F.xxhash64(*keys), *keys).limit(SPLITS)
         .agg(F.array_sort(F.collect_list(key)).alias("cuts"))
     )
-    # One row holding one array: a subquery evaluated once and shipped with the tasks.
-    sliced = (
+    # One row holding one array: a subquery evaluated once and shipped with the tasks. The slices are
+    # kept as a table, they are both counted and numbered.
+    sliced = stored(
         fresh.withColumn("_cuts", cuts.scalar())
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= key))).drop("_cuts")
+        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= key))).drop("_cuts"),
+        "slices",
     )
     counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

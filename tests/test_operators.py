@@ -334,3 +334,15 @@ def test_polygon_layer_file(spark, tmp_path):
     layer = read_polygon_layer(spark, str(tmp_path / "l.json"), "GEN")
     points = spark.createDataFrame([(0.5, 0.5), (1.5, 1.5), (8.1, 8.5), (7.0, 7.0)], "lat double, lng double")
     assert rows(spatial.point_in_polygon(points, layer)) == [(0.5, 0.5, "a"), (1.5, 1.5, "m"), (7.0, 7.0, ""), (8.1, 8.5, "m")]
+
+
+def test_facts_are_stable_when_run_again(spark, tmp_path):
+    from fleetspark.plans.facts import update_facts
+
+    df = snaps(spark, (0, 0, 9, 9, None), (1, 1, 8, 8, None), (30, 2, 7, 7, None), (50, 0, 6, 6, None)).withColumn("vehicle_id", F.lit("DOC:Vehicle:v"))
+    root = str(tmp_path / "facts")
+    first = {n: rows(t) for n, t in update_facts(df, root, {"n": 1}, "dott").items()}
+    again = {n: rows(t) for n, t in update_facts(df, root, {"n": 1}, "dott").items()}
+    assert first == again
+    assert len(first["trips"]) == 3 and len(first["availability"]) == 4 and len(first["demand"]) == 2
+    assert {r[0] for r in first["trips"]} == {"v"}
