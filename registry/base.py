@@ -145,24 +145,22 @@ FROM {lineitem}""",
     "gtfs_trips": """
 SELECT o_orderkey AS trip_id, o_custkey % 50 AS route_id, o_custkey % 20 AS service_id FROM {orders}""",
     "routes": """
-SELECT DISTINCT o_custkey % 50 AS route_id,
-       CASE WHEN o_custkey % 50 = 7 THEN NULL ELSE concat('Line ', cast(o_custkey % 50 AS string)) END AS route_long_name,
-       concat('L', cast(o_custkey % 50 AS string)) AS route_short_name,
-       cast(o_custkey % 50 % 4 AS int) AS route_type
-FROM {orders}""",
+SELECT r AS route_id, CASE WHEN r = 7 THEN NULL ELSE concat('Line ', cast(r AS string)) END AS route_long_name,
+       concat('L', cast(r AS string)) AS route_short_name, cast(r % 4 AS int) AS route_type
+FROM (SELECT DISTINCT o_custkey % 50 AS r FROM {orders}) o""",
     "calendar": """
-SELECT DISTINCT s AS service_id,
+SELECT s AS service_id,
        CASE WHEN s % 2 = 0 THEN 1 ELSE 0 END AS monday, 1 AS tuesday, CASE WHEN s % 3 = 0 THEN 1 ELSE 0 END AS wednesday,
        0 AS thursday, CASE WHEN s % 5 < 3 THEN 1 ELSE 0 END AS friday, CASE WHEN s % 7 = 0 THEN 1 ELSE 0 END AS saturday, 0 AS sunday,
        date '2024-01-01' AS start_date, date '2024-01-14' AS end_date
-FROM (SELECT o_custkey % 20 AS s FROM {orders}) o""",
+FROM (SELECT DISTINCT o_custkey % 20 AS s FROM {orders}) o""",
     # stop coordinates as text; a few cannot be read or lie outside the globe
     "stops": """
-SELECT DISTINCT l_partkey AS stop_id, concat('Stop ', cast(l_partkey AS string)) AS stop_name,
+SELECT l_partkey AS stop_id, concat('Stop ', cast(l_partkey AS string)) AS stop_name,
        CASE WHEN l_partkey % 97 = 13 THEN 'n/a' WHEN l_partkey % 97 = 14 THEN ' ' WHEN l_partkey % 97 = 15 THEN '149.4'
             ELSE cast(49.4 + cast(l_partkey % 1000 AS double) / cast(1000 AS double) AS string) END AS stop_lat,
        cast(8.4 + cast(l_partkey % 11 AS double) / cast(1000 AS double) AS string) AS stop_lon
-FROM {lineitem}""",
+FROM (SELECT DISTINCT l_partkey FROM {lineitem}) l""",
     "weather_long": """
 SELECT user_id % 20 AS station_id, date_trunc('hour', ts) AS obs_ts, event_id AS seq,
        CASE event_type WHEN 'view' THEN 'wind_speed' WHEN 'click' THEN 'temperature' WHEN 'error' THEN 'humidity'
