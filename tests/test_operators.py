@@ -346,3 +346,16 @@ def test_facts_are_stable_when_run_again(spark, tmp_path):
     assert first == again
     assert len(first["trips"]) == 3 and len(first["availability"]) == 4 and len(first["demand"]) == 2
     assert {r[0] for r in first["trips"]} == {"v"}
+
+
+def test_station_history_and_demographics_files(spark, tmp_path):
+    from fleetspark.sources.context import read_demographics
+    from fleetspark.sources.weather import read_station_history
+
+    (tmp_path / "station_17.json").write_text('{"data": {"2024-01-01T00:00:00Z": {"t2m_med": 1.239, "wr_med": 359.9}}}')
+    r = read_station_history(spark, str(tmp_path / "station_17.json")).first()
+    assert (r.station_id, r.timestamp, r.temperature, r.humidity, r.wind_direction) == ("17", T0, 1.24, None, 359)
+    (tmp_path / "d.json").write_text("""{"geographies": [{"features": [], "themes": []}, {"features": [{"name": "a"}, {"name": "b"}],
+      "themes": [{"name": "age", "indicators": [{"name": "people", "date": "2023", "values": ["1.5", "x", "3"]}, {"name": "people", "date": "2019", "values": ["1"]}]}]}]}""")
+    found = read_demographics(spark, str(tmp_path / "d.json")).select("topic", "area", "value")
+    assert rows(found) == [("age", "a", 1.5), ("age", "b", None)]
