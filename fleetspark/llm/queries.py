@@ -7,6 +7,8 @@ import importlib
 # name -> (module, function, SQL or None)
 _REGISTERED = {
     "op1_quality_rules": ("quality", "OP1_SQL"),
+    "op6_suffix_array_dedup": ("suffixes", None),
+    "op8_simhash_near_dedup": ("simhash", None),
 }
 
 
