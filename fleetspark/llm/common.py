@@ -44,3 +44,19 @@ def same(left: DataFrame, right: DataFrame, names: Iterable[tuple[str, str]]) ->
 
 def splits(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str, prefix: str = "numbered") -> DataFrame:
+    """Stored rows of ``df`` with their position 0, 1, .. in ``order``: ranges are sorted apart and shifted by the
+    counts of the ranges before them, of which there are as many as shuffle partitions."""
+    from pyspark.sql import Window
+
+    from fleetspark.session import stored
+
+    ranged = stored(df.repartitionByRange(*order).withColumn("_llm_range", F.spark_partition_id()), prefix)
+    counts = ranged.groupBy("_llm_range").agg(F.count("*").alias("_llm_n"))
+    before = Window.orderBy("_llm_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select("_llm_range", F.coalesce(F.sum("_llm_n").over(before), F.lit(0)).alias("_llm_shift"))
+    inside = F.row_number().over(Window.partitionBy("_llm_range").orderBy(*order)) - 1
+    return ranged.join(F.broadcast(shift), "_llm_range").withColumn(
+        name, (inside + F.col("_llm_shift")).cast("long")).drop("_llm_range", "_llm_shift")

@@ -7,8 +7,11 @@ import importlib
 # name -> (module, function, SQL or None)
 _REGISTERED = {
     "op1_quality_rules": ("quality", "OP1_SQL"),
+    "op4_piece_encoding": ("pieces", None),
     "op6_suffix_array_dedup": ("suffixes", None),
+    "op7_mix_sources": ("mixing", None),
     "op8_simhash_near_dedup": ("simhash", None),
+    "op9_virtual_slots": ("sharding", None),
 }
 
 
