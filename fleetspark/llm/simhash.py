@@ -23,6 +23,7 @@ from fleetspark.session import stored
 
 SEED = 42
 CHUNK = 1 << 16
+PAIRS_PER_TASK = 64
 
 
 def fingerprint(data: bytes, shingle: int) -> int:
@@ -117,8 +118,8 @@ def fingerprint_links(fingerprints: DataFrame, radius: int = 3, tile: int = 4096
     left = tiles.withColumn("step", step).select(
         (F.col("hi") + F.col("step.i")).alias("hi"), (F.col("lo") + F.col("step.j")).alias("lo"),
         F.col("tile").alias("other"), F.expr("step.i = 0 AND step.j = 0").alias("own"), F.col("fps").alias("a"))
-    pairs = left.join(tiles, ["hi", "lo"]).where("NOT own OR other <= tile").select(
-        "a", F.col("fps").alias("b"), F.expr("own AND other = tile").alias("same"))
+    matched = left.join(tiles, ["hi", "lo"]).where("NOT own OR other <= tile")
+    pairs = matched.select("a", F.col("fps").alias("b"), F.expr("own AND other = tile").alias("same"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,13 +130,8 @@ def fingerprint_links(fingerprints: DataFrame, radius: int = 3, tile: int = 4096
                 yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(q.view(np.int64))], ["a", "b"])
 
     # A row is a pair of tiles: dealt out evenly, as a few cells hold most of the pairs.
-    return pairs.repartition(_pair_tasks(tiles)).mapInArrow(compare, "a long, b long")
-
-
-def _pair_tasks(tiles: DataFrame) -> int:
-    """Enough tasks for the tile pairs, of which each tile meets at most all."""
-    n = tiles.count()
-    return max(8, min(n * n // 16, 20_000))
+    tasks = 1 + matched.count() // PAIRS_PER_TASK
+    return pairs.repartition(tasks).mapInArrow(compare, "a long, b long")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 3,
