@@ -7,11 +7,14 @@ import importlib
 # name -> (module, function, SQL or None)
 _REGISTERED = {
     "op1_quality_rules": ("quality", "OP1_SQL"),
+    "op3_chat_formatting": ("chat", "OP3_SQL"),
     "op4_piece_encoding": ("pieces", None),
+    "op5_warc_derivatives": ("warc", None),
     "op6_suffix_array_dedup": ("suffixes", None),
     "op7_mix_sources": ("mixing", None),
     "op8_simhash_near_dedup": ("simhash", None),
     "op9_virtual_slots": ("sharding", None),
+    "op10_lattice_scoring": ("lattice", None),
 }
 
 
