@@ -6,18 +6,13 @@ Columns that an operator adds replace input columns of the same name; names begi
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterable
 
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BLANKS = " \t\n\x0b\f\r"
 BREAK = "[\\x20\\x09-\\x0D]+"
 
-# Functions sent to executors carry their code with them: executors need not have the package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -30,14 +30,15 @@ from fleetspark.llm.common import table
 DATE = "2024-01-01T00:00:00Z"
 RECORD = "record_type string, record_id string, refers_to string, target_uri string, content_length long, block_digest string, record binary"
 
+# Each begins with a plain "<", which the regex engine finds fast; case is ignored inside.
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?[a-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>|<[!?][^>]*>", re.S | re.I)
+    r"<(?:!--.*?(?:-->|\Z)|((?i:script|style|noscript|template))\b(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+>.*?(?:</(?i:\1)\s*>|\Z)"
+    r"|(/?[A-Za-z][^\s/>]*)(?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+>|[!?][^>]*>)", re.S)
 _BREAKS = frozenset("""address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4
 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead title tr ul""".split())
-_LINK = re.compile(r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_HEAD = re.compile(r"<head\b.*?</head\s*>", re.S | re.I)
+_LINK = re.compile(r"""<[aA]\s(?:[^>]*?\s)?(?i:href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
+_TITLE = re.compile(r"<(?i:title)\b[^>]*>(.*?)</(?i:title)\s*>", re.S)
+_HEAD = re.compile(r"<(?i:head)\b.*?</(?i:head)\s*>", re.S)
 
 
 def digest(data: bytes) -> str:
@@ -119,8 +120,8 @@ def plain_text(page: str) -> str:
     def of(m: re.Match) -> str:
         return "\n" if m[2] and m[2].lstrip("/").lower() in _BREAKS else ""
 
-    flat = re.sub(r"\s+", " ", _HEAD.sub("", page))
-    lines = (re.sub(r"[ \t\r\f\v\xa0]+", " ", x).strip() for x in html.unescape(_TAG.sub(of, flat)).split("\n"))
+    flat = _HEAD.sub("", page).replace("\r", " ").replace("\n", " ")
+    lines = (" ".join(x.split()) for x in html.unescape(_TAG.sub(of, flat)).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
