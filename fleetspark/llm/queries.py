@@ -7,6 +7,7 @@ import importlib
 # name -> (module, function, SQL or None)
 _REGISTERED = {
     "op1_quality_rules": ("quality", "OP1_SQL"),
+    "op2_embedding_near_dedup": ("graph", None),
     "op3_chat_formatting": ("chat", "OP3_SQL"),
     "op4_piece_encoding": ("pieces", None),
     "op5_warc_derivatives": ("warc", None),
