@@ -170,7 +170,8 @@ def _judge(runs: DataFrame) -> DataFrame:
     """Repeated runs (open = false), and the first runs of digits with several classes (open = true)."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, classes, waiting = None, 0, None  # last (digit, kind); classes of its digit so far; its only first run
+        # last (digit, kind); classes of its digit so far; its only first run; the first run of the last class
+        last, classes, waiting, head = None, 0, None, np.zeros((1, 4), np.int64)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -187,9 +188,14 @@ def _judge(runs: DataFrame) -> DataFrame:
             opened = rows[firsts & several]
             if waiting is not None and number[0] > 1:
                 opened = np.concatenate([waiting, opened])
-            repeats = [rows[same]]
-            repeats += [np.frombuffer(x.as_py(), np.int64).reshape(-1, 4) for x in batch.column(6) if x.is_valid]
-            repeats = np.concatenate(repeats)
+            heads = np.concatenate([head, rows[firsts]])
+            of = np.cumsum(firsts)  # the class of a row, 0: the one that the batch before ended with
+            packed = [(k, np.frombuffer(x.as_py(), np.int64).reshape(-1, 4)) for k, x in enumerate(batch.column(6)) if x.is_valid]
+            repeats = np.concatenate([rows[same], *(x for _, x in packed)])
+            own = heads[np.concatenate([of[same], *(np.full(len(x), of[k]) for k, x in packed)])]
+            # A row that repeats the first one's document is the same run.
+            repeats = repeats[(repeats[:, :3] != own[:, :3]).any(axis=1)]
+            head = heads[-1:]
             out = np.concatenate([repeats, opened])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 2]), pa.array(out[:, 3].astype(np.int32)),
