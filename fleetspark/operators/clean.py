@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.geo import milli
 from fleetspark.functions.numbers import decimals, half_even, measured, number_or_null
-from fleetspark.operators.keys import sized_broadcast
 from fleetspark.session import stored
 
 # Id prefixes some feeds put before the vehicle number.
@@ -92,29 +91,28 @@ def whole_metres(value: Column) -> Column:
 
 
 def sanitize_reported(df: DataFrame, scope: list[str] | None = None) -> DataFrame:
-    """Repair or drop impossible report times, judged per ``scope`` group (one operator and day).
+    """Repair or drop impossible times, judged per ``scope`` group (one operator and day).
 
-    When every last_reported is the Go zero time they all become null. Otherwise, if any lies
-    before 2023, only rows from 2023 on stay (nulls go too). The same cut applies to last_updated.
+    If any last_updated lies before 2023, only rows updated from 2023 on stay (nulls go too). Of what is left, when
+    every last_reported is the Go zero time they all become null; otherwise the same cut applies to last_reported.
     """
     reported, updated = (F.unix_micros(F.col(c)) for c in ("last_reported", "last_updated"))
-    numbers = F.struct(
-        F.min(reported).alias("lo"), F.max(reported).alias("hi"),
-        F.count_if(reported.isNull()).alias("nulls"), F.min(updated).alias("oldest"),
-        F.min(F.when(reported >= OLDEST_MICROS, updated)).alias("oldest_kept"),
-    )
+    recent = updated >= OLDEST_MICROS
+    of = lambda rows: F.struct(
+        F.min(F.when(rows, reported)).alias("lo"), F.max(F.when(rows, reported)).alias("hi"),
+        F.count_if(rows & reported.isNull()).alias("nulls"))
+    numbers = F.struct(F.min(updated).alias("oldest"), of(F.lit(True)).alias("every"), of(F.coalesce(recent, F.lit(False))).alias("recent"))
     if scope:
         facts = stored(df.groupBy(*scope).agg(numbers.alias("_r")), "reports")
-        judged = df.join(sized_broadcast(facts), scope)
+        judged = df.join(facts, scope)
     else:
         judged = df.withColumn("_r", df.agg(numbers).scalar())
-    r = F.col("_r")
     sure = lambda rule: F.coalesce(rule, F.lit(False))
+    cut_updated = sure(F.col("_r.oldest") < OLDEST_MICROS)
+    r = F.when(cut_updated, F.col("_r.recent")).otherwise(F.col("_r.every"))
     all_zero = sure((r.lo == GO_ZERO_MICROS) & (r.hi == GO_ZERO_MICROS) & (r.nulls == 0))
     cut_reported = ~all_zero & sure(r.lo < OLDEST_MICROS)
-    cut_updated = sure(F.when(cut_reported, r.oldest_kept).otherwise(r.oldest) < OLDEST_MICROS)
-    kept = judged.where(
-        (~cut_reported | (reported >= OLDEST_MICROS)) & (~cut_updated | (updated >= OLDEST_MICROS)))
+    kept = judged.where((~cut_updated | recent) & (~cut_reported | (reported >= OLDEST_MICROS)))
     return kept.withColumn("last_reported", F.when(~all_zero, F.col("last_reported"))).select(*df.columns)
 
 
@@ -196,10 +194,10 @@ def prune_by_file_date(
     return df.where(keep & (day <= F.lit(end)) if end else keep)
 
 
-def poi_clean(pois: DataFrame) -> DataFrame:
-    """Points of interest with an id and real coordinates; -1 is unknown, texts end after 200 characters."""
+def poi_clean(pois: DataFrame, max_chars: int = 200) -> DataFrame:
+    """Points of interest with an id and real coordinates; -1 is unknown, texts end after ``max_chars`` characters."""
     unknown = lambda c: F.nullif(F.col(c).cast("double"), F.lit(-1.0)).alias(c)
-    text = lambda c: F.substring(F.coalesce(F.col(c), F.lit("")), 1, 200).alias(c)
+    text = lambda c: F.substring(F.coalesce(F.col(c), F.lit("")), 1, max_chars).alias(c)
     real = lambda c: F.coalesce(F.col(c) != 0, F.lit(False))
     return pois.where(
         (F.coalesce("fsq_id", F.lit("")) != "") & real("latitude") & real("longitude")

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetspark.session import stored
 
-SPLITS = 255
-ONE_TASK_KEYS = 200_000
-
 
 def asc(*names: str) -> list[Column]:
     """Ascending, nulls last: the order the stored results are written in."""
@@ -38,26 +35,19 @@ def new_keys(candidates: DataFrame, dictionary: DataFrame | None, keys: list[str
     return found.join(dictionary.select(*keys), keys, "left_anti")
 
 
-def _sliced_ids(fresh: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys with their position ``_nth`` in key order, numbered slice by slice."""
-    key = F.struct(*keys)
-    cuts = (
-        fresh.orderBy(F.xxhash64(*keys), *keys).limit(SPLITS)
-        .agg(F.array_sort(F.collect_list(key)).alias("cuts"))
-    )
-    # One row holding one array: a subquery evaluated once and shipped with the tasks. The slices are
-    # kept as a table, they are both counted and numbered.
-    sliced = stored(
-        fresh.withColumn("_cuts", cuts.scalar())
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c <= key))).drop("_cuts"),
-        "slices",
-    )
-    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    nth = F.row_number().over(Window.partitionBy("_slice").orderBy(*keys))
-    # offsets: at most SPLITS + 1 rows
-    return sliced.join(F.broadcast(offsets), "_slice").select((nth + F.col("_offset")).alias("_nth"), *keys)
+def numbered(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Stored rows with their position 1, 2, .. in the order of ``keys``, nulls last.
+
+    Ranges of rows are sorted apart and shifted by the counts of the ranges before them, of which there
+    are no more than shuffle partitions. A key repeated in very many rows stays in one range.
+    """
+    ranged = stored(df.repartitionByRange(*asc(*keys)).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    shift = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy(*asc(*keys)))
+    # shift: at most one row per shuffle partition
+    return ranged.join(F.broadcast(shift), "_range").withColumn(name, (nth + F.col("_shift")).cast("bigint")).drop("_range", "_shift")
 
 
 def assign_ids(
@@ -66,33 +56,16 @@ def assign_ids(
     id_col: str,
     existing: DataFrame | None = None,
     id_type: str = "int",
-    one_task_keys: int = ONE_TASK_KEYS,
 ) -> DataFrame:
-    """Dictionary with new keys numbered ``max(id) + 1 ..`` in key order; old ids never change.
-
-    Up to ``one_task_keys`` new keys (counted first) are numbered by one window. More would sort in
-    one task, so then at most SPLITS keys, picked evenly by hash, cut the key range into slices of
-    similar size; rows are numbered inside their slice and shifted by the number of keys in the
-    slices before it. The cuts and the per-slice counts are at most SPLITS + 1 rows.
-    """
-    # The keys are read several times below; the candidates may be the whole history, so scan it once.
-    fresh = stored(new_keys(candidates, existing, keys), "keys")
+    """Dictionary with new keys numbered ``max(id) + 1 ..`` in key order; old ids never change."""
     base = F.lit(0) if existing is None else existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    if fresh.count() <= one_task_keys:
-        nth = F.row_number().over(Window.orderBy(*keys))
-        added = fresh.select((nth + base).cast(id_type).alias(id_col), *keys)
-    else:
-        added = _sliced_ids(fresh, keys).select((F.col("_nth") + base).cast(id_type).alias(id_col), *keys)
+    added = numbered(new_keys(candidates, existing, keys), keys, "_nth").select(
+        (F.col("_nth") + base).cast(id_type).alias(id_col), *keys)
     if existing is None:
         return added
     return existing.select(F.col(id_col).cast(id_type).alias(id_col), *keys).unionByName(added)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint for a stored table that really is small; a larger one is left to a shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def edge_values(df: DataFrame, col: str) -> Column:
     """struct<lo, hi> of a column over the whole frame, as a scalar subquery."""
     return df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()

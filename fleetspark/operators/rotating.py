@@ -12,6 +12,7 @@ from fleetspark.functions.numbers import half_even
 from fleetspark.operators.demand import first_last_sighting
 from fleetspark.operators.lookup import mapped
 from fleetspark.operators.trips import TRIP_COLUMNS
+from fleetspark.session import stored
 
 # What makes a pair of sightings a possible rental.
 MAX_SECONDS = 1800
@@ -109,6 +110,7 @@ def trip_candidates(pairs: DataFrame, metres: str = "sphere") -> DataFrame:
     )
 
 
+OPTIONAL = ["battery_diff", "range_diff"]
 FEATURES = ["time_diff", "battery_diff", "range_diff", "distance", "speed", "speed_range_based"]
 
 
@@ -132,7 +134,7 @@ def trip_features(known_trips: DataFrame, locations: DataFrame) -> DataFrame:
             "speed_range_based": F.round(F.col("range_diff") / 1000 / F.col("_hours"), 2),
         })
         .drop("_hours").where("time_diff > 0")
-        .dropna(subset=FEATURES)
+        .dropna(subset=["time_diff", "distance", "speed"])
     )
 
 
@@ -144,7 +146,11 @@ class DestinationModel:
 
     @staticmethod
     def _assemble(df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=FEATURES, outputCol="_raw", handleInvalid="skip").transform(df)
+        """Vehicles without a battery or range have no such differences: 0, and an indicator says so."""
+        known = {f"_has_{c}": F.col(c).isNotNull().cast("double") for c in OPTIONAL}
+        value = {f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES}
+        full = df.withColumns({**known, **value})
+        return VectorAssembler(inputCols=[*value, *known], outputCol="_raw").transform(full).drop(*value, *known)
 
     @staticmethod
     def _with_origin(df: DataFrame) -> DataFrame:
@@ -152,7 +158,8 @@ class DestinationModel:
 
     @classmethod
     def fit(cls, trips: DataFrame, seed: int = 7, rounds: int = 10, depth: int = 4) -> DestinationModel:
-        assembled = cls._assemble(trips)
+        # Read by the scaler and by each model.
+        assembled = stored(cls._assemble(trips).select("lat_lend", "lng_lend", "lat_return", "lng_return", "_raw"), "training")
         scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True).fit(assembled)
         data = cls._with_origin(scaler.transform(assembled)).select("_x", "lat_return", "lng_return")
         learn = lambda label, out: GBTRegressor(

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
+_CLEANED: set[str] = set()
+_SCOPES: list[list[str]] = []
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,7 +48,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if app not in _LOCAL_SCRATCH:
             _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="fleetspark-")
         root = _LOCAL_SCRATCH[app]
-    return f"{root.rstrip('/')}/fleetspark/{name}-{uuid.uuid4().hex}"
+    home = f"{root.rstrip('/')}/fleetspark-{spark.sparkContext.applicationId}"
+    if home not in _CLEANED:
+        _CLEANED.add(home)
+        atexit.register(_remove, spark, home)  # runs before the session's own end
+    path = f"{home}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system it is in, while the session lives."""
+    with contextlib.suppress(Exception):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at the end: for steps whose result is written elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            _remove(spark, path)
 
 
 def stored(df, name: str):

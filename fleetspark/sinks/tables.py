@@ -10,8 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetspark.functions.geo import swap_wkt_axes
-from fleetspark.operators.keys import asc, assign_ids, keep_first
-from fleetspark.session import stored
+from fleetspark.operators.keys import asc, keep_first, numbered
+from fleetspark.session import scratch_scope, stored
 
 
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -33,76 +33,102 @@ def _write_days(df: DataFrame, path: str, day: str, order: list[str]) -> None:
     )
 
 
+def _stored_days(spark: SparkSession, path: str, day: str) -> DataFrame | None:
+    """The days of a daily table by the names of its folders; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return None
+    names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
+    days = [(n.split("=", 1)[1],) for n in names if n.startswith(f"{day}=")]
+    return spark.createDataFrame(days, "_day string").select(F.col("_day").cast("date").alias(day))
+
+
 def upsert_daily(df: DataFrame, path: str, day: str, keys: list[str], order: list[str]) -> DataFrame:
     """Merge rows into the daily table at ``path`` and return the table.
 
     Rows without a day are left out. On days already stored one row per key stays, the stored row
     before the new one; other days are written as they are. Only the touched days are read and rewritten.
+    The new rows are staged once, the merged ones once more, already split by range.
     """
     spark = df.sparkSession
-    new = df.where(F.col(day).isNotNull())
-    existing = stored_table(spark, path)
-    if existing is None:
-        _write_days(new, path, day, order)
-        return spark.read.parquet(path)
-    new = stored(new, "incoming")
-    days, stored_days = new.select(day).distinct(), existing.select(day).distinct()
-    old = existing.select(*new.columns).join(days, day, "left_semi").withColumn("_new", F.lit(0))
-    again = new.join(stored_days, day, "left_semi").withColumn("_new", F.lit(1))
-    rest = [c for c in new.columns if c not in (*keys, *order)]
-    merged = keep_first(old.unionByName(again), keys, [F.col("_new"), *asc(*order, *rest)]).drop("_new")
-    fresh = new.join(stored_days, day, "left_anti")
-    staged = stored(merged.unionByName(fresh.select(*merged.columns)), "staged")
-    _write_days(staged, path, day, order)
+    stored_days = _stored_days(spark, path, day)
+    with scratch_scope(spark):
+        # Staged, as the range split below reads its input twice.
+        new = stored(df.where(F.col(day).isNotNull()), "incoming")
+        if stored_days is None:
+            _write_days(new, path, day, order)
+            return spark.read.parquet(path)
+        touched = new.select(day).distinct()
+        old = spark.read.parquet(path).select(*new.columns).join(touched, day, "left_semi").withColumn("_rank", F.lit(0))
+        known = stored_days.withColumn("_known", F.lit(True))
+        again = new.join(known, day, "left").withColumn("_rank", F.when(F.col("_known"), 1).otherwise(2)).drop("_known")
+        both = old.unionByName(again)
+        rest = [c for c in new.columns if c not in (*keys, *order)]
+        merged = keep_first(both.where("_rank < 2"), keys, [F.col("_rank"), *asc(*order, *rest)])
+        staged = stored(merged.unionByName(both.where("_rank = 2")).drop("_rank"), "staged")
+        _write_days(staged, path, day, order)
     return spark.read.parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str, order: list[str] | None = None) -> DataFrame:
     """Replace the table at ``path``; ``df`` may come from it."""
-    staged = stored(df, "staged")
-    out = staged.repartitionByRange(*asc(*order)).sortWithinPartitions(*asc(*order)) if order else staged
-    out.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    with scratch_scope(df.sparkSession):
+        staged = stored(df, "staged")
+        out = staged.repartitionByRange(*asc(*order)).sortWithinPartitions(*asc(*order)) if order else staged
+        out.write.option("compression", "zstd").mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _unseen(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key the table does not hold; a null is a key like any other."""
+    held = existing.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    on = F.lit(True)
+    for k in keys:
+        on = on & batch[k].eqNullSafe(held[f"_{k}"])
+    return batch.join(held, on, "left_anti")
+
+
 def append_with_ids(df: DataFrame, path: str, keys: list[str], id_col: str = "id", dedup: bool = False) -> DataFrame:
-    """Append rows; their ids continue after the largest stored one, in key order.
+    """Append rows; their ids continue after the largest stored one, in the order of ``keys``, then the other columns.
 
-    ``keys`` tell the rows of the batch apart. With ``dedup`` keys already stored are left out, without
-    it a repeated load appends again.
+    With ``dedup`` one row per key is appended, and none whose key is stored; without it every row is,
+    and a repeated load appends again.
     """
     spark = df.sparkSession
     existing = stored_table(spark, path)
-    batch = df.dropDuplicates(keys)
-    if existing is not None and dedup:
-        batch = batch.join(existing.select(*keys), keys, "left_anti").select(*df.columns)
-    numbers = assign_ids(batch, keys, "_n", id_type="bigint")
-    base = F.lit(0) if existing is None else existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    rows = batch.join(numbers, keys).select((F.col("_n") + base).alias(id_col), *df.columns)
-    stored(rows, "appended").write.option("compression", "zstd").mode("append").parquet(path)
+    rest = [c for c in df.columns if c not in keys]
+    with scratch_scope(spark):
+        batch = keep_first(df, keys, asc(*rest)) if dedup else df
+        if existing is not None and dedup:
+            batch = _unseen(batch, existing, keys)
+        base = F.lit(0) if existing is None else existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+        rows = numbered(batch, [*keys, *rest], "_n").select((F.col("_n") + base).alias(id_col), *df.columns)
+        stored(rows, "appended").write.option("compression", "zstd").mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
 def append_dedup_renumber(df: DataFrame, path: str, keys: list[str], id_col: str = "id") -> DataFrame:
-    """existing ++ new, distinct on the keys, numbered 1..n in key order."""
+    """existing ++ new, distinct on the keys (null is a key like any other), numbered 1..n in key order."""
     spark = df.sparkSession
     existing = stored_table(spark, path)
     new = df.withColumn("_new", F.lit(1))
     both = new if existing is None else existing.select(*df.columns).withColumn("_new", F.lit(0)).unionByName(new)
     rest = [c for c in df.columns if c not in keys]
-    unique = stored(keep_first(both, keys, [F.col("_new"), *asc(*rest)]).drop("_new"), "unique")
-    numbers = assign_ids(unique, keys, id_col, id_type="bigint")
-    return overwrite_table(unique.join(numbers, keys).select(id_col, *df.columns), path)
+    with scratch_scope(spark):
+        unique = keep_first(both, keys, [F.col("_new"), *asc(*rest)]).drop("_new")
+        return overwrite_table(numbered(unique, keys, id_col).select(id_col, *df.columns), path)
 
 
 def append_new_only(df: DataFrame, path: str, key: str, order: list[Column] | None = None) -> DataFrame:
-    """Append the first row of each key the table does not hold yet."""
+    """Append the first row of each key the table does not hold yet; null is a key like any other."""
     spark = df.sparkSession
     existing = stored_table(spark, path)
     batch = keep_first(df, [key], order or asc(*(c for c in df.columns if c != key)))
     if existing is not None:
-        batch = batch.join(existing.select(key), key, "left_anti").select(*df.columns)
-    stored(batch, "appended").write.option("compression", "zstd").mode("append").parquet(path)
+        batch = _unseen(batch, existing, [key]).select(*df.columns)
+    with scratch_scope(spark):
+        stored(batch, "appended").write.option("compression", "zstd").mode("append").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -125,12 +151,16 @@ def load_warehouse(df: DataFrame, datatype: str, root: str | None = None, jdbc:
     if jdbc:
         df.write.format("jdbc").options(**jdbc, dbtable=table, truncate="true").mode(mode).save()
         return table
-    df.write.option("compression", "zstd").mode(mode).parquet(f"{root}/{table}")
+    if mode == "overwrite":
+        overwrite_table(df, f"{root}/{table}")
+    else:
+        with scratch_scope(df.sparkSession):
+            stored(df, "appended").write.option("compression", "zstd").mode(mode).parquet(f"{root}/{table}")
     return f"{root}/{table}"
 
 
 def refresh_dimensions(geo: DataFrame, station_names: DataFrame, root: str, swap_axes: bool = False) -> None:
     """Replace the dimension tables before facts are loaded; ``swap_axes`` turns POINT(lat lng) round."""
     located = geo.withColumn("location", swap_wkt_axes(F.col("location"))) if swap_axes else geo
-    located.write.option("compression", "zstd").mode("overwrite").parquet(f"{root}/geo_information")
-    station_names.write.option("compression", "zstd").mode("overwrite").parquet(f"{root}/station_names")
+    overwrite_table(located, f"{root}/geo_information")
+    overwrite_table(station_names, f"{root}/station_names")

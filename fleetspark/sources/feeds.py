@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import io
-import json
+import itertools
 import tarfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,35 +14,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 ARCHIVE_ROWS = "archive string, member string, json string"
 
 
-def _text(content: bytes) -> tuple[str, str] | None:
-    """Name and text of the archive's first entry, or None where that is no readable document."""
+def _documents(content: bytes) -> Iterator[tuple[str, str]]:
+    """Name and text of every ``.json`` entry, up to where the archive cannot be read on."""
     try:
         with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as archive:
-            member = archive.next()
-            if member is None or not member.isfile() or not member.name.endswith(".json"):
-                return None
-            text = archive.extractfile(member).read().decode("utf-8", errors="replace")
-            json.loads(text)
-            return member.name, text
-    except (tarfile.TarError, OSError, EOFError, json.JSONDecodeError):
-        return None
+            for member in archive:
+                if member.isfile() and member.name.endswith(".json"):
+                    yield member.name, archive.extractfile(member).read().decode("utf-8", errors="replace")
+    except (tarfile.TarError, OSError, EOFError, zlib.error):
+        return
 
 
-def unpack_archives(files: DataFrame) -> DataFrame:
-    """(path, content) of .tar.gz files to one row per document; error answers are left out.
+def unpack_archives(files: DataFrame, first_only: bool = False) -> DataFrame:
+    """(path, content) of .tar.gz files to one row per document; unreadable documents and error answers are left out.
 
-    Archives are small daily files; they are unpacked side by side, each one whole.
+    Archives are small daily files; they are unpacked side by side, each one whole. ``first_only`` takes
+    the first document of an archive.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                found = _text(content)
-                if found:
+                for found in itertools.islice(_documents(content), 1 if first_only else None):
                     yield pd.DataFrame([(path, *found)], columns=["archive", "member", "json"])
 
     texts = files.select("path", "content").mapInPandas(unpack, ARCHIVE_ROWS)
-    return texts.where((F.trim("json") != "") & ~F.contains("json", F.lit('"httpCode"')))
+    return texts.where(F.get_json_object("json", "$").isNotNull() & ~F.contains("json", F.lit('"httpCode"')))
 
 
 def read_feed_archives(spark: SparkSession, path: str) -> DataFrame:

@@ -20,15 +20,26 @@ def _instant(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("timestamp").alias(name)
 
 
+def _landed(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
+    """All files of a glob with the columns of any of them; refuses when a required column is in none."""
+    raw = spark.read.option("mergeSchema", True).parquet(path)
+    absent = [c for c in required if c not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    return raw
+
+
 def _file_day(column: str = "day") -> Column:
     return F.to_date(F.regexp_extract(F.col("_metadata.file_path"), r".*/(\d{4}-\d{2}-\d{2})/", 1)).alias(column)
 
 
 def read_vehicle_status(spark: SparkSession, path: str) -> DataFrame:
     """All ``<day>/vehicle_status.parquet`` below ``path``: the needed columns, coordinates to 3 decimals, and the day."""
-    raw = spark.read.parquet(f"{path}/{DAY}/vehicle_status.parquet")
-    if "id" in raw.columns and "vehicle_id" not in raw.columns:
-        raw = raw.withColumnRenamed("id", "vehicle_id")
+    raw = _landed(spark, f"{path}/{DAY}/vehicle_status.parquet", ["timestamp", "lat", "lon"])
+    ids = [c for c in ("vehicle_id", "id") if c in raw.columns]
+    if not ids:
+        raise ValueError(f"{path} has no column vehicle_id or id")
+    raw = raw.withColumn("vehicle_id", F.coalesce(*ids))
     columns = []
     for name in VEHICLE_COLUMNS:
         if name not in raw.columns:
@@ -51,7 +62,7 @@ ZONE_COLUMNS = {
 
 def read_zone_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """All ``<day>/<day>.parquet`` below ``path``, with the rounded coordinates next to the raw ones."""
-    raw = spark.read.parquet(f"{path}/{DAY}/{DAY}.parquet")
+    raw = _landed(spark, f"{path}/{DAY}/{DAY}.parquet", ["LicensePlate", "ZoneID", "Timestamp", "Lat", "Lng"])
     return raw.select(
         *(F.col(old).alias(new) for old, new in ZONE_COLUMNS.items() if old in raw.columns),
         F.timestamp_seconds(F.col("Timestamp").cast("bigint")).alias("snapshot_ts"),
@@ -64,7 +75,7 @@ def read_station_network(spark: SparkSession, path: str) -> dict[str, DataFrame]
     """The four tables of a station network below ``path/<day>``, distinct rows, coordinates to 3 decimals."""
     tables = {}
     for name in ("Bikes", "Places", "Cities", "Countries"):
-        df = spark.read.parquet(f"{path}/{DAY}/{name}.parquet").withColumnRenamed("timestamp", "snapshot_ts")
+        df = _landed(spark, f"{path}/{DAY}/{name}.parquet", ["timestamp"]).withColumnRenamed("timestamp", "snapshot_ts")
         df = df.withColumn("snapshot_ts", _instant(df, "snapshot_ts"))
         rounded = {c: decimals(F.col(c), 3) for c in ("lat", "lng") if c in df.columns}
         tables[name.lower()] = (df.withColumns(rounded) if rounded else df).distinct()

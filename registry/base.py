@@ -24,12 +24,6 @@ class Query:
     sql: str | None = None
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share the rows of an input with fewer splits than cores; larger inputs are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     naive = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
@@ -212,11 +206,11 @@ SELECT layer_order, name, CASE corners WHEN 4 THEN cx + r ELSE cx END, CASE corn
        CASE corners WHEN 4 THEN cx ELSE cx - r END, CASE corners WHEN 4 THEN cy + r ELSE cy END FROM {areas}
 UNION ALL
 SELECT layer_order, name, cx, cy + r, cx - r, cy FROM {areas} WHERE corners = 4""",
-    # report times per operator and day: one operator sends only the zero time, one sends old stamps
+    # report times per operator and day: one operator sends only the zero time but in rows with old updates, one sends old stamps
     "reports": """
 SELECT event_type AS operator, cast(ts AS date) AS day, concat('v', cast(user_id AS string)) AS vehicle_id,
-       CASE WHEN event_type = 'signup' AND event_id % 23 = 0 THEN timestamp '2021-01-01 00:00:00' ELSE date_trunc('minute', ts) END AS last_updated,
-       CASE WHEN event_type = 'error' THEN timestamp '1754-08-30 22:43:41.128654'
+       CASE WHEN event_type = 'signup' AND event_id % 23 = 0 OR event_type = 'error' AND event_id % 29 = 0 THEN timestamp '2021-01-01 00:00:00' ELSE date_trunc('minute', ts) END AS last_updated,
+       CASE WHEN event_type = 'error' AND event_id % 29 <> 0 THEN timestamp '1754-08-30 22:43:41.128654'
             WHEN event_type = 'click' AND event_id % 11 = 0 THEN timestamp '2022-06-01 00:00:00'
             WHEN event_type IN ('view', 'click') AND event_id % 13 = 0 THEN NULL ELSE ts END AS last_reported,
        event_id

@@ -44,15 +44,15 @@ SELECT event_id,
 FROM {uris}"""
 
 SANITIZED_SQL = """
-WITH g AS (SELECT operator, day, min(last_reported) AS lo, max(last_reported) AS hi, count(*) FILTER (WHERE last_reported IS NULL) AS nulls
-           FROM {reports} GROUP BY operator, day),
-one AS (
-  SELECT r.operator, r.day, r.vehicle_id, r.last_updated, r.event_id,
-         CASE WHEN lo = timestamp '1754-08-30 22:43:41.128654' AND hi = lo AND nulls = 0 THEN NULL ELSE r.last_reported END AS last_reported
-  FROM {reports} r JOIN g ON r.operator = g.operator AND r.day = g.day
-  WHERE (lo = timestamp '1754-08-30 22:43:41.128654' AND hi = lo AND nulls = 0) OR lo IS NULL OR lo >= timestamp '2023-01-01' OR r.last_reported >= timestamp '2023-01-01'),
-h AS (SELECT operator, day, min(last_updated) AS lo FROM one GROUP BY operator, day)
-SELECT o.* FROM one o JOIN h ON o.operator = h.operator AND o.day = h.day WHERE h.lo >= timestamp '2023-01-01' OR o.last_updated >= timestamp '2023-01-01'"""
+WITH h AS (SELECT operator, day, min(last_updated) AS oldest FROM {reports} GROUP BY operator, day),
+one AS (SELECT r.* FROM {reports} r JOIN h ON r.operator = h.operator AND r.day = h.day
+        WHERE h.oldest IS NULL OR h.oldest >= timestamp '2023-01-01' OR r.last_updated >= timestamp '2023-01-01'),
+g AS (SELECT operator, day, min(last_reported) AS lo, max(last_reported) AS hi, count(*) FILTER (WHERE last_reported IS NULL) AS nulls
+      FROM one GROUP BY operator, day),
+z AS (SELECT *, coalesce(lo = timestamp '1754-08-30 22:43:41.128654' AND hi = lo AND nulls = 0, false) AS zero FROM g)
+SELECT o.operator, o.day, o.vehicle_id, o.last_updated, o.event_id, CASE WHEN NOT zero THEN o.last_reported END AS last_reported
+FROM one o JOIN z ON o.operator = z.operator AND o.day = z.day
+WHERE zero OR lo IS NULL OR lo >= timestamp '2023-01-01' OR o.last_reported >= timestamp '2023-01-01'"""
 
 
 def street_rows(t: Source):

@@ -11,7 +11,7 @@ from fleetspark.operators.keys import asc
 from fleetspark.operators.lookup import with_location_id
 from fleetspark.plans.rotating import rotating_trips
 from fleetspark.session import stored
-from registry.base import NETWORKS, Query, Source, spread
+from registry.base import NETWORKS, Query, Source
 from registry.facts import locations, trips
 
 # --------------------------------------------------------------------------------- rotating fleets
@@ -48,7 +48,7 @@ def candidates(t: Source):
 
 
 def model(t: Source):
-    return rotating.DestinationModel.fit(rotating.trip_features(trips(t), locations(t)), rounds=5, depth=3)
+    return rotating.DestinationModel.fit(rotating.trip_features(trips(t), locations(t)))
 
 
 # -------------------------------------------------------------------------------------- timetables
@@ -56,8 +56,7 @@ def model(t: Source):
 
 def timetable(t: Source):
     located = stored(valid_stops(t("stops")).select("stop_id"), "located")
-    landed = stored(spread(t("stop_times")), "stop_times")
-    return transit.gtfs_join(landed, t("gtfs_trips"), t("routes"), t("calendar"), located)
+    return transit.gtfs_join(t("stop_times"), t("gtfs_trips"), t("routes"), t("calendar"), located)
 
 
 TIMETABLE_SQL = """

@@ -39,15 +39,17 @@ def vehicle_status(t: Source):
         "event_id", F.col("ts").alias("timestamp"), F.col("ts").alias("last_updated"), F.col("user_id").cast("string").alias("id"),
         (49.4 + F.col("value") / 10000).alias("lat"), (8.4 + F.col("event_id") % 1000 / 30000).alias("lon"), F.lit("ios").alias("rental_uri_ios"),
         F.col("ts").alias("last_reported"), F.col("value").alias("current_range_meters"), (F.col("event_id") % 101 / 100).alias("current_fuel_percent"),
-        F.lit("unused").alias("unused"), F.lit(None).cast("string").alias("station_id"))
-    by_folder(e, F.col("event_id") % 2, lambda part, day: part.drop("event_id").write.parquet(f"{root}/{day}/vehicle_status.parquet"))
+        F.lit("unused").alias("unused"), F.concat(F.lit("S"), F.col("event_id") % 7).alias("station_id"))
+    # Stations begin on the second day.
+    by_folder(e, F.col("event_id") % 2, lambda part, day: part.drop("event_id", *(["station_id"] if day == min(FOLDERS) else [])).write.parquet(
+        f"{root}/{day}/vehicle_status.parquet"))
     return snapshots.read_vehicle_status(t.spark, root)
 
 
 VEHICLE_SQL = """
 SELECT ts AS timestamp, ts AS last_updated, cast(user_id AS varchar) AS vehicle_id, round(49.4 + value / 10000, 3) AS lat,
        round(8.4 + cast(event_id % 1000 AS double) / 30000, 3) AS lon, 'ios' AS rental_uri_ios, cast(NULL AS varchar) AS rental_uri_web, ts AS last_reported,
-       value AS current_range_meters, cast(event_id % 101 AS double) / 100 AS current_fuel_percent, cast(NULL AS varchar) AS station_id,
+       value AS current_range_meters, cast(event_id % 101 AS double) / 100 AS current_fuel_percent, CASE WHEN event_id % 2 <> 0 THEN concat('S', event_id % 7) END AS station_id,
        CASE WHEN event_id % 2 = 0 THEN date '2024-01-01' ELSE date '2024-01-02' END AS day FROM {events}"""
 
 
@@ -76,7 +78,7 @@ def station_network(t: Source, name: str):
 
 
 def _packed(batches):
-    """Document texts as .tar.gz contents: one good entry, an error answer, broken text or another file type."""
+    """Document texts as .tar.gz contents: a folder, then one or two good entries, an error answer, broken text or another file type."""
     for batch in batches:
         contents = []
         for number, text in zip(batch["event_id"], batch["json"]):
@@ -84,9 +86,14 @@ def _packed(batches):
             data = {1: '{"httpCode": 500}', 2: "{broken", 4: ""}.get(number % 10, text).encode()
             buffer = io.BytesIO()
             with tarfile.open(fileobj=buffer, mode="w:gz") as archive:
-                info = tarfile.TarInfo(name)
-                info.size = len(data)
-                archive.addfile(info, io.BytesIO(data))
+                folder = tarfile.TarInfo("./")
+                folder.type = tarfile.DIRTYPE
+                archive.addfile(folder)
+                for entry in [name, "second.json"][: 2 if number % 10 in (2, 6) else 1]:
+                    info = tarfile.TarInfo(entry)
+                    content = text.encode() if entry == "second.json" else data
+                    info.size = len(content)
+                    archive.addfile(info, io.BytesIO(content))
             contents.append(buffer.getvalue() if number % 10 != 5 else b"no archive")
         yield pd.DataFrame({"path": batch["path"], "content": contents})
 
@@ -346,15 +353,17 @@ def customers(t: Source):
 
 
 def appended(t: Source):
+    """Keys are repeated, and one is null."""
     path = scratch_path(t.spark, "append")
-    tables.append_with_ids(customers(t), path, ["c_custkey"])
-    return tables.append_with_ids(customers(t), path, ["c_custkey"])
+    rows = customers(t).select(F.nullif(F.col("c_custkey") % 50, F.lit(7)).alias("code"), "c_custkey", "c_name", "c_mktsegment")
+    tables.append_with_ids(rows, path, ["code"])
+    return tables.append_with_ids(rows, path, ["code"])
 
 
 def renumbered(t: Source):
     path = scratch_path(t.spark, "renumber")
     rows = lambda shift: t("customer").select(
-        F.col("c_mktsegment").alias("city"), ((F.col("c_custkey") + shift) % 777).alias("area"), F.lit(shift).alias("load"))
+        F.col("c_mktsegment").alias("city"), F.nullif((F.col("c_custkey") + shift) % 777, F.lit(3)).alias("area"), F.lit(shift).alias("load"))
     tables.append_dedup_renumber(rows(0), path, ["city", "area"])
     return tables.append_dedup_renumber(rows(5), path, ["city", "area"])
 
@@ -388,10 +397,11 @@ def dimensions(t: Source):
 QUERIES = [
     Query("s1_read_vehicle_status", vehicle_status, VEHICLE_SQL),
     Query("s2_read_zone_snapshots", zone_snapshots, ZONE_SQL),
-    *(Query(f"s3_read_station_network_{n}", lambda t, n=n: station_network(t, n), f"SELECT DISTINCT * FROM {{{n}}}") for n in ("bikes", "places")),
+    *(Query(f"s3_read_station_network_{n}", lambda t, n=n: station_network(t, n), f"SELECT DISTINCT * FROM {{{n}}}") for n in ("bikes", "places", "cities", "countries")),
     Query(
         "s4_read_feed_archives", archives,
-        """SELECT concat(event_id, '.tar.gz') AS archive, 'feed.json' AS member, user_id FROM {events} WHERE event_id % 10 NOT IN (1, 2, 3, 4, 5)""",
+        """SELECT concat(event_id, '.tar.gz') AS archive, 'feed.json' AS member, user_id FROM {events} WHERE event_id % 10 NOT IN (1, 2, 3, 4, 5)
+           UNION ALL SELECT concat(event_id, '.tar.gz'), 'second.json', user_id FROM {events} WHERE event_id % 10 IN (2, 6)""",
     ),
     Query(
         "s5_station_information", stations_of_feed,
@@ -427,14 +437,16 @@ QUERIES = [
     Query("k2_overwrite_table", overwritten, "SELECT * REPLACE (lat + 1 AS lat) FROM {sites}"),
     Query(
         "k3_append_with_ids", appended,
-        """WITH c AS (SELECT row_number() OVER (ORDER BY c_custkey) AS n, c_custkey, c_name, c_mktsegment FROM {customer})
-           SELECT n AS id, c_custkey, c_name, c_mktsegment FROM c UNION ALL SELECT n + (SELECT max(n) FROM c), c_custkey, c_name, c_mktsegment FROM c""",
+        """WITH k AS (SELECT nullif(c_custkey % 50, 7) AS code, c_custkey, c_name, c_mktsegment FROM {customer}),
+                c AS (SELECT row_number() OVER (ORDER BY code NULLS LAST, c_custkey) AS n, * FROM k)
+           SELECT n AS id, code, c_custkey, c_name, c_mktsegment FROM c UNION ALL SELECT n + (SELECT max(n) FROM c), code, c_custkey, c_name, c_mktsegment FROM c""",
     ),
     Query(
         "k4_append_dedup_renumber", renumbered,
-        """WITH a AS (SELECT c_mktsegment AS city, c_custkey % 777 AS area, 0 AS load FROM {customer} UNION ALL SELECT c_mktsegment, (c_custkey + 5) % 777, 5 FROM {customer}),
+        """WITH a AS (SELECT c_mktsegment AS city, nullif(c_custkey % 777, 3) AS area, 0 AS load FROM {customer}
+                      UNION ALL SELECT c_mktsegment, nullif((c_custkey + 5) % 777, 3), 5 FROM {customer}),
                 d AS (SELECT city, area, min(load) AS load FROM a GROUP BY city, area)
-           SELECT row_number() OVER (ORDER BY city, area) AS id, * FROM d""",
+           SELECT row_number() OVER (ORDER BY city NULLS LAST, area NULLS LAST) AS id, * FROM d""",
     ),
     Query(
         "k5_append_new_only", new_only,

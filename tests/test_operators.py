@@ -2,12 +2,14 @@
 
 import datetime as dt
 import io
+import pathlib
 import random
 import tarfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from fleetspark import session
 from fleetspark.functions.clock import day_seconds
 from fleetspark.functions.geo import haversine_km, swap_wkt_axes, vincenty_m
 from fleetspark.functions.numbers import decimals, half_even
@@ -17,7 +19,7 @@ from fleetspark.operators.history import changes
 from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
 from fleetspark.sinks import tables
-from fleetspark.sources import feeds, transit as transit_files
+from fleetspark.sources import feeds, snapshots, transit as transit_files
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -84,16 +86,15 @@ def test_demand_counts_every_known_end(spark):
     assert tuple(total) == (2, 2)
 
 
-@pytest.mark.parametrize("one_task", [0, 10**6])
-def test_ids_are_dense_ordered_and_stable(spark, one_task):
+def test_ids_are_dense_ordered_and_stable(spark):
     rng = random.Random(1)
     names = [("CAB:Station:" + str(rng.randrange(10**6)),) for _ in range(3000)] + [("hot",)] * 2000 + [(None,)]
     df = spark.createDataFrame(names, "name string")
-    first = assign_ids(df, ["name"], "id", one_task_keys=one_task)
+    first = assign_ids(df, ["name"], "id")
     got = {r["name"]: r["id"] for r in first.collect()}
     distinct = sorted({n for (n,) in names if n})
     assert got == {n: i + 1 for i, n in enumerate(distinct)}
-    second = assign_ids(spark.createDataFrame([("aaa",), ("hot",), ("zzz",)], "name string"), ["name"], "id", existing=first, one_task_keys=one_task)
+    second = assign_ids(spark.createDataFrame([("aaa",), ("hot",), ("zzz",)], "name string"), ["name"], "id", existing=first)
     again = {r["name"]: r["id"] for r in second.collect()}
     assert {k: again[k] for k in got} == got
     assert (again["aaa"], again["zzz"]) == (len(distinct) + 1, len(distinct) + 2)
@@ -297,6 +298,63 @@ def test_archives_from_files(spark, tmp_path):
     assert [(r.member, r.json) for r in found] == [("a.json", '{"x": 1}')]
 
 
+def test_all_documents_of_an_archive(spark, tmp_path):
+    with tarfile.open(tmp_path / "two.tar.gz", "w:gz") as archive:
+        folder = tarfile.TarInfo("./")
+        folder.type = tarfile.DIRTYPE
+        archive.addfile(folder)
+        for name in ("a.json", "b.json"):
+            info = tarfile.TarInfo(name)
+            info.size = 2
+            archive.addfile(info, io.BytesIO(b"{}"))
+    assert [r.member for r in feeds.read_feed_archives(spark, str(tmp_path)).orderBy("member").collect()] == ["a.json", "b.json"]
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    assert [r.member for r in feeds.unpack_archives(files, first_only=True).collect()] == ["a.json"]
+
+
+def test_appends_keep_repeated_and_null_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("b", 2), (None, 1), ("b", 1), (None, 1)], "name string, x int")
+    assert rows(tables.append_with_ids(df, path, ["name"])) == [(1, "b", 1), (2, "b", 2), (3, None, 1), (4, None, 1)]
+    assert tables.append_with_ids(df, path, ["name"], dedup=True).count() == 4
+    new = str(tmp_path / "new")
+    for _ in range(2):
+        table = tables.append_new_only(df, new, "name")
+    assert table.count() == 2
+    again = str(tmp_path / "again")
+    for _ in range(2):
+        table = tables.append_dedup_renumber(df, again, ["name"])
+    assert rows(table) == [(1, "b", 1), (2, None, 1)]
+
+
+def test_columns_that_begin_later_and_absent_ones(spark, tmp_path):
+    base = spark.createDataFrame([("v", 1.0, 2.0)], "vehicle_id string, lat double, lon double").withColumn("timestamp", F.current_timestamp())
+    base.write.parquet(str(tmp_path / "a/2024-01-01/vehicle_status.parquet"))
+    base.withColumn("station_id", F.lit("s")).write.parquet(str(tmp_path / "a/2024-01-02/vehicle_status.parquet"))
+    found = snapshots.read_vehicle_status(spark, str(tmp_path / "a")).orderBy("day").collect()
+    assert [r.station_id for r in found] == [None, "s"]
+    base.drop("vehicle_id").write.parquet(str(tmp_path / "b/2024-01-01/vehicle_status.parquet"))
+    with pytest.raises(ValueError, match="vehicle_id"):
+        snapshots.read_vehicle_status(spark, str(tmp_path / "b"))
+
+
+def test_old_updates_are_cut_before_reports_are_judged(spark):
+    at = lambda y: dt.datetime(y, 5, 1)
+    zero = clean.GO_ZERO_TIME
+    df = spark.createDataFrame([("a", at(2021), at(2024)), ("b", at(2024), zero)], "k string, last_updated timestamp, last_reported timestamp")
+    assert rows(clean.sanitize_reported(df)) == [("b", at(2024), None)]
+
+
+def test_scratch_tables_of_a_load_are_removed(spark, tmp_path):
+    root = pathlib.Path(session.scratch_path(spark, "x")).parent
+    before = set(root.glob("*"))
+    df = spark.createDataFrame([(1, 1, dt.date(2024, 1, 1))], "k int, x int, d date")
+    for _ in range(2):
+        tables.upsert_daily(df, str(tmp_path / "t"), "d", ["k"], ["k"])
+    tables.append_with_ids(df, str(tmp_path / "u"), ["k"])
+    assert set(root.glob("*")) == before
+
+
 def test_bike_counter_files(spark, tmp_path):
     import gzip
     import json
