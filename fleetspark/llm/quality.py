@@ -35,11 +35,17 @@ class Limits:
     left_percent: int = 50
 
 
+def _once(array: Column, made) -> Column:
+    """``made(array)`` with the array as a bound variable: lambdas inside do not compute it again for every element,
+    however the optimizer merges or pushes expressions."""
+    return F.get(F.transform(F.array(array), made), F.lit(0))
+
+
 def _windows(hashes: Column, size: int) -> Column:
     """Hash of each run of ``size`` neighbours of an array of hashes."""
-    following = lambda x, i: F.xxhash64(x, *[F.get(hashes, i + k) for k in range(1, size)])
     n = F.size(hashes) - (size - 1)
-    return F.when(n > 0, F.slice(F.transform(hashes, following), 1, n)).otherwise(F.array().cast("array<bigint>"))
+    all_windows = lambda h: F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, size)]))
+    return F.when(n > 0, F.slice(_once(hashes, all_windows), 1, n)).otherwise(F.array().cast("array<bigint>"))
 
 
 def text_statistics(docs: DataFrame, text: str = "text", window: int = 5) -> DataFrame:
@@ -63,14 +69,12 @@ def text_statistics(docs: DataFrame, text: str = "text", window: int = 5) -> Dat
     numbered = F.sort_array(F.transform("_llm_windows", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     unequal = F.size(F.array_distinct("_llm_windows")) < F.size("_llm_windows")
     step = step.withColumn("_llm_sorted", F.when(unequal, numbered)).drop("_llm_windows")
-    s = F.col("_llm_sorted")
-    twice = F.transform(s, lambda e, j: F.when(
-        (e["h"] == F.get(s, j - 1)["h"]) | (e["h"] == F.get(s, j + 1)["h"]), e["i"]))
+    twice = _once(F.col("_llm_sorted"), lambda s: F.transform(s, lambda e, j: F.when(
+        (e["h"] == F.get(s, j - 1)["h"]) | (e["h"] == F.get(s, j + 1)["h"]), e["i"])))
     step = step.withColumn("_llm_starts", F.sort_array(F.filter(twice, lambda x: x.isNotNull()))).drop("_llm_sorted")
-    p = F.col("_llm_starts")
-    covered = F.aggregate(
-        F.transform(p, lambda x, j: F.least(F.lit(window), F.coalesce(F.get(p, j + 1) - x, F.lit(window)))),
-        F.lit(0), lambda a, x: a + x)
+    lengths = _once(F.col("_llm_starts"), lambda p: F.transform(
+        p, lambda x, j: F.least(F.lit(window), F.coalesce(F.get(p, j + 1) - x, F.lit(window)))))
+    covered = F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
     return step.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("_llm_starts")
 
 
@@ -137,16 +141,20 @@ def apply_quality_rules(docs: DataFrame, limits: Limits = Limits(), id_col: str
     })
     joined = base.join(cut, same(base, cut, [(id_col, "_llm_i"), (host, "_llm_h"), ("_llm_hash", "_llm_t")]), "left")
     lost = F.coalesce("_llm_cut_words", F.lit(0))
-    left = F.array_except(F.sequence(F.lit(0), F.size(F.split(text, "\n")) - 1), "_llm_cut_at")
-    clean = F.array_join(F.transform(left, lambda i: F.get(F.split(text, "\n"), i)), "\n")
-    clean = F.when(F.col("_llm_cut_at").isNull(), F.col(text)).otherwise(clean)
+
+    def uncut(lines):
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_llm_cut_at")
+        return F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
+
+    clean = F.when(F.col("_llm_cut_at").isNull(), F.col(text)).otherwise(_once(F.split(text, "\n"), uncut))
     depleted = ((lost > 0) & (F.col("n_words") - lost < limits.min_words)) | (
         100 * (F.col("n_words") - lost) < limits.left_percent * F.col("n_words"))
     return joined.withColumns({
         "n_cut_lines": F.coalesce("_llm_cut_lines", F.lit(0)).cast("long"),
         "n_cut_words": lost.cast("long"),
         "clean_text": clean,
-        "kept": ~F.col("base_failed") & ~depleted,
+        # One expression over both sides of the join: a filter on it is not pushed below, to compute the statistics twice.
+        "kept": F.when(F.col("base_failed"), F.lit(False)).otherwise(~depleted),
     }).drop("_llm_i", "_llm_h", "_llm_t", "_llm_hash", "_llm_cut_lines", "_llm_cut_words", "_llm_cut_at")
 
 
