@@ -7,7 +7,7 @@ form a run, and a pass shuffles one row per run, not per byte. Inside a digit, r
 but its first are repeats in full. A digit with one class is finished; the first runs of the other digits' classes go
 on to the next pass with a finer digit. After the last pass equal groups are exactly the repeated windows.
 
-Repeats inside a batch of a map task are combined before the shuffle, so a passage in a third of all documents sends a
+Repeats inside some megabytes of a map task are combined before the shuffle, so a passage in a third of all documents sends a
 few rows per batch to its digit. Strings are compared by 64-bit hashes inside a digit of 64 bits.
 
 Documents are ordered by id (nulls last), then by the hash of their text; rows that repeat id and text are one document
@@ -27,6 +27,7 @@ from fleetspark.session import stored
 
 BASE = 0x9E3779B97F4A7C15
 BLOCK = 1 << 17  # bytes hashed at a time; positions inside a block take CODE bits
+TOGETHER = 8 << 20  # bytes of text whose runs are combined before the shuffle; bounds the memory of a task
 CODE = 20
 LAST = (1 << 63) - 1
 
@@ -103,8 +104,8 @@ def _blocks(pieces: Iterator[tuple[int, int, bytes]], width: int):
 
 
 def _runs(pieces, width: int, gram: int, hasher: Hasher):
-    """Arrays owner, first window, windows, digit, class of all runs of the pieces."""
-    found = []
+    """Arrays owner, first window, windows, digit, class of all runs of the pieces, those of some megabytes at a time."""
+    found, size = [], 0
     for held in _blocks(pieces, width):
         data = np.frombuffer(b"".join(x[2] for x in held), np.uint8)
         bounds = np.cumsum([len(x[2]) for x in held])
@@ -113,9 +114,12 @@ def _runs(pieces, width: int, gram: int, hasher: Hasher):
         owner = np.array([x[0] for x in held])[piece]
         shift = np.array([x[1] for x in held])[piece] - np.concatenate([[0], bounds[:-1]])[piece]
         found.append((owner, starts + shift, count, digit.view(np.int64), kind.view(np.int64)))
-    if not found:
-        return None
-    return [np.concatenate(x) for x in zip(*found)]
+        size += len(data)
+        if size >= TOGETHER:
+            yield [np.concatenate(x) for x in zip(*found)]
+            found, size = [], 0
+    if found:
+        yield [np.concatenate(x) for x in zip(*found)]
 
 
 RUN = "digit long, kind long, doc long, tie long, at long, n int, more binary"
@@ -156,9 +160,10 @@ def _find_runs(pieces: DataFrame, width: int, gram: int) -> DataFrame:
         hasher = Hasher(BLOCK)
         for batch in batches:
             doc, tie, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            runs = _runs(((i, o, x.as_py()) for i, (o, x) in enumerate(zip(at.tolist(), batch.column(3)))), width, gram, hasher)
-            if runs is not None:
+            pieces = ((i, o, x.as_py()) for i, (o, x) in enumerate(zip(at.tolist(), batch.column(3))))
+            for runs in _runs(pieces, width, gram, hasher):
                 yield _combined(doc, tie, runs)
+                pa.default_memory_pool().release_unused()
 
     return pieces.select("doc", "tie", "at", "bytes").mapInArrow(run, RUN)
 
