@@ -12,18 +12,20 @@ all pieces, so every text has an encoding and decoding gives it back exactly. Nu
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from fleetspark.llm.common import full, table
 
 MARK = "▁"
 HELD_WORDS = 400_000  # encoded words that a task keeps; a cache only
-PART = 4 << 20  # characters of text encoded at a time
+PART = 4 << 20  # bytes of text encoded at a time
 
 
 @dataclass(frozen=True)
@@ -35,9 +37,10 @@ class Vocabulary:
     of_bytes: list[int]
     uncovered: float
 
-    @property
-    def longest(self) -> int:
-        return max(map(len, self.ids))
+    def endings(self) -> dict[str, float | None]:
+        """Every ending of a piece, with its score if it is a piece itself."""
+        found = dict.fromkeys(piece[k:] for piece in self.ids for k in range(len(piece)))
+        return found | self.scores
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -61,18 +64,18 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-_WORD = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+_CUT = re.compile(rb"\n|(?<! ) ")  # where a word begins
 HIDDEN = "\ud800"  # stands for the mark as a character of the text; texts hold no surrogates
 
 
-def marked(text: str) -> str:
-    """The text with blanks as marks and one mark before it."""
-    return MARK + text.replace(MARK, HIDDEN).replace(" ", MARK) if text else ""
+def marked(word: str) -> str:
+    """Blanks as marks."""
+    return word.replace(MARK, HIDDEN).replace(" ", MARK)
 
 
 def forward_best(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tuple[str, list[int], float]]:
     """Best pieces of sorted distinct words; positions shared with the word before are not computed again."""
-    ids, scores, longest, uncovered = vocabulary.ids, vocabulary.scores, vocabulary.longest, vocabulary.uncovered
+    ids, endings, uncovered, none = vocabulary.ids, vocabulary.endings(), vocabulary.uncovered, ()
     best, back = [0.0], [0]
     before = ""
     for word in words:
@@ -84,11 +87,13 @@ def forward_best(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tuple
         del best[shared + 1:], back[shared + 1:]
         for end in range(shared + 1, len(word) + 1):
             top, start = float("-inf"), end - 1
-            for s in range(max(0, end - longest), end):
-                score = scores.get(word[s:end])
-                if score is not None and score + best[s] > top:
+            for s in range(end - 1, -1, -1):
+                score = endings.get(word[s:end], none)
+                if score is none:  # no piece ends like this, nor like anything longer
+                    break
+                if score is not None and score + best[s] >= top:
                     top, start = score + best[s], s
-            if word[end - 1] not in scores and best[end - 1] + uncovered > top:
+            if endings.get(word[end - 1]) is None and best[end - 1] + uncovered > top:
                 top, start = best[end - 1] + uncovered, end - 1
             best.append(top)
             back.append(start)
@@ -106,49 +111,95 @@ def forward_best(words: Iterable[str], vocabulary: Vocabulary) -> Iterator[tuple
         yield word, out, best[len(word)]
 
 
-def _parts(texts: list[str]) -> Iterator[list[str]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= PART:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _runs(text: str) -> Iterator[bytes]:
+    """A text with a blank before it, a very long one in runs of whole words."""
+    data, at = b" " + text.encode() if text else b"", 0
+    while len(data) - at > PART and (cut := _CUT.search(data, at + PART)):
+        yield data[at:cut.start()]
+        at = cut.start()
+    if at < len(data):
+        yield data[at:]
+
+
+def _words(runs: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all runs as codes of distinct words, and the number of words of each run."""
+    data = np.frombuffer(b"".join(runs), np.uint8)
+    begins = np.cumsum([0] + [len(r) for r in runs[:-1]])
+    blank, line = data == ord(" "), data == ord("\n")
+    start = blank | line
+    start[1:] &= ~(blank[1:] & blank[:-1])
+    start[1:] |= line[:-1]
+    start[begins] = True
+    at = np.flatnonzero(start)
+    offsets = pa.py_buffer(np.append(at, len(data)).astype(np.int64))
+    held = pa.Array.from_buffers(pa.large_binary(), len(at), [None, offsets, pa.py_buffer(data)])
+    return held.dictionary_encode(), np.diff(np.append(np.searchsorted(at, begins), len(at)))
+
+
+class _Encoder:
+    """Pieces of words, kept as one array of ids and the place of each word in it."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.ids, self.ends, self.scores = array("i"), array("q", [0]), array("d")
+
+    def encode(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids of all runs, and the number of ids and the score of each run."""
+        if len(self.number) > HELD_WORDS:
+            self.clear()
+        words, sizes = _words(runs)
+        distinct = words.dictionary.to_pylist()
+        fresh = sorted((marked(w.decode()), w) for w in distinct if w not in self.number)
+        for (_, word), (_, ids, score) in zip(fresh, forward_best((m for m, _ in fresh), self.vocabulary)):
+            self.number[word] = len(self.scores)
+            self.ids.extend(ids)
+            self.ends.append(len(self.ids))
+            self.scores.append(score)
+        number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        run = np.repeat(np.arange(len(runs)), sizes)
+        ends = np.array(self.ends)
+        pieces = np.diff(ends)[number]
+        places = np.repeat(ends[number] - np.cumsum(pieces) + pieces, pieces) + np.arange(pieces.sum())
+        add = lambda x: np.bincount(run, weights=x, minlength=len(runs))
+        return np.array(self.ids, np.int32)[places], add(pieces).astype(np.int64), add(np.array(self.scores)[number])
 
 
 def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """Adds pieces (array of ids) and pieces_score (sum of their scores)."""
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, tuple[np.ndarray, float]] = {}
+        encoder = _Encoder(vocabulary)
         for batch in batches:
-            lengths, values, totals = [], [], []
-            for part in _parts(batch.to_pylist()):
-                part = [marked(x) for x in part]
-                if len(known) > HELD_WORDS:
-                    known.clear()
-                fresh = set()
-                for x in part:
-                    fresh.update(_WORD.findall(x))
-                fresh.difference_update(known)
-                for word, ids, score in forward_best(sorted(fresh), vocabulary):
-                    known[word] = (ids, score)
-                for x in part:
-                    out: list[int] = []
-                    total = 0.0
-                    for word in _WORD.findall(x):
-                        ids, score = known[word]
-                        out += ids
-                        total += score
-                    lengths.append(len(out))
-                    values.append(np.array(out, np.int32))
-                    totals.append(total)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            flat = np.concatenate([*values, np.zeros(0, np.int32)])
+            values, counts, totals = [np.zeros(0, np.int32)], np.zeros(len(batch), np.int64), np.zeros(len(batch))
+            rows: list[int] = []
+            runs: list[bytes] = []
+            size = 0
+
+            def flush() -> None:
+                ids, n, score = encoder.encode(runs)
+                values.append(ids)
+                np.add.at(counts, rows, n)
+                np.add.at(totals, rows, score)
+                rows.clear()
+                runs.clear()
+
+            for row, given in enumerate(batch):
+                for run in _runs(given.as_py()):
+                    rows.append(row)
+                    runs.append(run)
+                    size += len(run)
+                    if size >= PART:
+                        flush()
+                        size = 0
+            if runs:
+                flush()
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(totals, pa.float64())], ["ids", "score"])
+                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))), pa.array(totals)], ["ids", "score"])
 
     result = F.arrow_udf(encode, "ids array<int>, score double")(full(text))
     return docs.withColumn("_llm_pieces", result).withColumns(
@@ -165,13 +216,15 @@ def decode_pieces(encoded: DataFrame, vocabulary: Vocabulary, pieces: str = "pie
         shown[i] = bytes([byte])
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        texts = pa.array(shown, pa.binary())
         for batch in batches:
             out = []
             for ids in batch:
                 if not ids.is_valid:
                     out.append(None)
                     continue
-                data = b"".join(map(shown.__getitem__, ids.values.to_numpy(zero_copy_only=False).tolist()))
+                one = pa.ListArray.from_arrays([0, len(ids.values)], texts.take(ids.values))
+                data = pc.binary_join(one, b"")[0].as_py()
                 out.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace"))
             yield pa.array(out, pa.string())
 

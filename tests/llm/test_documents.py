@@ -281,6 +281,31 @@ def test_best_pieces_of_words(vocabulary):
         assert [x for x in got if x] == [x for x in want[1] if x in vocabulary.ids]
 
 
+@pytest.mark.parametrize("part", [1, 7, 4 << 20])
+def test_runs_of_words(vocabulary, monkeypatch, part):
+    """Whatever the size of the runs, the pieces are those of the marked words one by one."""
+    monkeypatch.setattr(pieces, "PART", part)
+    given = ["", " ", "\n", "▁", " ▁ x", "a  b\n\n c \n", "日本語 テスト\x00 ▁▁", "  two", "x" * 50, "one\ntwo  three\n", "é é é"]
+    runs, owner = [], []
+    for i, text in enumerate(given):
+        for run in pieces._runs(text):
+            runs.append(run)
+            owner.append(i)
+    encoder = pieces._Encoder(vocabulary)
+    ids, counts, scores = encoder.encode(runs)
+    found = defaultdict(list)
+    at = 0
+    for i, n in zip(owner, counts):
+        found[i] += ids[at:at + n].tolist()
+        at += n
+    for i, text in enumerate(given):
+        marked = ("▁" + text.replace("▁", "\ud800").replace(" ", "▁")) if text else ""
+        words = re.findall("▁+[^▁\n]*|[^▁\n]+|\n", marked)
+        best = {w: (x, score) for w, x, score in pieces.forward_best(sorted(set(words)), vocabulary)}
+        assert found[i] == [x for w in words for x in best[w][0]]
+        assert sum(s for s, o in zip(scores, owner) if o == i) == sum(best[w][1] for w in words)
+
+
 def test_pieces_round_trip(docs, nothing, vocabulary):
     both = pieces.decode_pieces(pieces.encode_pieces(docs, vocabulary), vocabulary)
     assert both.where("NOT (decoded <=> coalesce(text, ''))").isEmpty() and both.count() == len(rows())
