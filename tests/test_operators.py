@@ -406,6 +406,28 @@ def test_facts_are_stable_when_run_again(spark, tmp_path):
     assert {r[0] for r in first["trips"]} == {"v"}
 
 
+def test_facts_from_landed_files(spark, tmp_path):
+    from fleetspark.plans.facts import landed_vehicles, update_facts
+
+    at = lambda day, hour: dt.datetime(2024, 5, day, hour)
+    kind = "timestamp timestamp, last_updated timestamp, vehicle_id string, lat double, lon double, last_reported timestamp, current_range_meters double, current_fuel_percent double"
+    for day, given in {
+        1: [("v", 48.0, at(1, 7), 9000.0, 0.905), ("v", 48.1, at(1, 9), 8000.0, 0.8), ("old", 48.0, at(1, 7), 1.0, 0.1)],
+        2: [("v", 48.2, at(2, 9), 7000.0, None)],
+    }.items():
+        made = [(t, t, v, lat, 9.0, dt.datetime(2023, 1, 1) if v == "old" else t, reach, charge) for v, lat, t, reach, charge in given]
+        spark.createDataFrame(made, kind).write.parquet(str(tmp_path / f"in/2024-05-0{day}/vehicle_status.parquet"))
+    seen = landed_vehicles(spark, str(tmp_path / "in"), {"n": 4})
+    assert rows(seen.select("vehicle_id", "battery", "range_m", "network_name")) == [
+        ("v", 80, 8000, "n"), ("v", 90, 9000, "n"), ("v", None, 7000, "n")]
+    facts = update_facts(seen, str(tmp_path / "facts"), {"n": 4})
+    trips = facts["trips"].orderBy("timestamp_lend").collect()
+    assert [(t.pedelec_battery_lend, t.current_range_meters_return, t.network_name_lend) for t in trips] == [(90, 8000, 4), (80, 7000, 4)]
+    assert facts["locations"].count() == 3 and facts["availability"].count() == 3
+    by_name = landed_vehicles(spark, str(tmp_path / "in"), name_network=lambda df: df.withColumn("network_name", F.lit("m")))
+    assert by_name.where("network_name = 'm'").count() == 3
+
+
 def test_station_history_and_demographics_files(spark, tmp_path):
     from fleetspark.sources.context import read_demographics
     from fleetspark.sources.weather import read_station_history
