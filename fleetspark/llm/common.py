@@ -29,6 +29,38 @@ def words(text: Column) -> Column:
     return F.when(trimmed != "", F.split(trimmed, BREAK)).otherwise(F.array().cast("array<string>"))
 
 
+def once(array: Column, made) -> Column:
+    """``made(array)`` with the array as a bound variable: lambdas inside do not compute it again for every element,
+    however the optimizer merges or pushes expressions."""
+    return F.get(F.transform(F.array(array), made), F.lit(0))
+
+
+def running_sums(numbers: Column) -> Column:
+    """The sums of an array of longs up to and with each element.
+
+    Sums are taken in runs of the square root of the size, and of the runs: appending to an array copies it, so one
+    fold over all elements would take time in proportion to the square of their number.
+    """
+    nothing = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(0).cast("long").alias("sum"), nothing.alias("sums"))
+
+    def sums(values):
+        grown = lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["sums"], F.array(a["sum"] + x)).alias("sums"))
+        return F.aggregate(values, start, grown, lambda a: a["sums"])
+
+    def parts(values):
+        width = F.ceil(F.sqrt(F.size(values))).cast("int")
+        starts = F.sequence(F.lit(0), F.ceil(F.size(values) / width).cast("int") - 1)
+        return F.transform(starts, lambda i: sums(F.slice(values, i * width + 1, width)))
+
+    def joined(runs):
+        before = once(F.transform(runs, lambda r: F.element_at(r, -1)), lambda totals: F.zip_with(
+            sums(totals), totals, lambda s, t: s - t))
+        return once(before, lambda b: F.flatten(F.transform(runs, lambda r, i: F.transform(r, lambda x: x + F.get(b, i)))))
+
+    return once(numbers, lambda v: F.when(F.size(v) > 0, once(parts(v), joined)).otherwise(nothing))
+
+
 def same(left: DataFrame, right: DataFrame, names: Iterable[tuple[str, str]]) -> Column:
     """Null-safe equality of pairs of columns."""
     on = F.lit(True)
