@@ -16,6 +16,9 @@ _REGISTERED = {
     "op8_simhash_near_dedup": ("simhash", None),
     "op9_virtual_slots": ("sharding", None),
     "op10_lattice_scoring": ("lattice", None),
+    "op11_structure_repair": ("repair", "OP11_SQL"),
+    "op12_hard_negatives": ("negatives", "OP12_SQL"),
+    "op13_personal_data": ("pii", "OP13_SQL"),
 }
 
 
