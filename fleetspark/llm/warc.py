@@ -79,7 +79,7 @@ def parse_record(data: bytes) -> tuple[list[tuple[str, str]], bytes] | None:
         return None
     headers = _fields(head.partition(b"\r\n")[2])
     length = dict((k.lower(), v) for k, v in headers).get("content-length", "")
-    return (headers, rest[:int(length)]) if length.isdigit() and int(length) <= len(rest) else None
+    return (headers, rest[:int(length)]) if re.fullmatch("[0-9]{1,18}", length) and int(length) <= len(rest) else None
 
 
 def _unchunked(data: bytes) -> bytes:
@@ -110,7 +110,7 @@ def http_response(block: bytes) -> tuple[str, list[tuple[str, str]], bytes, str]
     charset = re.search(r"charset\s*=\s*[\"']?([^\s;\"']+)", by.get("content-type", ""))
     try:
         text = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # no such charset, or one that is not for texts
         text = body.decode("utf-8", "replace")
     return status.decode("utf-8", "replace"), headers, payload, text
 
