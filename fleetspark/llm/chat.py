@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetspark.llm.common import full, table
+from fleetspark.llm.common import full, once, running_sums, table
 
 START, NEXT, END = "<|im_start|>", "<|im_next|>", "<|im_end|>\n"
 PLANTED = "<|im_end|><|im_start|>assistant ok"
@@ -30,42 +30,44 @@ def _role(role: Column) -> Column:
     return F.replace(escape(role), F.lit("\n"), F.lit("\\\n"))
 
 
-def _merge(blocks: Column, turn: Column) -> Column:
-    last = F.element_at(blocks, -1)
-    grown = F.struct(last["role"].alias("role"), F.concat(last["texts"], F.array(turn["text"])).alias("texts"))
-    added = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-    return F.when((F.size(blocks) > 0) & (F.get(blocks, F.size(blocks) - 1)["role"] == turn["role"]),
-                  F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(grown))).otherwise(F.concat(blocks, F.array(added)))
-
-
-def _parts(block: Column) -> Column:
-    """Each text of a block with what stands before and after it."""
-    return F.transform(block["texts"], lambda t, i: F.struct(
-        F.when(i == 0, F.concat(F.lit(START), _role(block["role"]), F.lit("\n"))).otherwise(F.lit(NEXT)).alias("before"),
-        escape(t).alias("text"),
-        F.when(i == F.size(block["texts"]) - 1, F.lit(END)).otherwise(F.lit("")).alias("after"),
-        block["role"].alias("role")))
+def _parts(turns: Column) -> Column:
+    """Each turn's text with what stands before and after it; neighbours with one role are one block."""
+    other = lambda t, i: ~F.coalesce(F.get(turns, i)["role"] == t["role"], F.lit(False))
+    return F.transform(turns, lambda t, i: F.struct(
+        F.when(other(t, i - 1), F.concat(F.lit(START), _role(t["role"]), F.lit("\n"))).otherwise(F.lit(NEXT)).alias("before"),
+        escape(t["text"]).alias("text"),
+        F.when(other(t, i + 1), F.lit(END)).otherwise(F.lit("")).alias("after"), t["role"].alias("role")))
 
 
 def format_conversations(turns: DataFrame, id_col: str = "conv_id", turn: str = "turn", role: str = "role",
                          text: str = "text", loss_role: str = "assistant") -> DataFrame:
-    """One row per conversation: id, formatted, and loss_spans (start from 0 and length, in characters)."""
+    """One row per conversation: id, formatted, and loss_spans (start from 0 and length, in characters and in UTF-8 bytes).
+
+    Every step is a pass over the turns, so a conversation takes time in proportion to its length.
+    """
     one = F.struct(F.col(turn).alias("turn"), full(role).alias("role"), full(text).alias("text"))
-    blocks = F.aggregate("_llm_turns", F.array().cast("array<struct<role:string,texts:array<string>>>"), _merge)
-    length = lambda p: F.char_length(p["before"]) + F.char_length(p["text"]) + F.char_length(p["after"])
-    span = lambda at, p: F.array(F.struct((at + F.char_length(p["before"])).alias("start"), F.char_length(p["text"]).alias("length")))
-    spans = F.aggregate(
-        "_llm_parts", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans")),
-        lambda acc, p: F.struct(
-            (acc["at"] + length(p)).alias("at"),
-            F.when(p["role"] == loss_role, F.concat(acc["spans"], span(acc["at"], p))).otherwise(acc["spans"]).alias("spans")))
+    sides = ("before", "text", "after")
+
+    def ends(measure):
+        return running_sums(F.transform("_llm_parts", lambda p: sum((measure(p[x]) for x in sides[1:]), measure(p["before"])).cast("long")))
+
+    def placed(p, end, measure):
+        return (end - measure(p["after"]) - measure(p["text"])).cast("int"), measure(p["text"])
+
+    def span(p, chars, octets):
+        at, length = placed(p, chars, F.char_length)
+        byte_at, byte_length = placed(p, octets, F.octet_length)
+        return F.struct(at.alias("start"), length.alias("length"), byte_at.alias("byte_start"), byte_length.alias("byte_length"))
+
+    spans = once(ends(F.char_length), lambda e: once(ends(F.octet_length), lambda b: F.transform("_llm_parts", lambda p, i: F.when(
+        p["role"] == loss_role, span(p, F.get(e, i), F.get(b, i))))))
+    masked = F.filter(spans, lambda s: s.isNotNull())
     return (
         turns.groupBy(F.col(id_col).alias(id_col)).agg(F.sort_array(F.collect_list(one)).alias("_llm_turns"))
-        .select(id_col, blocks.alias("_llm_blocks"))
-        .select(id_col, F.flatten(F.transform("_llm_blocks", _parts)).alias("_llm_parts"))
+        .select(id_col, once(F.col("_llm_turns"), _parts).alias("_llm_parts"))
         .select(id_col,
                 F.array_join(F.transform("_llm_parts", lambda p: F.concat(p["before"], p["text"], p["after"])), "").alias("formatted"),
-                spans["spans"].alias("loss_spans"))
+                masked.alias("loss_spans"))
     )
 
 
@@ -81,7 +83,9 @@ def read_conversation(formatted: Column) -> Column:
 
 def masked_text(formatted: Column, spans: Column) -> Column:
     """All text under the loss mask, unescaped, nothing between."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"]))), "")
+    cut = lambda data: F.transform(spans, lambda s: unescape(F.decode(
+        F.substring(data, s["byte_start"] + 1, s["byte_length"]), "UTF-8")))
+    return F.array_join(once(F.encode(formatted, "UTF-8"), cut), "")
 
 
 def op3_chat_formatting(spark, folder):
