@@ -215,22 +215,23 @@ def _judge(runs: DataFrame) -> DataFrame:
 
 
 def _documents(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Documents as doc (id, nulls last), tie (hash of the text where an id has several texts, else 0) and bytes."""
+    """Adds _llm_doc (id, nulls last), _llm_tie (hash of the text where an id has several texts, else 0) and _llm_bytes."""
     ids = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    keyed = docs.withColumns({"doc": ids, "_llm_hash": F.xxhash64(full(text))})
+    keyed = docs.withColumns({"_llm_doc": ids, "_llm_hash": F.xxhash64(full(text))})
     # Ids with more than one text: normally none.
     shared = stored(
-        docs.select(ids.alias("id"), F.xxhash64(full(text)).alias("h")).groupBy("id")
-        .agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("id"), "shared-ids")
-    return keyed.join(shared, keyed["doc"] == shared["id"], "left").withColumns({
-        "tie": F.when(F.col("id").isNull(), F.lit(0)).otherwise(F.col("_llm_hash")),
-        "bytes": F.encode(full(text), "UTF-8"),
-    }).drop("id", "_llm_hash")
+        docs.select(ids.alias("_llm_id"), F.xxhash64(full(text)).alias("h")).groupBy("_llm_id")
+        .agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("_llm_id"), "shared-ids")
+    return keyed.join(shared, keyed["_llm_doc"] == shared["_llm_id"], "left").withColumns({
+        "_llm_tie": F.when(F.col("_llm_id").isNull(), F.lit(0)).otherwise(F.col("_llm_hash")),
+        "_llm_bytes": F.encode(full(text), "UTF-8"),
+    }).drop("_llm_id", "_llm_hash")
 
 
 def repeated_runs(keyed: DataFrame, width: int = 100, grams: tuple[int, ...] = (32, 64, 100)) -> DataFrame:
     """Rows (doc, tie, at, n): the windows that start at at .. at + n - 1 also start earlier."""
-    whole = keyed.select("doc", "tie", F.lit(0).cast("long").alias("at"), "bytes").where(F.octet_length("bytes") >= width)
+    whole = keyed.select(F.col("_llm_doc").alias("doc"), F.col("_llm_tie").alias("tie"), F.lit(0).cast("long").alias("at"),
+                         F.col("_llm_bytes").alias("bytes")).where(F.octet_length("bytes") >= width)
     found = None
     pieces = whole
     for depth, gram in enumerate(grams):
@@ -265,9 +266,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     grams: tuple[int, ...] = (32, 64, 100)) -> DataFrame:
     """Adds n_bytes, n_removed, n_spans, kept_bytes and kept_text (characters that lost bytes go whole)."""
     keyed = _documents(docs, id_col, text)
-    runs = repeated_runs(keyed, width, grams).groupBy(F.col("doc").alias("_llm_doc"), F.col("tie").alias("_llm_tie")).agg(
+    runs = repeated_runs(keyed, width, grams).groupBy(F.col("doc").alias("_llm_of"), F.col("tie").alias("_llm_of_tie")).agg(
         F.collect_list(F.struct("at", "n")).alias("_llm_runs"))
-    joined = keyed.join(runs, (keyed["doc"] == runs["_llm_doc"]) & (keyed["tie"] == runs["_llm_tie"]), "left")
+    joined = keyed.join(runs, (keyed["_llm_doc"] == runs["_llm_of"]) & (keyed["_llm_tie"] == runs["_llm_of_tie"]), "left")
 
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, found in batches:
@@ -292,11 +293,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                  pa.array([x[0].decode("utf-8", "ignore") for x in out], pa.string())],
                 ["kept", "n_removed", "n_spans", "text"])
 
-    result = F.arrow_udf(cut, "kept binary, n_removed long, n_spans long, text string")(F.col("bytes"), F.col("_llm_runs"))
+    result = F.arrow_udf(cut, "kept binary, n_removed long, n_spans long, text string")(F.col("_llm_bytes"), F.col("_llm_runs"))
     return joined.withColumn("_llm_cut", result).withColumns({
-        "n_bytes": F.octet_length("bytes").cast("long"), "n_removed": F.col("_llm_cut.n_removed"),
+        "n_bytes": F.octet_length("_llm_bytes").cast("long"), "n_removed": F.col("_llm_cut.n_removed"),
         "n_spans": F.col("_llm_cut.n_spans"), "kept_bytes": F.col("_llm_cut.kept"), "kept_text": F.col("_llm_cut.text"),
-    }).drop("doc", "tie", "bytes", "_llm_doc", "_llm_tie", "_llm_runs", "_llm_cut")
+    }).drop("_llm_doc", "_llm_tie", "_llm_bytes", "_llm_of", "_llm_of_tie", "_llm_runs", "_llm_cut")
 
 
 def op6_suffix_array_dedup(spark, folder):
