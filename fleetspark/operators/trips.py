@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.geo import milli
-from fleetspark.operators.history import SPAN_SECONDS, changes
+from fleetspark.operators.history import changes
 from fleetspark.operators.lookup import mapped
 
 TRIP_COLUMNS = {
@@ -77,7 +77,7 @@ def trips_free_floating(
     *,
     stations: bool = False,
     station_names: DataFrame | None = None,
-    span_seconds: int = SPAN_SECONDS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Trips from (vehicle_id, last_updated, lat, lon, network_name, battery, range_m) snapshots.
 
@@ -98,7 +98,7 @@ def trips_free_floating(
         )
         return rule & (prev.station_id != cur.station_id) if stations else rule
 
-    pairs = changes(_with_cells(snapshots, "lat", "lon"), "vehicle_id", "last_updated", carry, keep, span_seconds)
+    pairs = changes(_with_cells(snapshots, "lat", "lon"), "vehicle_id", "last_updated", carry, keep, partitions)
     out = _resolve(pairs, locations, networks)
     columns = {
         "vehicle_id": F.col("vehicle_id"),
@@ -131,7 +131,7 @@ def trips_zone(
     locations: DataFrame,
     zones: dict | None = None,
     *,
-    span_seconds: int = SPAN_SECONDS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Trips from zone snapshots: only an unchanged battery level rules a move out."""
     df = _with_cells(snapshots, "lat", "lng").select(
@@ -141,7 +141,7 @@ def trips_zone(
     )
     pairs = changes(
         df, "vehicle_id", "last_updated", ["mlat", "mlng", "network_name", "battery", "range_m"],
-        lambda p, c: _moved(p, c) & _differs_or_unknown(p.battery, c.battery), span_seconds,
+        lambda p, c: _moved(p, c) & _differs_or_unknown(p.battery, c.battery), partitions,
     )
     out = _resolve(pairs, locations, zones)
     columns = {
@@ -166,7 +166,7 @@ def trips_station_network(
     networks: dict | None = None,
     station_names: DataFrame | None = None,
     *,
-    span_seconds: int = SPAN_SECONDS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Trips from the joined station-network snapshot: place, station and station name all change."""
     df = _with_cells(snapshot, "lat", "lng").select(
@@ -177,7 +177,7 @@ def trips_station_network(
         df, "vehicle_id", "last_updated",
         ["mlat", "mlng", "network_name", "station_id", "station_name"],
         lambda p, c: _moved(p, c) & (p.station_id != c.station_id) & (p.station_name != c.station_name),
-        span_seconds,
+        partitions,
     )
     out = _resolve(pairs, locations, networks)
     columns = {

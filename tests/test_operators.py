@@ -15,7 +15,7 @@ from fleetspark.functions.geo import haversine_km, swap_wkt_axes, vincenty_m
 from fleetspark.functions.numbers import decimals, half_even
 from fleetspark.operators import clean, merge, rotating, spatial, transit
 from fleetspark.operators.demand import demand_from_trips, first_last_sighting
-from fleetspark.operators.history import changes
+from fleetspark.operators.history import changes, ordered
 from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
 from fleetspark.sinks import tables
@@ -61,14 +61,14 @@ def test_places_without_an_id_make_no_trip(spark):
     assert trips_free_floating(df, known).count() == 0
 
 
-@pytest.mark.parametrize("span", [3600, 7200, 5 * 3600, 10**7])
-def test_changes_equal_a_plain_lag_whatever_the_span(spark, span):
-    rng = random.Random(span)
+@pytest.mark.parametrize("partitions", [None, 1, 2, 7, 150])
+def test_changes_equal_a_plain_lag_whatever_the_ranges(spark, partitions):
+    rng = random.Random(partitions)
     data = [(rng.choice("ab"), T0 + dt.timedelta(minutes=rng.randrange(0, 2000)), rng.randrange(3), rng.choice([None, 1, 2])) for _ in range(400)]
     data += [("a", None, 1, 1), ("a", None, 2, None), ("b", T0, 1, None)]
     df = spark.createDataFrame(data, "e string, ts timestamp, place int, x int")
     keep = lambda p, c: p.place != c.place
-    got = [(r.e, tuple(r.prev), tuple(r.cur)) for r in changes(df, "e", "ts", ["place", "x"], keep, span).collect()]
+    got = [(r.e, tuple(r.prev), tuple(r.cur)) for r in changes(df, "e", "ts", ["place", "x"], keep, partitions).collect()]
     late, high = dt.datetime.max, 10**9
     order = lambda r: (r[1] or late, r[2], high if r[3] is None else r[3])
     want = []
@@ -79,6 +79,18 @@ def test_changes_equal_a_plain_lag_whatever_the_span(spark, span):
     assert len(set(map(str, got))) == len(got)
 
 
+def test_a_busy_hour_of_one_entity_is_spread(spark):
+    """Nine of ten rows are of one entity within an hour: every task gets a fair share, and no row is shuffled twice."""
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 10 = 0, concat('v', id), 'busy') AS e", "timestamp'2024-05-01' + make_interval(0, 0, 0, 0, 0, 0, id / 6) AS ts",
+        "CAST(id % 7 AS int) AS place")
+    counts = [r["count"] for r in ordered(df, ["e", "ts", "place"], 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(counts) == 16 and max(counts) < 2 * 20_000 / 16
+    found = changes(df, "e", "ts", ["place"], lambda p, c: p.place != c.place, 16)
+    assert found.count() == 17_999 - sum(1 for a, b in zip([i for i in range(20_000) if i % 10], [i for i in range(20_000) if i % 10][1:]) if a % 7 == b % 7)
+    assert found._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 0
+
+
 def test_demand_counts_every_known_end(spark):
     df = snaps(spark, (0, 0, 9, 9, None), (1, 1, 8, 8, None), (2, 0, 7, 7, None))
     trips = trips_free_floating(df, ids(df))
