@@ -112,41 +112,72 @@ def split_by_polygon(
     return df.join(within, [lat, lng], "left").withColumn(column, new).select(*df.columns)
 
 
+# Sides in degrees of the squares of a pyramid; each is a quarter of the one before and lies in one square of it.
+SQUARES = [64.0, 16.0, 4.0, 1.0, 0.25, 0.0625, 0.015625]
+CROWD = 32  # sites in a square that are not worth a finer level
+SLACK_KM = 0.001  # above the error of computed distances, also between opposite ends of the earth
+
+
+def _square(lat: str, lng: str, side: float) -> list[Column]:
+    """Numbers (row, column) of the square around a place; longitudes are taken round the earth."""
+    east = F.pmod(F.col(lng) + 180.0, F.lit(360.0))
+    return [F.floor((F.col(lat) + 90.0) / side).alias("_qy"), F.floor(east / side).alias("_qx")]
+
+
+def site_pyramid(sites: DataFrame) -> tuple[DataFrame, int]:
+    """Stored squares of all levels that hold sites (_level, _qy, _qx, middle, near, far), and the finest level needed.
+
+    ``near`` and ``far`` are how far the nearest and the farthest of the square's sites are from its middle.
+    """
+    levels = F.explode(F.array(*(
+        F.struct(F.lit(i).alias("_level"), F.lit(side).alias("_side"), *_square("_slat", "_slng", side)) for i, side in enumerate(SQUARES))))
+    filed = sites.select("_slat", "_slng", levels.alias("_at")).select("_slat", "_slng", "_at.*")
+    off = haversine_km(F.col("_my"), F.col("_mx"), F.col("_slat"), F.col("_slng"))
+    pyramid = stored(
+        filed.withColumn("_my", (F.col("_qy") + 0.5) * F.col("_side") - 90.0).withColumn("_mx", (F.col("_qx") + 0.5) * F.col("_side") - 180.0)
+        .groupBy("_level", "_qy", "_qx", "_my", "_mx").agg(F.min(off).alias("near"), F.max(off).alias("far"), F.count("*").alias("sites")), "pyramid")
+    crowds = dict(pyramid.groupBy("_level").agg(F.max("sites")).collect())  # one row a level
+    depth = next((i for i in range(len(SQUARES)) if crowds.get(i, 0) <= CROWD), len(SQUARES) - 1)
+    return pyramid, depth
+
+
 def nearest(
     points: DataFrame, sites: DataFrame, site: str, max_km: float | None = None,
     lat: str = "lat", lng: str = "lng", keep_sites: Column | None = None,
 ) -> DataFrame:
     """Attach (site, distance_km) of the nearest site; points without one in reach are dropped.
 
-    Sites are summed up per one-degree square: its centre, and how near and how far its sites are
-    from there. By the triangle inequality the summary tells which squares can hold the nearest
-    site, and only those are joined. The summary has at most 64,800 entries whatever the number of
-    sites. Distances compare to the millimetre; equal ones are decided by the site value.
+    A descent through a pyramid of squares, each a quarter of the side of the one above. By the
+    triangle inequality the distance to a square's middle tells how near its nearest site can be and
+    has to be; squares that cannot hold the nearest site drop out, the others are replaced by their
+    parts on the next level through an equi join. A point keeps a few squares a level, wherever on
+    the earth it lies, however many sites there are, and meets only the sites of the last of them.
+    Distances compare to the millimetre; equal ones are decided by the site value.
     """
     chosen = sites if keep_sites is None else sites.where(keep_sites)
-    square = chosen.select(
-        F.col(site).alias("_site"), F.col("lat").alias("_slat"), F.col("lng").alias("_slng"),
-        F.floor("lat").cast("int").alias("_qy"), F.floor("lng").cast("int").alias("_qx")).dropna()
-    middle = lambda c: F.col(c) + F.lit(0.5)
-    off = haversine_km(middle("_qy"), middle("_qx"), F.col("_slat"), F.col("_slng"))
-    summary = (
-        square.groupBy("_qy", "_qx").agg(F.min(off).alias("near"), F.max(off).alias("far"))
-        .agg(F.collect_list(F.struct("_qy", "_qx", "near", "far")).alias("squares"))
-    )
-    spots = points.select(lat, lng).dropna().distinct().withColumn("_squares", summary.scalar())
-    away = F.transform("_squares", lambda s: F.struct(
-        s["_qy"].alias("_qy"), s["_qx"].alias("_qx"), s.near.alias("near"), s.far.alias("far"),
-        haversine_km(F.col(lat), F.col(lng), s["_qy"] + F.lit(0.5), s["_qx"] + F.lit(0.5)).alias("km")))
-    reach = F.array_min(F.transform("_away", lambda s: s.km + s.near))
-    if max_km is not None:
-        reach = F.least(reach, F.lit(float(max_km)))
-    candidates = (
-        spots.withColumn("_away", away).withColumn("_reach", reach + F.lit(1e-6))
-        .select(lat, lng, F.inline(F.filter("_away", lambda s: s.km - s.far <= F.col("_reach"))))
-        .select(lat, lng, "_qy", "_qx")
-    )
-    km = F.round(haversine_km(F.col(lat), F.col(lng), F.col("_slat"), F.col("_slng")), 6)
-    pairs = candidates.join(square, ["_qy", "_qx"]).withColumn("_km", km)
+    chosen = chosen.select(F.col(site).alias("_site"), F.col("lat").alias("_slat"), F.col("lng").alias("_slng")).dropna()
+    pyramid, depth = site_pyramid(chosen)
+    spots = points.select(lat, lng).dropna().distinct()
+    squares = ["_qy", "_qx", "_my", "_mx", "near", "far"]
+    km = haversine_km(F.col(lat), F.col(lng), F.col("_my"), F.col("_mx"))
+    for level in range(depth + 1):
+        parts = pyramid.where(F.col("_level") == level).select(*squares)
+        if level == 0:  # at most 3 x 6 squares cover the earth
+            found = spots.withColumn("_roots", parts.agg(F.collect_list(F.struct(*squares))).scalar()).select(lat, lng, F.inline("_roots"))
+        else:
+            parts = parts.withColumn("_py", F.floor(F.col("_qy") / 4)).withColumn("_px", F.floor(F.col("_qx") / 4))
+            found = kept.join(parts, ["_py", "_px"])
+        found = found.withColumn("_km", km).select(
+            lat, lng, "_qy", "_qx", F.greatest(F.col("_km") - F.col("far"), F.col("near") - F.col("_km")).alias("least"),
+            (F.col("_km") + F.col("near")).alias("most"))
+        held = found.groupBy(lat, lng).agg(F.min("most").alias("_reach"), F.collect_list(F.struct("_qy", "_qx", "least")).alias("_squares"))
+        reach = F.col("_reach") if max_km is None else F.least("_reach", F.lit(float(max_km)))
+        held = held.withColumn("_reach", reach + F.lit(SLACK_KM))
+        kept = held.select(lat, lng, F.inline(F.filter("_squares", lambda s: s["least"] <= F.col("_reach")))).select(
+            lat, lng, F.col("_qy").alias("_py"), F.col("_qx").alias("_px"))
+    filed = chosen.select("_site", "_slat", "_slng", *_square("_slat", "_slng", SQUARES[depth]))
+    pairs = kept.withColumnsRenamed({"_py": "_qy", "_px": "_qx"}).join(filed, ["_qy", "_qx"]).withColumn(
+        "_km", F.round(haversine_km(F.col(lat), F.col(lng), F.col("_slat"), F.col("_slng")), 6))
     if max_km is not None:
         pairs = pairs.where(F.col("_km") <= max_km)
     best = pairs.groupBy(lat, lng).agg(F.min(F.struct("_km", "_site")).alias("_best"))

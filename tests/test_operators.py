@@ -208,6 +208,23 @@ def test_spatial_and_range_joins_have_no_nested_loops(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_nearest_around_poles_date_line_and_dense_squares(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "CROWD", 3)
+    rng = random.Random(12)
+    around = lambda y, x, d: (max(-90.0, min(90.0, y + rng.uniform(-d, d))), (x + rng.uniform(-d, d) + 180) % 360 - 180)
+    places = [(90.0, 0.0), (-90.0, 0.0), (0.0, 180.0), (52.0, 179.9), (49.4, 8.4)]
+    sites = [(f"s{i:03d}", *around(*places[i % 5], rng.choice([0.01, 1, 20]))) for i in range(150)] + [("s900", 90.0, 10.0), ("s901", 90.0, 100.0)]
+    points = [(i, *around(*places[i % 5], rng.choice([0.005, 0.5, 30, 90]))) for i in range(250)] + [(900, 90.0, 55.0), (901, -49.4, -171.6), (902, 0.0, 180.0), (903, 0.0, -180.0)]
+    p = spark.createDataFrame(points, "id int, lat double, lng double")
+    s = spark.createDataFrame(sites, "site string, lat double, lng double")
+    km = F.round(haversine_km(F.col("lat"), F.col("lng"), F.col("b"), F.col("c")), 6)
+    every = p.crossJoin(s.toDF("site", "b", "c")).withColumn("km", km).groupBy("id").agg(F.min(F.struct("km", "site")).alias("m"))
+    found = spatial.nearest(p, s, "site")
+    assert rows(found.select("id", "distance_km", "site")) == rows(every.select("id", "m.km", "m.site"))
+    near = spatial.nearest(p, s, "site", 100.0).select("id", "distance_km", "site")
+    assert rows(near) == rows(every.where("m.km <= 100").select("id", "m.km", "m.site"))
+
+
 def test_nearest_equals_brute_force(spark):
     rng = random.Random(5)
     points = [(i, rng.uniform(-89, 89), rng.uniform(-180, 180)) for i in range(120)]
