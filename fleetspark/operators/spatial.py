@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetspark.functions.geo import haversine_km, inside, milli, ring_edges, wkt_point
+from fleetspark.functions.geo import haversine_km, milli, ring_edges, wkt_point
 from fleetspark.functions.numbers import decimals
 from fleetspark.operators.keys import asc
 from fleetspark.session import stored
@@ -14,42 +16,56 @@ CELL_SIZES = [0.01 * 4**i for i in range(8)]
 CELLS_PER_AXIS = 16
 
 
-def _bounding_box() -> list[Column]:
-    """x0, x9, y0, y9 of the edges column; rings are closed, so the first corners are all corners."""
-    x = F.transform("edges", lambda e: e.x1)
-    y = F.transform("edges", lambda e: e.y1)
-    return [F.array_min(x).alias("x0"), F.array_max(x).alias("x9"), F.array_min(y).alias("y0"), F.array_max(y).alias("y9")]
+EDGES_PER_SLAB = 64
+
+
+def _parts(layer: DataFrame) -> Column:
+    return F.col("parts") if "parts" in layer.columns else F.transform("rings", lambda r: F.lit(0)).alias("parts")
 
 
-def layer_cells(layer: DataFrame) -> DataFrame:
-    """(layer_order, name, rings) filed by grid cell: (level, cx, cy, layer_order, name, edges).
+def stored_polygons(layer: DataFrame, keys: list[str]) -> DataFrame:
+    """Polygons with a number, the keys, their box and the height of the slabs their edges are filed under.
 
-    The cell size follows the polygon, so even a continent fills at most about 17 x 17 cells. A cell
-    keeps only the edges a ray to the right can meet: those reaching into its row and not ending
-    left of it.
+    A slab holds some dozens of edges; no polygon has more than about two filed edges per edge. ``parts`` tells which
+    part of a multi-polygon each ring belongs to; without it all rings are one part.
     """
-    box = layer.withColumn("edges", ring_edges(F.col("rings"))).select(
-        "layer_order", "name", "edges",
-        *_bounding_box(),
-    )
+    corners = F.flatten("rings")
+    x, y = F.transform(corners, lambda p: p.x), F.transform(corners, lambda p: p.y)
+    climb = F.aggregate(ring_edges(F.col("rings")), F.lit(0.0), lambda a, e: a + F.abs(e.y2 - e.y1))
+    sized = layer.select(F.monotonically_increasing_id().alias("_poly"), *keys, "rings", _parts(layer), F.array_min(x).alias("x0"),
+                         F.array_max(x).alias("x9"), F.array_min(y).alias("y0"), F.array_max(y).alias("y9"), F.size(corners).alias("n"), climb.alias("climb"))
+    height = F.greatest((F.col("y9") - F.col("y0")) / F.ceil(F.col("n") / EDGES_PER_SLAB), F.col("climb") / F.col("n"), F.lit(1e-12))
+    return stored(sized.where("n > 0").withColumn("height", height).drop("n", "climb"), "polygons")
+
+
+def slab(y: Column) -> Column:
+    """The slab of a polygon at ``y``; never falls as y rises."""
+    return F.floor((y - F.col("y0")) / F.col("height"))
+
+
+def filed_edges(polygons: DataFrame) -> DataFrame:
+    """Edges as rows (_poly, part, _slab, x1, y1, x2, y2), one for each slab an edge reaches into; level ones cross nothing."""
+    rings = polygons.select("_poly", "parts", "y0", "height", F.posexplode("rings").alias("_at", "_ring"))
+    edges = rings.select("_poly", "y0", "height", F.get("parts", F.col("_at")).alias("part"), F.inline(ring_edges(F.array("_ring")))).where("y1 <> y2")
+    return edges.withColumn("_slab", F.explode(F.sequence(slab(F.least("y1", "y2")), slab(F.greatest("y1", "y2"))))).drop("y0", "height")
+
+
+def polygon_cells(polygons: DataFrame) -> DataFrame:
+    """Boxes filed by grid cell (level, cx, cy); the cell size follows the box, which fills at most about 17 x 17 cells."""
     extent = F.greatest(F.col("x9") - F.col("x0"), F.col("y9") - F.col("y0"))
     level = F.lit(len(CELL_SIZES) - 1)
     for i in reversed(range(len(CELL_SIZES) - 1)):
         level = F.when(extent <= CELL_SIZES[i] * CELLS_PER_AXIS, i).otherwise(level)
     size = F.element_at(F.array(*(F.lit(s) for s in CELL_SIZES)), F.col("level") + 1)
     index = lambda c: F.floor(F.col(c) / F.col("size"))
-    cells = (
-        box.withColumn("level", level).withColumn("size", size)
+    return (
+        polygons.drop("rings", "parts").withColumn("level", level).withColumn("size", size)
         .withColumn("cx", F.explode(F.sequence(index("x0"), index("x9"))))
-        .withColumn("cy", F.explode(F.sequence(index("y0"), index("y9"))))
+        .withColumn("cy", F.explode(F.sequence(index("y0"), index("y9")))).drop("size")
     )
-    # A margin of a millionth of a cell: the bounds are recomputed from the cell number.
-    low = (F.col("cy") - 1e-6) * F.col("size")
-    high = (F.col("cy") + 1 + 1e-6) * F.col("size")
-    left = (F.col("cx") - 1e-6) * F.col("size")
-    near = F.filter("edges", lambda e: (F.greatest(e.y1, e.y2) >= low) & (F.least(e.y1, e.y2) <= high)
-                    & (F.greatest(e.x1, e.x2) >= left))
-    return cells.select("level", "cx", "cy", "layer_order", "name", near.alias("edges")).where(F.size("edges") > 0)
+
+
+CROSSING_X = "(x2 - x1) * ({y} - y1) / (y2 - y1) + x1"
 
 
 def _point_cells(points: DataFrame, lat: str, lng: str) -> DataFrame:
@@ -60,11 +76,22 @@ def _point_cells(points: DataFrame, lat: str, lng: str) -> DataFrame:
     return points.select("*", F.inline(levels))
 
 
-def containing(points: DataFrame, layer: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    """(lat, lng, layer_order, name) of every polygon around each distinct point."""
-    spots = points.select(lat, lng).dropna().distinct()
-    hits = _point_cells(spots, lat, lng).join(layer_cells(layer), ["level", "cx", "cy"])
-    return hits.where(inside(F.col("edges"), F.col(lng), F.col(lat))).select(lat, lng, "layer_order", "name")
+def containing(points: DataFrame, layer: DataFrame, lat: str = "lat", lng: str = "lng", keys: tuple[str, ...] = ("layer_order", "name")) -> DataFrame:
+    """(lat, lng, *keys) of every polygon around each distinct point.
+
+    A point meets the polygons whose box holds it, through grid cells, and of these only the edges of its own slab. A part
+    holds the point if a ray to the right crosses it an odd number of times; the crossings are counted edge by edge, before
+    and after the shuffle, so the edges of a large polygon and the points of a crowded one may lie in any number of tasks.
+    """
+    polygons = stored_polygons(layer, list(keys))
+    spots = points.select(F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).dropna().distinct()
+    near = _point_cells(spots, "_lat", "_lng").join(polygon_cells(polygons), ["level", "cx", "cy"]).where(
+        "_lat BETWEEN y0 AND y9 AND _lng BETWEEN x0 AND x9")
+    met = near.select("_lat", "_lng", "_poly", slab(F.col("_lat")).alias("_slab")).join(filed_edges(polygons), ["_poly", "_slab"])
+    crossed = met.where(f"(y1 > _lat) <> (y2 > _lat) AND _lng < {CROSSING_X.format(y='_lat')}")
+    odd = crossed.groupBy("_lat", "_lng", "_poly", "part").agg(F.count("*").alias("n")).where("n % 2 = 1")
+    held = odd.select("_lat", "_lng", "_poly").distinct().join(polygons.select("_poly", *keys), "_poly")
+    return held.select(F.col("_lat").alias(lat), F.col("_lng").alias(lng), *keys)
 
 
 def _first_polygon(points: DataFrame, layer: DataFrame, lat: str, lng: str) -> DataFrame:
@@ -266,14 +293,15 @@ def geo_information(
     members. Locations already in ``known`` keep their stored row.
     """
     fresh = locations if known is None else locations.join(known.select("location_id"), "location_id", "left_anti")
-    fresh = fresh.withColumn("_glat", decimals(F.col("lat"), 2)).withColumn("_glng", decimals(F.col("lng"), 2))
-    # Read once per layer, so kept as a table: about one row per square kilometre with locations.
-    spots = stored(fresh.select("_glat", "_glng").distinct(), "cells")
-    cells = spots
+    fresh = fresh.withColumn("_glat", decimals(F.col("lat"), 2)).withColumn("_glng", decimals(F.col("lng"), 2)).dropna(subset=["_glat", "_glng"])
+    # All layers are looked up together, and the first polygon of each is picked in one grouping.
+    every = [layers[c].select("layer_order", "name", "rings", _parts(layers[c]), F.lit(c).alias("layer")) for c in GEO_LAYERS]
+    hits = containing(fresh, reduce(DataFrame.unionByName, every), "_glat", "_glng", ("layer", "layer_order", "name"))
+    first = lambda c: F.min(F.when(F.col("layer") == c, F.struct("layer_order", "name"))).getField("name").alias(c)
+    cells = stored(hits.groupBy("_glat", "_glng").agg(*[first(c) for c in GEO_LAYERS]), "cells")
+    out = fresh.join(cells, ["_glat", "_glng"], "left")
     for column, numeric in GEO_LAYERS.items():
-        found = _first_polygon(spots, layers[column], "_glat", "_glng")
-        cells = cells.join(found, ["_glat", "_glng"], "left").withColumn(column, _shown(numeric)).drop("_name")
-    out = fresh.join(cells, ["_glat", "_glng"])
+        out = out.withColumn("_name", F.col(column)).withColumn(column, _shown(numeric)).drop("_name")
     out = lookup_city(out, cities) if cities is not None else out.withColumn("city", F.lit(None).cast("string"))
     out = lookup_elevation(out, heights) if heights is not None else out.withColumn("elevation", F.lit(None).cast("smallint"))
     out = out.select(
@@ -286,25 +314,36 @@ METRES_PER_DEGREE = 111_320.0
 
 
 def city_grid(areas: DataFrame, spacing_m: float = 250.0, limit: int | None = None) -> DataFrame:
-    """Regular points (city, i, j, lat, lng) inside the union of each city's polygons (city, rings).
+    """Regular points (city, i, j, lat, lng) inside the union of each city's polygons (city, rings[, parts]).
 
-    The grid starts at the south-west corner of the city; every polygon tests only the points of its
-    own bounding box, on its own edges, so nothing is joined. ``limit`` keeps the first points.
+    The grid starts at the south-west corner of the city. Each row of the grid is cut with the edges of its slab, and
+    between an odd crossing of a part and the next one lie its points; rows of a city's polygons and parts are merged as
+    spans of columns before a single point is made. The work follows the edges, the rows and the result, not the box.
+    ``limit`` keeps the first points.
     """
-    step_lat = F.lit(spacing_m / METRES_PER_DEGREE)
-    box = areas.withColumn("edges", ring_edges(F.col("rings"))).select(
-        "city", "edges",
-        *_bounding_box(),
-    )
-    corner = box.groupBy("city").agg(F.min("x0").alias("ox"), F.min("y0").alias("oy"))
-    step_lng = spacing_m / (METRES_PER_DEGREE * F.cos(F.radians("oy")))
-    placed = box.join(corner, "city").withColumn("sx", step_lng).withColumn("sy", step_lat)
-    index = lambda lo, hi, origin, step: F.sequence(
-        F.floor((F.col(lo) - F.col(origin)) / F.col(step)), F.ceil((F.col(hi) - F.col(origin)) / F.col(step)))
-    grid = (
-        placed.withColumn("i", F.explode(index("x0", "x9", "ox", "sx"))).withColumn("j", F.explode(index("y0", "y9", "oy", "sy")))
-        .withColumn("lng", F.col("ox") + F.col("i") * F.col("sx")).withColumn("lat", F.col("oy") + F.col("j") * F.col("sy"))
-        .where(inside(F.col("edges"), F.col("lng"), F.col("lat")))
-        .select("city", "i", "j", "lat", "lng").dropDuplicates(["city", "i", "j"])
-    )
+    polygons = stored_polygons(areas, ["city"])
+    corner = polygons.groupBy("city").agg(F.min("x0").alias("ox"), F.min("y0").alias("oy")).withColumn(
+        "sy", F.lit(spacing_m / METRES_PER_DEGREE)).withColumn("sx", spacing_m / (METRES_PER_DEGREE * F.cos(F.radians("oy"))))
+    placed = polygons.join(corner, "city")
+    index = lambda c: (F.col(c) - F.col("oy")) / F.col("sy")
+    lines = placed.withColumn("j", F.explode(F.sequence(F.floor(index("y0")), F.ceil(index("y9"))))).withColumn("lat", F.col("oy") + F.col("j") * F.col("sy"))
+    cut = lines.select("city", "_poly", "j", "lat", "ox", "sx", slab(F.col("lat")).alias("_slab")).join(filed_edges(polygons), ["_poly", "_slab"])
+    crossings = cut.where("(y1 > lat) <> (y2 > lat)").groupBy("city", "j", "lat", "ox", "sx", "_poly", "part").agg(
+        F.sort_array(F.collect_list(F.expr(CROSSING_X.format(y="lat")))).alias("xs"))
+    # A point of column i is inside if xs[2k] <= ox + i * sx < xs[2k + 1]; the bounds are guessed and put right by one.
+    at = lambda i: F.col("ox") + i * F.col("sx")
+    guess = lambda x: F.ceil((x - F.col("ox")) / F.col("sx"))
+
+    def first(x):
+        g = guess(x)
+        return F.when(at(g - 1) >= x, g - 1).when(at(g) >= x, g).otherwise(g + 1)
+
+    pairs = F.transform(F.sequence(F.lit(1), F.size("xs"), F.lit(2)), lambda k: F.struct(
+        first(F.element_at("xs", k)).alias("lo"), (first(F.element_at("xs", k + 1)) - 1).alias("hi")))
+    spans = crossings.select("city", "j", "lat", "ox", "sx", F.filter(pairs, lambda s: s["lo"] <= s["hi"]).alias("spans"))
+    joined = spans.groupBy("city", "j", "lat", "ox", "sx").agg(F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"))
+    furthest = F.expr("transform(spans, (s, k) -> coalesce(array_max(transform(slice(spans, 1, k), t -> t.hi)), s.lo - 1))")
+    own = F.zip_with("spans", furthest, lambda s, before: F.struct(F.greatest(s["lo"], before + 1).alias("lo"), s["hi"].alias("hi")))
+    columns = joined.select("city", "j", "lat", "ox", "sx", F.inline(F.filter(own, lambda s: s["lo"] <= s["hi"])))
+    grid = columns.withColumn("i", F.explode(F.sequence("lo", "hi"))).select("city", "i", "j", "lat", at(F.col("i")).alias("lng"))
     return grid if limit is None else grid.orderBy(*asc("city", "j", "i")).limit(limit)

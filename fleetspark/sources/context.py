@@ -92,20 +92,23 @@ FEATURE = "struct<properties: map<string, string>, geometry: struct<type: string
 
 
 def polygon_rows(features: DataFrame, name: str, order: str = "pos", constants: dict[str, str] | None = None, extra: dict[str, str] | None = None) -> DataFrame:
-    """(layer_order, name, rings[, ...]) of the polygons among feature structs; other geometries are left out.
+    """(layer_order, name, rings, parts[, ...]) of the polygons among feature structs; other geometries are left out.
 
+    ``parts`` numbers the part of a multi-polygon each ring belongs to; parts may overlap.
     ``name`` is the property that becomes the name, ``extra`` maps further properties to columns and
     ``constants`` adds fixed columns.
     """
     kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     polygon = F.from_json(text, "array<array<array<double>>>")
-    multi = F.flatten(F.from_json(text, "array<array<array<array<double>>>>"))
+    multi = F.from_json(text, "array<array<array<array<double>>>>")
+    parts = F.when(kind == "Polygon", F.transform(polygon, lambda ring: F.lit(0))).otherwise(
+        F.flatten(F.transform(multi, lambda rings, i: F.transform(rings, lambda ring: i))))
     rings = F.transform(
-        F.when(kind == "Polygon", polygon).otherwise(multi),
+        F.when(kind == "Polygon", polygon).otherwise(F.flatten(multi)),
         lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
     prop = lambda p: F.try_element_at(F.col("f.properties"), F.lit(p))
     return features.where(kind.isin("Polygon", "MultiPolygon")).select(
-        F.col(order).cast("int").alias("layer_order"), prop(name).alias("name"), rings.alias("rings"),
+        F.col(order).cast("int").alias("layer_order"), prop(name).alias("name"), rings.alias("rings"), parts.alias("parts"),
         *(prop(p).alias(c) for p, c in (extra or {}).items()), *(F.lit(v).alias(c) for c, v in (constants or {}).items()))
 
 

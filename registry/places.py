@@ -110,6 +110,14 @@ def grid(t: Source):
     return spatial.city_grid(areas, 2000.0).withColumns({"lat": F.round("lat", 6), "lng": F.round("lng", 6)})
 
 
+def fine_grid(t: Source):
+    """The usual spacing on all areas, summed up: the points themselves would be some ten million at any scale."""
+    areas = layer(t).select(F.col("name").alias("city"), "rings")
+    return spatial.city_grid(areas).groupBy("city").agg(
+        F.count("*").alias("points"), F.sum("i").alias("sum_i"), F.sum("j").alias("sum_j"), F.sum(F.col("i") * F.col("j")).alias("sum_ij"),
+        F.round(F.min("lat"), 6).alias("south"), F.round(F.max("lng"), 6).alias("east"))
+
+
 QUERIES = [
     Query(
         "d1_assign_ids", spot_ids, "SELECT cast(location_id AS integer) AS location_id, lat, lng FROM (" + ALL_CELLS_SQL + ") c",
@@ -242,6 +250,17 @@ QUERIES = [
             FROM {{spots}} s LEFT JOIN ({CITIES_SQL}) c ON round(abs(c.lat - s.lat) * 1000) <= 10 AND round(abs(c.lng - s.lng) * 1000) <= 10 GROUP BY s.lat, s.lng""",
     ),
     Query("e5_city_grid", grid, grid_sql()),
+    Query(
+        "e5_city_grid_250m", fine_grid,
+        """WITH o AS (SELECT name AS city, min(x1) AS ox, min(y1) AS oy, max(y1) AS my, 250.0 / 111320.0 AS sy FROM {edges} GROUP BY name),
+           g AS (SELECT *, 250.0 / (111320.0 * cos(radians(oy))) AS sx, unnest(range(0, cast(ceil((my - oy) / (250.0 / 111320.0)) AS bigint) + 1)) AS j FROM o),
+           l AS (SELECT *, oy + j * sy AS lat FROM g),
+           c AS (SELECT city, j, lat, ox, sx, (x2 - x1) * (lat - y1) / (y2 - y1) + x1 AS x FROM l JOIN {edges} e ON e.name = city AND (y1 > lat) <> (y2 > lat)),
+           s AS (SELECT *, lead(x) OVER w AS xe, row_number() OVER w AS k FROM c WINDOW w AS (PARTITION BY city, j ORDER BY x)),
+           p AS (SELECT *, unnest(range(cast(floor((x - ox) / sx) AS bigint) - 1, cast(ceil((xe - ox) / sx) AS bigint) + 2)) AS i FROM s WHERE k % 2 = 1)
+           SELECT city, count(*) AS points, sum(i)::BIGINT AS sum_i, sum(j)::BIGINT AS sum_j, sum(i * j)::BIGINT AS sum_ij,
+             round(min(lat), 6) AS south, round(max(ox + i * sx), 6) AS east FROM p WHERE ox + i * sx >= x AND ox + i * sx < xe GROUP BY city""",
+    ),
     Query(
         "g1_haversine_km",
         lambda t: t("points").withColumn("o", t("points").agg(F.struct(F.min("lat").alias("lat"), F.min("lng").alias("lng"))).scalar()).select(

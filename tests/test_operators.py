@@ -423,6 +423,67 @@ def test_polygon_layer_file(spark, tmp_path):
     assert rows(spatial.point_in_polygon(points, layer)) == [(0.5, 0.5, "a"), (1.5, 1.5, "m"), (7.0, 7.0, ""), (8.1, 8.5, "m")]
 
 
+def test_parts_of_a_multipolygon_may_overlap(spark, tmp_path):
+    from fleetspark.sources.context import read_polygon_layer
+
+    (tmp_path / "l.json").write_text("""{"type": "FeatureCollection", "features": [
+      {"type": "Feature", "properties": {"GEN": "m"}, "geometry": {"type": "MultiPolygon", "coordinates": [
+        [[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]], [[3, 3], [3.5, 3], [3.5, 3.5], [3, 3.5], [3, 3]]], [[[2, 2], [6, 2], [6, 6], [2, 6], [2, 2]]]]}},
+      {"type": "Feature", "properties": {"GEN": "m"}, "geometry": {"type": "MultiPolygon", "coordinates": [[[[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]]]}}]}""")
+    layer = read_polygon_layer(spark, str(tmp_path / "l.json"), "GEN")
+    points = spark.createDataFrame([(1.0, 1.0), (2.5, 2.5), (3.2, 3.2), (5.0, 5.0), (5.0, 1.0)], "lat double, lng double")
+    found = spatial.containing(points, layer, keys=("layer_order",))
+    assert rows(found) == [(1.0, 1.0, 0), (1.0, 1.0, 1), (2.5, 2.5, 0), (2.5, 2.5, 1), (3.2, 3.2, 0), (3.2, 3.2, 1), (5.0, 5.0, 0)]
+
+
+def test_a_polygon_of_very_many_edges_lies_in_many_tasks(spark):
+    import math
+
+    n = 100_000
+    radius = lambda k: 1 + 0.1 * (k % 2)
+    angles = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct(
+        ((1 + 0.1 * (k % 2)) * F.cos(2 * math.pi * k / n)).alias("x"), ((1 + 0.1 * (k % 2)) * F.sin(2 * math.pi * k / n)).alias("y")))
+    layer = spark.range(1).select(F.lit(1).alias("layer_order"), F.lit("star").alias("name"), F.array(angles).alias("rings"))
+    polygons = spatial.stored_polygons(layer, ["name"])
+    edges = spatial.filed_edges(polygons)
+    assert edges.count() <= 4 * n
+    filed = edges.repartition(8, "_poly", "_slab").groupBy(F.spark_partition_id()).count().collect()
+    assert len(filed) == 8 and max(r["count"] for r in filed) < 4 * edges.count() / 8
+    points = spark.createDataFrame([(0.0001, 0.9), (0.7, -0.7), (0.0001, 1.2), (0.9, 0.9), (0.0001, -1.11)], "lat double, lng double")
+    assert sorted(r.lat for r in spatial.containing(points, layer).collect()) == [0.0001, 0.7]
+
+
+def test_grid_equals_brute_force(spark):
+    rng = random.Random(4)
+    areas, span = [], 0.05
+    for city in "abc":
+        for _ in range(3):
+            parts = []
+            for part in range(2):
+                x, y = 8 + rng.uniform(0, span), 49 + rng.uniform(0, span)
+                parts += [([{"x": x + rng.uniform(-span, span), "y": y + rng.uniform(-span, span)} for _ in range(rng.randrange(3, 12))], part)]
+            areas.append((city, [r for r, _ in parts], [p for _, p in parts]))
+    df = spark.createDataFrame(areas, "city string, rings array<array<struct<x:double,y:double>>>, parts array<int>")
+    got = {(r.city, r.i, r.j) for r in spatial.city_grid(df, 500.0).collect()}
+
+    def odd(ring, x, y):
+        return sum((p["y"] > y) != (q["y"] > y) and x < (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"] for p, q in zip(ring, ring[1:] + ring[:1])) % 2
+
+    import math
+
+    want = set()
+    for city in "abc":
+        rings = [r for c, rs, _ in areas if c == city for r in rs]  # every ring is a part of its own
+        xs, ys = [p["x"] for r in rings for p in r], [p["y"] for r in rings for p in r]
+        sy = 500.0 / 111_320.0
+        sx = 500.0 / (111_320.0 * math.cos(math.radians(min(ys))))
+        for i in range(math.ceil((max(xs) - min(xs)) / sx) + 1):
+            for j in range(math.ceil((max(ys) - min(ys)) / sy) + 1):
+                if any(odd(r, min(xs) + i * sx, min(ys) + j * sy) for r in rings):
+                    want.add((city, i, j))
+    assert got == want and len(got) == spatial.city_grid(df, 500.0).count()
+
+
 def test_facts_are_stable_when_run_again(spark, tmp_path):
     from fleetspark.plans.facts import update_facts
 
