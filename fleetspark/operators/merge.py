@@ -81,6 +81,15 @@ def merge_counts(a: DataFrame, b: DataFrame, merged: DataFrame, ts: str, entity:
         "consistent", F.col("kept_a") + F.col("added_b") == F.col("merged"))
 
 
+def checked_merge(a: DataFrame, b: DataFrame, merged: DataFrame, ts: str, entity: str) -> DataFrame:
+    """``merged`` as a stored table; refuses a merge whose rows are not those kept from ``a`` and added from ``b``."""
+    merged = stored(merged, "merged")
+    counts = merge_counts(a, b, merged, ts, entity).first()
+    if not counts.consistent:
+        raise ValueError(f"merged {counts.merged} rows, {counts.kept_a} kept and {counts.added_b} added were expected")
+    return merged
+
+
 def merge_operator_feeds(
     native_a: DataFrame, legacy_a: DataFrame, native_b: DataFrame, legacy_b: DataFrame,
     scope: list[str] = ("operator", "date"), order: list[Column] | None = None,

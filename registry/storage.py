@@ -53,6 +53,32 @@ SELECT ts AS timestamp, ts AS last_updated, cast(user_id AS varchar) AS vehicle_
        CASE WHEN event_id % 2 = 0 THEN date '2024-01-01' ELSE date '2024-01-02' END AS day FROM {events}"""
 
 
+def mixed_vehicle_status(t: Source):
+    """Days whose writers disagreed: whole numbers and fractions, nanoseconds and microseconds, an unsigned number, a late column.
+
+    Nanosecond files cannot be written by Spark; such a day holds them as the longs Spark reads them as.
+    """
+    root = scratch_path(t.spark, "vehicle_status")
+    nanos = F.unix_micros(F.col("ts").cast("timestamp")) * 1000
+    e = t("events").select("event_id", "ts", (49.4 + F.col("value") / 10000).alias("lat"), (8.4 + F.col("event_id") % 1000 / 30000).alias("lon"), "user_id", "value")
+    days = {
+        "2024-01-01": [F.col("ts").cast("timestamp").alias("timestamp"), F.col("value").cast("int").alias("current_range_meters"), F.col("user_id").cast("int").alias("vehicle_id")],
+        "2024-01-02": [nanos.alias("timestamp"), F.col("value").alias("current_range_meters"), F.col("user_id").cast("decimal(20,0)").alias("vehicle_id"),
+                       F.concat(F.lit("S"), F.col("event_id") % 7).alias("station_id")],
+        "2024-01-03": [F.col("ts").cast("timestamp_ntz").alias("timestamp"), F.col("value").cast("bigint").alias("current_range_meters"), F.col("user_id").cast("bigint").alias("vehicle_id")],
+    }
+    for part, (day, columns) in enumerate(days.items()):
+        e.where(F.col("event_id") % 3 == part).select("lat", "lon", *columns).write.parquet(f"{root}/{day}/vehicle_status.parquet")
+    found = snapshots.read_vehicle_status(t.spark, root)
+    return found.select("timestamp", "vehicle_id", "lat", "lon", "current_range_meters", "station_id", "day")
+
+
+MIXED_VEHICLE_SQL = """
+SELECT ts AS timestamp, user_id AS vehicle_id, round(49.4 + value / 10000, 3) AS lat, round(8.4 + cast(event_id % 1000 AS double) / 30000, 3) AS lon,
+       CASE event_id % 3 WHEN 1 THEN value ELSE trunc(value) END AS current_range_meters, CASE WHEN event_id % 3 = 1 THEN concat('S', event_id % 7) END AS station_id,
+       date '2024-01-01' + cast(event_id % 3 AS integer) AS day FROM {events}"""
+
+
 def zone_snapshots(t: Source):
     root = scratch_path(t.spark, "zones")
     z = t("zone_snap").select(
@@ -396,6 +422,7 @@ def dimensions(t: Source):
 
 QUERIES = [
     Query("s1_read_vehicle_status", vehicle_status, VEHICLE_SQL),
+    Query("s1_read_vehicle_status_mixed", mixed_vehicle_status, MIXED_VEHICLE_SQL),
     Query("s2_read_zone_snapshots", zone_snapshots, ZONE_SQL),
     *(Query(f"s3_read_station_network_{n}", lambda t, n=n: station_network(t, n), f"SELECT DISTINCT * FROM {{{n}}}") for n in ("bikes", "places", "cities", "countries")),
     Query(

@@ -423,6 +423,57 @@ def test_polygon_layer_file(spark, tmp_path):
     assert rows(spatial.point_in_polygon(points, layer)) == [(0.5, 0.5, "a"), (1.5, 1.5, "m"), (7.0, 7.0, ""), (8.1, 8.5, "m")]
 
 
+def test_promotion_of_column_types():
+    from fleetspark.sources.schemas import promoted
+
+    assert promoted({"int", "double"}) == "double" and promoted({"int", "bigint"}) == "bigint" and promoted({"float"}) == "float"
+    assert promoted({"decimal(20,0)"}) == promoted({"decimal(20,0)", "int"}) == "bigint" and promoted({"timestamp", "timestamp_ntz"}) == "timestamp"
+    for odd in ({"string", "int"}, {"boolean", "bigint"}, {"timestamp", "bigint"}, {"array<int>", "int"}):
+        with pytest.raises(ValueError):
+            promoted(odd)
+
+
+def test_files_of_many_schemas(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    at = [1_714_521_600_123_456_789, 1_714_521_601_000_000_001]
+    days = [
+        {"timestamp": pa.array(at, pa.timestamp("ns", "UTC")), "current_range_meters": pa.array([1, 2], pa.int32()), "n": pa.array([1, 2], pa.uint64())},
+        {"timestamp": pa.array([x // 1000 for x in at], pa.timestamp("us", "UTC")), "current_range_meters": pa.array([1.5, None], pa.float64()), "n": pa.array([3, 4], pa.int16())},
+        {"timestamp": pa.array([x // 10**6 for x in at], pa.timestamp("ms", "UTC")), "current_range_meters": pa.array([7, 8], pa.int64()), "station_id": pa.array(["a", "b"])},
+    ]
+    for i, columns in enumerate(days * 2):
+        (tmp_path / f"2024-05-0{i + 1}").mkdir()
+        table = pa.table({**columns, "lat": [49.0, 49.1], "lon": [8.0, 8.1], "vehicle_id": ["x", "y"]})
+        pq.write_table(table, tmp_path / f"2024-05-0{i + 1}" / "vehicle_status.parquet")
+    from fleetspark.sources.schemas import by_schema, parquet_files
+
+    files = parquet_files(spark, f"{tmp_path}/*/vehicle_status.parquet")
+    assert sorted(len(x) for x in by_schema(spark, files)) == [2, 2, 2]
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    try:
+        found = snapshots.read_vehicle_status(spark, str(tmp_path))
+        assert dict(found.dtypes)["timestamp"] == "timestamp" and dict(found.dtypes)["current_range_meters"] == "double"
+        got = sorted((r.day.day, r.vehicle_id, r.timestamp.microsecond, r.current_range_meters, r.station_id) for r in found.collect())
+        assert got[:6] == [(1, "x", 123456, 1.0, None), (1, "y", 0, 2.0, None), (2, "x", 123456, 1.5, None), (2, "y", 0, None, None), (3, "x", 123000, 7.0, "a"), (3, "y", 0, 8.0, "b")]
+        (tmp_path / "2024-06-01").mkdir()
+        pq.write_table(pa.table({"timestamp": days[0]["timestamp"], "lat": [1.0, 2.0]}), tmp_path / "2024-06-01" / "vehicle_status.parquet")
+        with pytest.raises(ValueError, match="lon"):
+            snapshots.read_vehicle_status(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+
+
+def test_a_merge_with_wrong_counts_is_refused(spark):
+    a = spark.createDataFrame([(T0, "v1"), (T0, "v2")], "last_updated timestamp, vehicle_id string")
+    b = spark.createDataFrame([(T0, "v3"), (T0 + dt.timedelta(hours=1), "v1")], "last_updated timestamp, vehicle_id string")
+    good = merge.merge_snapshots(a, b)
+    assert merge.checked_merge(a, b, good, "last_updated", "vehicle_id").count() == 3
+    with pytest.raises(ValueError, match="merged 2 rows"):
+        merge.checked_merge(a, b, good.limit(2), "last_updated", "vehicle_id")
+
+
 def test_parts_of_a_multipolygon_may_overlap(spark, tmp_path):
     from fleetspark.sources.context import read_polygon_layer
 
