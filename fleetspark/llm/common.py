@@ -69,6 +69,12 @@ def same(left: DataFrame, right: DataFrame, names: Iterable[tuple[str, str]]) ->
     return on
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 4 MB from now on: with 64 MB, the default, the buffers of the executor and of its Python
+    workers take more memory than the work itself. A longer row is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def splits(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import table
+from fleetspark.llm.common import small_batches, table
 from fleetspark.llm.pieces import HIDDEN, MARK, Vocabulary, default_path, load_vocabulary
 from fleetspark.session import stored
 
@@ -162,6 +162,7 @@ def _log_lattice(p: dict[str, float], of_bytes: list[float]) -> Lattice:
 
 def score_documents(docs: DataFrame, held_out, vocabulary: Vocabulary, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row."""
+    small_batches(docs.sparkSession)
     packets = stored(pack(docs, held_out, id_col, text), "packets")
     ends = packets.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
     listed = packets.select("packet", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w")).select(

@@ -21,11 +21,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import full, table
+from fleetspark.llm.common import full, small_batches, table
 
 MARK = "▁"
-HELD_WORDS = 400_000  # encoded words that a task keeps; a cache only
-PART = 4 << 20  # bytes of text encoded at a time
+HELD = 24 << 20  # bytes of encoded words that a task keeps, with some hundred for each word's entry; a cache only
+PART = 1 << 20  # bytes of text encoded at a time
 
 
 @dataclass(frozen=True)
@@ -146,10 +146,11 @@ class _Encoder:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.ids, self.ends, self.scores = array("i"), array("q", [0]), array("d")
+        self.held = 0
 
     def encode(self, runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Piece ids of all runs, and the number of ids and the score of each run."""
-        if len(self.number) > HELD_WORDS:
+        if self.held > HELD:
             self.clear()
         words, sizes = _words(runs)
         distinct = words.dictionary.to_pylist()
@@ -159,6 +160,7 @@ class _Encoder:
             self.ids.extend(ids)
             self.ends.append(len(self.ids))
             self.scores.append(score)
+            self.held += 120 + len(word) + 4 * len(ids)
         number = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
         run = np.repeat(np.arange(len(runs)), sizes)
         ends = np.array(self.ends)
@@ -168,72 +170,112 @@ class _Encoder:
         return np.array(self.ids, np.int32)[places], add(pieces).astype(np.int64), add(np.array(self.scores)[number])
 
 
-def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """Adds pieces (array of ids) and pieces_score (sum of their scores)."""
+def _slices(batch: pa.Array) -> Iterator[pa.Array]:
+    """Runs of rows with some megabytes of text together, whatever the number of rows in a batch."""
+    start = size = 0
+    for i, n in enumerate(pc.binary_length(batch).to_pylist()):
+        size += n or 0
+        if size >= PART:
+            yield batch.slice(start, i + 1 - start)
+            start, size = i + 1, 0
+    if start < len(batch):
+        yield batch.slice(start)
+
+
+def _encoded(encoder: _Encoder, texts: pa.Array) -> tuple[pa.ListArray, pa.Array]:
+    """Pieces and scores of a slice."""
+    values, counts, totals = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    rows: list[int] = []
+    runs: list[bytes] = []
+    size = 0
+
+    def flush() -> None:
+        ids, n, score = encoder.encode(runs)
+        values.append(ids)
+        np.add.at(counts, rows, n)
+        np.add.at(totals, rows, score)
+        rows.clear()
+        runs.clear()
+
+    for row, given in enumerate(texts):
+        for run in _runs(given.as_py() or ""):
+            rows.append(row)
+            runs.append(run)
+            size += len(run)
+            if size >= PART:
+                flush()
+                size = 0
+    if runs:
+        flush()
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))), pa.array(totals)
+
+
+class _Reader:
+    """Texts of arrays of piece ids."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.size = 1 + max(max(vocabulary.ids.values()), max(vocabulary.of_bytes))
+        shown = [b""] * (self.size + 1)  # the last stands for what is no piece
+        for piece, i in vocabulary.ids.items():
+            shown[i] = piece.replace(MARK, " ").encode()
+        for byte, i in enumerate(vocabulary.of_bytes):
+            shown[i] = bytes([byte])
+        self.shown = pa.array(shown, pa.binary())
+
+    def read(self, lists: pa.ListArray) -> pa.Array:
+        out = []
+        for ids in lists:
+            if not ids.is_valid:
+                out.append(None)
+                continue
+            at = pc.fill_null(ids.values, -1).to_numpy(zero_copy_only=False)
+            at = np.where((at < 0) | (at >= self.size), self.size, at)
+            one = pa.ListArray.from_arrays([0, len(at)], self.shown.take(pa.array(at)))
+            data = pc.binary_join(one, b"")[0].as_py()
+            out.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace"))
+        return pa.array(out, pa.string())
+
+
+def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", read_back: str | None = None) -> DataFrame:
+    """Adds pieces (array of ids) and pieces_score (sum of their scores), and on demand the text read back from the pieces.
+
+    Both ways in one function share a worker. What a task holds is bounded in bytes: slices of a batch, and a cache of words.
+    """
 
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _Encoder(vocabulary)
+        reader = _Reader(vocabulary) if read_back else None
         for batch in batches:
-            values, counts, totals = [np.zeros(0, np.int32)], np.zeros(len(batch), np.int64), np.zeros(len(batch))
-            rows: list[int] = []
-            runs: list[bytes] = []
-            size = 0
-
-            def flush() -> None:
-                ids, n, score = encoder.encode(runs)
-                values.append(ids)
-                np.add.at(counts, rows, n)
-                np.add.at(totals, rows, score)
-                rows.clear()
-                runs.clear()
-
-            for row, given in enumerate(batch):
-                for run in _runs(given.as_py()):
-                    rows.append(row)
-                    runs.append(run)
-                    size += len(run)
-                    if size >= PART:
-                        flush()
-                        size = 0
-            if runs:
-                flush()
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.StructArray.from_arrays(
-                [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values))), pa.array(totals)], ["ids", "score"])
+            for texts in _slices(batch):
+                ids, scores = _encoded(encoder, texts)
+                yield pa.StructArray.from_arrays([ids, scores, *([reader.read(ids)] if reader else [])],
+                                                 ["ids", "score", *(["text"] if reader else [])])
+            pa.default_memory_pool().release_unused()
 
-    result = F.arrow_udf(encode, "ids array<int>, score double")(full(text))
-    return docs.withColumn("_llm_pieces", result).withColumns(
-        {"pieces": F.col("_llm_pieces.ids"), "pieces_score": F.col("_llm_pieces.score")}).drop("_llm_pieces")
+    small_batches(docs.sparkSession)
+    result = F.arrow_udf(encode, "ids array<int>, score double" + (", text string" if read_back else ""))(full(text))
+    added = {"pieces": F.col("_llm_pieces.ids"), "pieces_score": F.col("_llm_pieces.score")}
+    if read_back:
+        added[read_back] = F.col("_llm_pieces.text")
+    return docs.withColumn("_llm_pieces", result).withColumns(added).drop("_llm_pieces")
 
 
 def decode_pieces(encoded: DataFrame, vocabulary: Vocabulary, pieces: str = "pieces", name: str = "decoded") -> DataFrame:
-    """Adds the text of an array of piece ids (null: null); the mark before the first word goes."""
-    size = 1 + max(max(vocabulary.ids.values()), max(vocabulary.of_bytes))
-    shown = [b""] * size
-    for piece, i in vocabulary.ids.items():
-        shown[i] = piece.replace(MARK, " ").encode()
-    for byte, i in enumerate(vocabulary.of_bytes):
-        shown[i] = bytes([byte])
+    """Adds the text of an array of piece ids (null: null); ids that are null or no piece read as nothing, the mark before
+    the first word goes."""
 
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        texts = pa.array(shown, pa.binary())
+        reader = _Reader(vocabulary)
         for batch in batches:
-            out = []
-            for ids in batch:
-                if not ids.is_valid:
-                    out.append(None)
-                    continue
-                one = pa.ListArray.from_arrays([0, len(ids.values)], texts.take(ids.values))
-                data = pc.binary_join(one, b"")[0].as_py()
-                out.append((data[1:] if data[:1] == b" " else data).decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+            yield reader.read(batch)
 
     return encoded.withColumn(name, F.arrow_udf(decode, "string")(F.col(pieces)))
 
 
 def op4_piece_encoding(spark, folder, path: str | None = None):
     vocabulary = load_vocabulary(path or default_path())
-    both = decode_pieces(encode_pieces(table(spark, folder, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+    both = encode_pieces(table(spark, folder, "documents").select("doc_id", "text"), vocabulary, read_back="decoded")
     return both.select(
         "doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces_score",
         F.sha2(F.array_join("pieces", " "), 256).alias("pieces_sha256"),

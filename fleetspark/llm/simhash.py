@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from fleetspark.llm.common import full, table
+from fleetspark.llm.common import full, small_batches, table
 from fleetspark.llm.components import components
 from fleetspark.session import stored
 
@@ -55,6 +55,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", shingle: int = 3, name
             found = np.fromiter((fingerprint((x.as_py() or "").encode(), shingle) for x in texts), np.uint64, len(texts))
             yield pa.array(found.view(np.int64))
 
+    small_batches(docs.sparkSession)
     return docs.withColumn(name, F.arrow_udf(of_texts, "long")(F.col(text)))
 
 

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import full, table
+from fleetspark.llm.common import full, small_batches, table
 from fleetspark.session import stored
 
 BASE = 0x9E3779B97F4A7C15
@@ -265,6 +265,7 @@ def repeated_runs(keyed: DataFrame, width: int = 100, grams: tuple[int, ...] = (
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 100,
                     grams: tuple[int, ...] = (32, 64, 100)) -> DataFrame:
     """Adds n_bytes, n_removed, n_spans, kept_bytes and kept_text (characters that lost bytes go whole)."""
+    small_batches(docs.sparkSession)
     keyed = _documents(docs, id_col, text)
     runs = repeated_runs(keyed, width, grams).groupBy(F.col("doc").alias("_llm_of"), F.col("tie").alias("_llm_of_tie")).agg(
         F.collect_list(F.struct("at", "n")).alias("_llm_runs"))

@@ -1,5 +1,6 @@
 """Operators on vectors, conversations and pages, and components, against brute force."""
 
+import base64
 import gzip
 import hashlib
 import random
@@ -151,6 +152,59 @@ def test_coded_bodies_and_other_records():
         assert warc.derivatives(other) == []
 
 
+def test_odd_lengths_and_charsets():
+    def record(charset):
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}\r\n\r\n".encode() + "<p>é.</p>".encode()
+        return warc.build_record([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>")], block)
+
+    for charset in ("idna", "undefined", "hex", "rot13", "punycode", "no-such", "utf-16", "\u00b2"):
+        assert len(warc.derivatives(record(charset))) == 2
+    for length in ("\u00b2", "-1", "1" * 5000, "", " ", "0x1"):
+        data = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: " + length.encode() + b"\r\n\r\nabc"
+        assert warc.parse_record(data) is None
+
+
+def read_plainly(data):
+    """A record read line by line, without the module's parser."""
+    lines, rest = [], data
+    while True:
+        line, _, rest = rest.partition(b"\r\n")
+        if not line:
+            break
+        lines.append(line.decode())
+    headers = [tuple(x.split(": ", 1)) for x in lines[1:]]
+    size = int(dict(headers)["Content-Length"])
+    assert lines[0] == "WARC/1.1" and rest[size:] == b"\r\n\r\n"
+    return headers, rest[:size]
+
+
+def test_records_by_another_reader(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    given = {r.page_id: r for r in pages.collect()}
+    sha1 = lambda x: "sha1:" + base64.b32encode(hashlib.sha1(x).digest()).decode()
+    for r in warc.derive_records(warc.page_responses(pages)).collect():
+        headers, block = read_plainly(r.record)
+        by, page = dict(headers), given[r.page_id]
+        assert by["WARC-Type"] == r.record_type and by["WARC-Block-Digest"] == sha1(block) and by["WARC-Target-URI"] == page.url
+        assert by["WARC-Refers-To"] == r.refers_to and by["WARC-Record-ID"] == r.record_id and by["WARC-Refers-To-Target-URI"] == page.url
+        if r.record_type == "metadata":
+            said = dict(x.split(": ", 1) for x in block.decode().split("\r\n") if x)
+            assert said["source-payload-digest"] == sha1(page.html.encode()) and said["source-status"] == "HTTP/1.1 200 OK"
+        else:
+            assert "<p" not in block.decode() and not block.decode().startswith("\n")
+
+
+def test_long_conversation(spark):
+    n = 60_000
+    rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "CASE WHEN id % 3 = 0 THEN 'user' ELSE 'assistant' END AS role",
+                                     "concat('é <|', id, '\\\\') AS text")
+    out = chat.format_conversations(rows).select(
+        F.size("loss_spans").alias("spans"), F.size(chat.read_conversation(F.col("formatted"))).alias("turns"),
+        F.sha2(chat.masked_text(F.col("formatted"), F.col("loss_spans")), 256).alias("loss")).first()
+    said = "".join(f"é <|{i}\\" for i in range(n) if i % 3)
+    assert (out.spans, out.turns, out.loss) == (n - (n + 2) // 3, n, hashlib.sha256(said.encode()).hexdigest())
+
+
 def test_planted_conversation(spark, folder):
     row = queries.queries()["op3_chat_formatting"](spark, folder).where("conv_id = -1").first()
     said = chat.PLANTED
