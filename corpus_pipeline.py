@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetspark.llm.mixing import mixed
-from fleetspark.llm.pieces import decode_pieces, default_path, encode_pieces, load_vocabulary
+from fleetspark.llm.pieces import default_path, encode_pieces, load_vocabulary
 from fleetspark.llm.quality import apply_quality_rules
 from fleetspark.llm.simhash import keep_one
 from fleetspark.llm.suffixes import without_repeats
@@ -38,8 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding them gives it back."""
-    vocabulary = load_vocabulary(default_path())
-    both = decode_pieces(encode_pieces(docs, vocabulary), vocabulary)
+    both = encode_pieces(docs, load_vocabulary(default_path()), read_back="decoded")
     same = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
     return both.select("doc_id", "lang", "source", "n_chars", "pieces", "pieces_score", same.alias("round_trip"))
 
