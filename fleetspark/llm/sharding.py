@@ -98,13 +98,17 @@ def assign_shards(slotted: DataFrame, maps: DataFrame) -> DataFrame:
 
 
 def op9_virtual_slots(spark, folder, shards: int = 24):
+    """Shards by version 1 of the map; next_shard by version 2, the same map edited for one more shard."""
     from fleetspark.session import scratch_path
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     slotted = with_slots(docs).drop("text")
     loads = slot_loads(slotted)
-    path = scratch_path(spark, "slot-map")
-    save_map(map_table(spark, loads, first_map(loads, shards), shards, 1), path)
+    path, placed = scratch_path(spark, "slot-map"), first_map(loads, shards)
+    save_map(map_table(spark, loads, placed, shards, 1), path)
+    save_map(map_table(spark, loads, edited_map(loads, placed, shards + 1), shards + 1, 2), path)
+    after = load_map(spark, path, 2).select(F.col("slot").alias("_llm_after"), F.col("shard").cast("int").alias("next_shard"))
+    slotted = slotted.join(F.broadcast(after), F.col("_llm_slot") == F.col("_llm_after")).drop("_llm_after")
     return assign_shards(slotted, load_map(spark, path, 1)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+        F.lit(None).cast("int").alias("grown_shard"), "next_shard")

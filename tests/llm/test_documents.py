@@ -360,6 +360,23 @@ def test_shards(docs, nothing, spark, tmp_path):
     assert sharding.assign_shards(empty, sharding.map_table(spark, sharding.slot_loads(empty), sharding.first_map(sharding.slot_loads(empty), 3), 3, 1)).count() == 0
 
 
+def test_shards_of_documents(spark, folder):
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    out = sharding.op9_virtual_slots(spark, folder).collect()
+    assert sorted(r.doc_id for r in out) == sorted(docs)
+    held, grown, places = Counter(), Counter(), defaultdict(list)
+    for r in out:
+        assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(docs[r.doc_id]) + 8, zlib.crc32(docs[r.doc_id]), "bytes", None)
+        held[r.shard] += r["size"]
+        grown[r.next_shard] += r["size"]
+        places[r.shard].append(r.slot)
+    assert set(held) <= set(range(24)) and all(sorted(x) == list(range(len(x))) for x in places.values())
+    largest = max(r["size"] for r in out)  # few documents: a slot holds one or two
+    for loads, n in ((held, 24), (grown, 25)):
+        assert max(loads.values()) - min(loads[k] for k in range(n)) <= 2 * largest
+    assert sum(r["size"] for r in out if r.shard != r.next_shard) <= 0.35 * sum(held.values())
+
+
 def test_growing_a_shard_map_moves_little():
     r = random.Random(1)
     loads = [(s, r.randrange(900, 1100), 1) for s in range(4096)]
