@@ -370,7 +370,7 @@ def upserted_trips(t: Source):
 def overwritten(t: Source):
     path = scratch_path(t.spark, "overwrite")
     tables.overwrite_table(t("sites"), path)
-    stored = t.spark.read.parquet(path)
+    stored = tables.stored_table(t.spark, path)
     return tables.overwrite_table(stored.withColumn("lat", F.col("lat") + 1), path, ["station_id"])
 
 
@@ -406,7 +406,7 @@ def warehouse(t: Source):
     place = lambda datatype: tables.load_warehouse(customers(t), datatype, root)
     for datatype in ("trips", "holidays", "trips", "holidays"):
         target = place(datatype)
-    facts, context_rows = t.spark.read.parquet(f"{root}/trips"), t.spark.read.parquet(target)
+    facts, context_rows = (tables.stored_table(t.spark, p) for p in (f"{root}/trips", target))
     return facts.withColumn("table", F.lit("trips")).unionByName(context_rows.withColumn("table", F.lit("holidays")))
 
 
@@ -417,7 +417,7 @@ def dimensions(t: Source):
     for _ in range(2):
         tables.refresh_dimensions(geo, names, root, swap_axes=True)
     part = lambda i: F.regexp_extract("location", r"POINT\((\S+) (\S+)\)", i).cast("double")
-    return t.spark.read.parquet(f"{root}/geo_information").select("lat", "lng", part(1).alias("first"), part(2).alias("second"))
+    return tables.stored_table(t.spark, f"{root}/geo_information").select("lat", "lng", part(1).alias("first"), part(2).alias("second"))
 
 
 QUERIES = [

@@ -18,7 +18,7 @@ from fleetspark.operators.demand import demand_from_trips, first_last_sighting
 from fleetspark.operators.history import changes, ordered
 from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
-from fleetspark.sinks import tables
+from fleetspark.sinks import tables, versions
 from fleetspark.sources import feeds, snapshots, transit as transit_files
 
 T0 = dt.datetime(2024, 1, 1)
@@ -301,6 +301,62 @@ def test_daily_upsert(spark, tmp_path):
     assert rows(load([(1, 2, day(1)), (3, 4, day(3))]).select("k", "x", "d")) == want
 
 
+def failing(n, at_):
+    """The column ``n``; a row of the value ``at_`` ends the job."""
+    return F.when(F.col(n) == at_, F.raise_error(F.lit("broken"))).otherwise(F.col(n))
+
+
+def test_a_broken_load_leaves_all_days_as_they_were(spark, tmp_path):
+    path = str(tmp_path / "t")
+    day = lambda n: dt.date(2024, 1, n)
+    df = lambda data: spark.createDataFrame(data, "k int, x int, d date")
+    put = lambda frame: tables.upsert_daily(frame, path, "d", ["k"], ["k"])
+    put(df([(n, 1, day(n)) for n in range(1, 9)]))
+    before = rows(tables.stored_table(spark, path))
+    load = versions.Load(spark, path)
+    # A load that ends between two days, and one that ends while it reads.
+    df([(n, 2, day(n)) for n in range(1, 5)]).write.partitionBy("d").parquet(load.target)
+    with pytest.raises(Exception, match="broken"):
+        put(df([(n, 2, day(n)) for n in range(1, 9)]).withColumn("x", failing("k", 8)))
+    assert rows(tables.stored_table(spark, path)) == before and versions.versions(spark, path) == [1]
+    assert rows(put(df([(9, 2, day(8)), (8, 2, day(8))])).where("d = date '2024-01-08'").select("k", "x")) == [(8, 1), (9, 2)]
+
+
+def test_readers_hold_a_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = lambda data: spark.createDataFrame(data, "k int, x int, d date")
+    one, two = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    held = tables.upsert_daily(df([(1, 1, one), (2, 1, two)]), path, "d", ["k"], ["k"])
+    late = df([(3, 2, two)]).withColumn("y", F.lit("new"))
+    assert rows(tables.upsert_daily(late, path, "d", ["k"], ["k"])) == [(1, 1, one, None), (2, 1, two, None), (3, 2, two, "new")]
+    assert rows(held) == rows(tables.stored_table(spark, path, 1)) == [(1, 1, one), (2, 1, two)]
+    with pytest.raises(ValueError, match="another type"):
+        tables.upsert_daily(df([(4, 2, one)]).withColumn("x", F.lit("text")), path, "d", ["k"], ["k"])
+    dropped = versions.drop_versions(spark, path)
+    assert len(dropped) == 1 and dropped[0].endswith("/d=2024-01-02") and versions.versions(spark, path) == [2]
+    assert tables.stored_table(spark, path).count() == 3
+    with pytest.raises(ValueError, match="no version 1"):
+        tables.stored_table(spark, path, 1)
+
+
+def test_loads_at_the_same_time_and_empty_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a")], "k int, load string")
+    assert rows(tables.overwrite_table(df.limit(0), path)) == []
+    first, second = versions.Load(spark, path), versions.Load(spark, path)
+    for load in (first, second):
+        df.write.parquet(load.target)
+    first.commit(df.schema, [first.name])
+    with pytest.raises(versions.Conflict):
+        second.commit(df.schema, [second.name])
+    assert rows(tables.stored_table(spark, path)) == [(1, "a")]
+    nothing = spark.createDataFrame([], "k int, d date")
+    assert rows(tables.upsert_daily(nothing, str(tmp_path / "u"), "d", ["k"], ["k"])) == []
+    df.write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="without versions"):
+        tables.append_new_only(df, str(tmp_path / "plain"), "k")
+
+
 def test_ids_continue_and_dedup_option(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a",), ("b",)], "name string")
