@@ -1,13 +1,15 @@
 """Embedding near-dedup over a robust-pruned flat graph.
 
 Equal vectors are one node. Centroids fitted on a bounded sample cut the nodes into overlapping shards: a node belongs to
-the ``overlap`` shards it is nearest to. Every shard builds a graph: nearest candidates thinned by robust pruning, reverse
+the ``overlap`` shards it is nearest to. A shard of more than ``block`` nodes is cut again, by centroids fitted on a sample
+of its own, and so are its parts, so that the number of shards follows the number of nodes. A shard whose sample is dense,
+with one pair in ``dense`` or more in range, stays whole: searching all its pairs costs no more than its links do. Every shard builds a graph: nearest candidates thinned by robust pruning, reverse
 links, and well-spread links of its medoids. The adjacency lists that a node got in its shards are united. Every node
 is then a query: a greedy search from the medoids follows the lists, and goes on past its beam while what it expands is
 within range. Found pairs are verified in double precision, and counted in one shard only, the first that both share.
-Shards of more than ``block`` nodes are cut into blocks at random, and all pairs of blocks are searched, so nothing is left out.
+Whole shards of more than ``block`` nodes are dealt into blocks at random, and all pairs of blocks are searched, so nothing is left out.
 
-A recall audit compares every node that holds an id divisible by ``audit_every`` with all nodes, in blocks.
+A recall audit compares nodes that hold an id divisible by ``audit_every``, about ``audited`` of them, with all nodes, in blocks.
 
 Defined results: vectors that are null, empty, zero, or hold a null, NaN or infinity link with nothing; vectors of
 different lengths do not link; equal rows get the same result each and count as links of each other; null ids count in
@@ -34,8 +36,13 @@ class Search:
     threshold: float = 0.9
     sample: int = 20_000  # vectors that centroids are fitted on
     shard: int = 1000  # nodes per centroid aimed at
-    shards: int = 1024  # centroids at most
+    shards: int = 256  # centroids at most of the first cut; later ones cut on
     overlap: int = 4
+    cut: int = 64  # centroids at most of a later cut, of each shard
+    cut_sample: int = 1024  # nodes these are fitted on, about
+    cut_overlap: int = 2
+    dense: int = 16
+    audited: int = 2048
     block: int = 2048  # nodes searched together
     medoids: int = 16
     candidates: int = 32
@@ -168,34 +175,84 @@ def _verified(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, thresh
     return np.concatenate([*keep, np.zeros(0, bool)])
 
 
-MEMBER = "shard int, node long, weight long, shards array<int>, vec array<double>"
+MEMBER = "shard long, node long, weight long, vec array<double>"
+DIGITS = 512  # a shard's number continues that of the shard it was cut from by one digit, from 1 on
+CUTS = 6  # digits that fit into a long beside the first; what is larger after these stays whole
 FOUND = "a long, b long, n long"
 
 
+def _dealt(near: np.ndarray, first: int, node: pa.Array, weight: pa.Array, vec: pa.Array, overlap: int) -> dict[str, pa.Array]:
+    """A row for each of the nearest centroids of a node; ``first`` is the number of the shard at the first centroid."""
+    k = min(overlap, near.shape[1])
+    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    again = pa.array(np.repeat(np.arange(len(near)), k))
+    return {"shard": pa.array(best.ravel().astype(np.int64) + first), "node": node.take(again), "weight": weight.take(again), "vec": vec.take(again)}
+
+
 def _members(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
     """A row for each shard of a node."""
-    k = min(overlap, len(centres))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = unit(batch.column(2)) @ centres.T
-            best = np.sort(np.argpartition(-near, k - 1, axis=1)[:, :k], axis=1).astype(np.int32)
-            again = pa.array(np.repeat(np.arange(batch.num_rows), k))
-            shards = pa.ListArray.from_arrays(pa.array(np.arange(0, k * batch.num_rows + 1, k, dtype=np.int32)), pa.array(best.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(best.ravel()), batch.column(0).take(again), batch.column(1).take(again), shards.take(again),
-                 batch.column(2).take(again)], ["shard", "node", "weight", "shards", "vec"])
+            if batch.num_rows:
+                node, weight, vec = batch.columns
+                yield pa.RecordBatch.from_pydict(_dealt(unit(vec) @ centres.T, 1, node, weight, vec, overlap))
 
     return nodes.select("node", "weight", "vec").mapInArrow(assign, MEMBER)
 
 
+def _cut(members: DataFrame, s: Search) -> DataFrame:
+    """Members of shards that one search can hold, and of those that are dense: large shards are cut, then their parts."""
+    done = None
+    for level in range(CUTS):
+        sizes = stored(members.groupBy("shard").agg(F.count("*").alias("size")), "sizes")
+        large = sizes.where(F.col("size") > s.block)
+        if large.isEmpty():
+            break
+        rate = F.ceil(F.col("size") / s.cut_sample)
+        sample = members.join(large, "shard").where(F.pmod(F.xxhash64("node", F.lit(level + 2)), rate) == 0)
+
+        def fit(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("node").combine_chunks()
+            x, size = unit(rows["vec"].chunk(0)), rows["size"][0].as_py()
+            linked = ((x @ x.T >= s.threshold).sum() - len(x)) / max(1, len(x) * (len(x) - 1))
+            if linked * s.dense >= 1 or len(x) < 4 * s.cut_overlap:
+                return pa.table({"shard": rows["shard"][:0], "size": rows["size"][:0], "centres": pa.array([], pa.list_(pa.float64()))})
+            # Parts are a small fraction of the whole even though they overlap.
+            k = min(s.cut, len(x), max(8 * s.cut_overlap, -(-s.cut_overlap * size // s.shard)))
+            return pa.table({"shard": rows["shard"][:1], "size": rows["size"][:1], "centres": pa.array([fit_centroids(x, k).ravel()])})
+
+        # The sample of a shard and its centroids are bounded, their number is not.
+        fitted = stored(sample.select("shard", "node", "size", "vec").groupBy("shard").applyInArrow(
+            fit, "shard long, size long, centres array<double>"), "centroids")
+        if fitted.isEmpty():
+            break
+        chunks = F.ceil(F.col("size") / (4 * s.block)).cast("int")
+        given = fitted.select("shard", "centres", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"))
+        moved = members.join(fitted.select("shard", chunks.alias("chunks")), "shard").withColumn(
+            "chunk", F.pmod(F.xxhash64("node", F.lit(1)), "chunks").cast("int"))
+
+        def part(rows: pa.Table, centroids: pa.Table) -> pa.Table:
+            if not rows.num_rows:
+                return pa.schema([("shard", pa.int64()), ("node", pa.int64()), ("weight", pa.int64()), ("vec", pa.list_(pa.float64()))]).empty_table()
+            rows = rows.combine_chunks()
+            x = unit(rows["vec"].chunk(0))
+            centres = centroids["centres"].combine_chunks().flatten().to_numpy().reshape(-1, x.shape[1])
+            first = rows["shard"][0].as_py() * DIGITS + 1
+            return pa.table(_dealt(x @ centres.T, first, rows["node"].chunk(0), rows["weight"].chunk(0), rows["vec"].chunk(0), s.cut_overlap))
+
+        parts = stored(moved.select("shard", "chunk", "node", "weight", "vec").groupBy("shard", "chunk").cogroup(
+            given.groupBy("shard", "chunk")).applyInArrow(part, MEMBER), "parts")
+        kept = members.join(fitted.select("shard"), "shard", "left_anti")
+        done = kept if done is None else done.unionByName(kept)
+        members = parts
+    return members if done is None else done.unionByName(members)
+
+
 def _search_blocks(members: DataFrame, s: Search) -> DataFrame:
     """Links found in all shards: rows (a, b, null) that connect, and rows (a, null, number of links)."""
-    # At most one row per centroid.
     counts = members.groupBy("shard").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))
-    dealt = stored(members.join(F.broadcast(counts), "shard").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "members")
+    dealt = stored(members.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")), "members")
 
     def build(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("node").combine_chunks()
@@ -208,8 +265,10 @@ def _search_blocks(members: DataFrame, s: Search) -> DataFrame:
         return pa.table({"shard": rows["shard"], "node": rows["node"], "chief": pa.array(chief),
                          "near": pa.ListArray.from_arrays(pa.array(offsets), pa.array(node[flat]))})
 
-    built = stored(dealt.groupBy("shard", "block").applyInArrow(build, "shard int, node long, chief boolean, near array<long>"), "graphs")
-    united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    built = stored(dealt.groupBy("shard", "block").applyInArrow(build, "shard long, node long, chief boolean, near array<long>"), "graphs")
+    # A node has at most the overlaps of all cuts of shards.
+    united = built.groupBy("node").agg(
+        F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.sort_array(F.collect_list("shard")).alias("shards"))
     chiefs = built.where("chief").select("shard", "node", "chief")
     graph = dealt.join(united, "node").join(chiefs, ["shard", "node"], "left")
     # Every pair of blocks of a shard is a unit; a shard of one block is one unit.
@@ -221,7 +280,9 @@ def _search_blocks(members: DataFrame, s: Search) -> DataFrame:
         rows = rows.sort_by([("block", "ascending"), ("node", "ascending")]).combine_chunks()
         shard, node, block = rows["shard"][0].as_py(), rows["node"].to_numpy(), rows["block"].to_numpy()
         weight, x = rows["weight"].to_numpy(), unit(rows["vec"].chunk(0))
-        shards = rows["shards"].chunk(0).flatten().to_numpy().reshape(len(node), -1)
+        sizes = rows["shards"].chunk(0).value_lengths().to_numpy()
+        shards = np.zeros((len(node), sizes.max()), np.int64)
+        shards[np.arange(shards.shape[1]) < sizes[:, None]] = rows["shards"].chunk(0).flatten().to_numpy()
         chief, near = rows["chief"].to_numpy(zero_copy_only=False), rows["near"].chunk(0)
         parts = [np.flatnonzero(block == b) for b in np.unique(block)]
         if len(parts) == 1 and rows["lo"][0].as_py() != rows["hi"][0].as_py():
@@ -247,7 +308,7 @@ def _search_blocks(members: DataFrame, s: Search) -> DataFrame:
         mine = np.zeros(len(i), bool)
         for a in range(0, len(i), 100_000):
             one, two = shards[i[a:a + 100_000]], shards[j[a:a + 100_000]]
-            common = np.where((one[:, :, None] == two[:, None, :]).any(axis=2), one, np.int32(2**31 - 1)).min(axis=1)
+            common = np.where((one[:, :, None] == two[:, None, :]).any(axis=2) & (one > 0), one, np.int64(2**63 - 1)).min(axis=1)
             mine[a:a + 100_000] = common == shard
         i, j = i[mine], j[mine]
         good = _verified(x, x, i, j, s.threshold)
@@ -303,10 +364,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
             sample = alike.select("node", "vec").limit(s.sample).toArrow()
         fitted = unit(sample.sort_by("node")["vec"].combine_chunks())
         centres = fit_centroids(fitted, max(1, min(s.shards, -(-n // s.shard), len(fitted))))
-        part = _search_blocks(_members(alike, centres, s.overlap), s)
+        part = _search_blocks(_cut(stored(_members(alike, centres, s.overlap), "shards"), s), s)
         found = part if found is None else found.unionByName(part)
         if audit_every:
-            part = _exact_counts(alike, alike.where("audited"), s.threshold)
+            asked = alike.where("audited")
+            rate = max(1, asked.count() // s.audited)
+            part = _exact_counts(alike, stored(asked.where(F.pmod(F.xxhash64("node", F.lit(3)), F.lit(rate)) == 0), "asked"), s.threshold)
             exact = part if exact is None else exact.unionByName(part)
     if found is None:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
@@ -323,7 +386,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     else:
         known = known.withColumn("exact", F.lit(None).cast("long"))
     known = stored(known.select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"),
-                                F.when(F.col("audited"), F.coalesce("exact", F.lit(0)) + F.col("weight") - 1).alias("exact")), "known")
+                                (F.col("exact") + F.col("weight") - 1).alias("exact")), "known")
     lone = rows.where("vec IS NULL").select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("component_id"), F.lit(None).cast("long").alias("exact"))
     linked = rows.where("vec IS NOT NULL").select("id", "node").join(known, "node").select("id", "links", "component_id", "exact")
     return linked.unionByName(lone).select(

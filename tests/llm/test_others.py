@@ -90,6 +90,31 @@ def test_near_vectors(spark, s):
     assert audited and all(r.vec_id % 50 == 0 and r.audit_links == r.n_links for r in audited)
 
 
+@pytest.mark.parametrize("s, shards", [
+    (graph.Search(shards=1), 1), (graph.Search(shard=300), 10),
+    (graph.Search(shards=4, shard=30, block=60, cut=16, cut_sample=128), 100)])
+def test_recall_at_several_numbers_of_shards(spark, s, shards):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(130, 24))
+    group = np.concatenate([np.arange(2600) % 130, np.zeros(300, int)])  # the first has a tenth of all rows
+    x = middles[group] + 0.28 * rng.normal(size=(2900, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    nodes = df.select(F.col("vec_id").alias("node"), F.lit(1).cast("long").alias("weight"), F.col("embedding").alias("vec"))
+    centres = graph.fit_centroids(x, min(s.shards, -(-len(x) // s.shard)))
+    cut = graph._cut(graph._members(nodes, centres, s.overlap), s).groupBy("shard").agg(F.collect_list("node")).collect()
+    assert len(cut) >= shards
+    # What is large and stays whole is dense.
+    assert all(near[np.ix_(held, held)].mean() > 1 / (2 * s.dense) for _, held in cut if len(held) > s.block)
+    out = graph.near_vectors(df, s=s).collect()
+    found = {r.vec_id: r.n_links for r in out}
+    assert all(found[i] <= near[i].sum() for i in range(len(x)))
+    assert sum(found.values()) >= 0.9 * near.sum()
+    assert {r.vec_id: r.audit_links for r in out if r.audit_links is not None} == {i: near[i].sum() for i in range(0, len(x), 50)}
+
+
 def test_no_vectors(spark):
     for rows in ([], [(1, None)]):
         assert graph.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).count() == len(rows)
