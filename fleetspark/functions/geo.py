@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 EARTH_RADIUS_KM = 6371.0
 
@@ -26,7 +26,7 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
 
 
 def vincenty_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Series) -> pd.Series:
-    """Metres on the WGS-84 ellipsoid by Vincenty's inverse formula, a whole batch at once."""
+    """Metres on the WGS-84 ellipsoid by Vincenty's inverse formula for series, to check ``geodesic_m`` with."""
     a, f = WGS84_MAJOR_M, WGS84_FLATTENING
     b = (1 - f) * a
     u1 = np.arctan((1 - f) * np.tan(np.radians(lat1.to_numpy(float))))
@@ -64,9 +64,67 @@ def vincenty_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Serie
     return pd.Series(np.where(sin_s == 0, 0.0, metres), index=lat1.index)
 
 
+def _bound(value: Column, made) -> Column:
+    """``made(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
+STEPS = 50  # nearly antipodal points need more, or never settle
+SETTLED = 1e-12
+
+
 def geodesic_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
-    """Metres on the WGS-84 ellipsoid; the iteration runs in Python on Arrow batches."""
-    return F.pandas_udf(vincenty_m, T.DoubleType())(lat1, lng1, lat2, lng2)
+    """Metres on the WGS-84 ellipsoid by Vincenty's inverse formula, as an expression.
+
+    The longitude on the sphere is corrected until it settles, mostly in under ten steps. Where it does not in 50,
+    within half a degree of the antipode, and for a null, the result is null.
+    """
+    a, f = WGS84_MAJOR_M, WGS84_FLATTENING
+    b = (1 - f) * a
+    reduced = lambda lat: F.atan((1 - f) * F.tan(F.radians(lat)))
+    given = F.struct(
+        F.sin(reduced(lat1)).alias("s1"), F.cos(reduced(lat1)).alias("c1"), F.sin(reduced(lat2)).alias("s2"),
+        F.cos(reduced(lat2)).alias("c2"), F.radians(lng2 - lng1).alias("diff"))
+
+    def arc(p: Column, lam: Column, made) -> Column:
+        """``made`` of the arc between the points on the sphere, where its longitudes differ by ``lam``."""
+        across, along = p.c2 * F.sin(lam), p.c1 * p.s2 - p.s1 * p.c2 * F.cos(lam)
+        sides = F.struct(F.sqrt(across * across + along * along).alias("sin"), (p.s1 * p.s2 + p.c1 * p.c2 * F.cos(lam)).alias("cos"))
+
+        def turned(q: Column) -> Column:
+            # Equal points have no azimuth; along the equator there is no middle latitude.
+            azimuth = F.coalesce(p.c1 * p.c2 * F.sin(lam) / F.nullif(q.sin, F.lit(0.0)), F.lit(0.0))
+            return _bound(azimuth, lambda z: _bound(1 - z * z, lambda w: made(F.struct(
+                q.sin.alias("sin"), q.cos.alias("cos"), F.atan2(q.sin, q.cos).alias("angle"), z.alias("azimuth"), w.alias("cos2"),
+                F.when(w > 1e-15, q.cos - 2 * p.s1 * p.s2 / F.nullif(w, F.lit(0.0))).otherwise(0.0).alias("mid")))))
+
+        return _bound(sides, turned)
+
+    def corrected(p: Column, q: Column) -> Column:
+        c = f / 16 * q.cos2 * (4 + f * (4 - 3 * q.cos2))
+        return _bound(c, lambda c: p.diff + (1 - c) * f * q.azimuth * (
+            q.angle + c * q.sin * (q.mid + c * q.cos * (2 * q.mid * q.mid - 1))))
+
+    def step(p: Column, state: Column) -> Column:
+        new = arc(p, state.lam, lambda q: _bound(q, lambda q: corrected(p, q)))
+        moved = _bound(new, lambda n: F.struct(n.alias("lam"), (F.abs(n - state.lam) < SETTLED).alias("settled")))
+        return F.when(state.settled, state).otherwise(moved)
+
+    def metres(q: Column) -> Column:
+        k = q.cos2 * ((a**2 - b**2) / b**2)
+        big = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+        small = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+        twice = 2 * q.mid * q.mid - 1
+        shift = small * q.sin * (q.mid + small / 4 * (
+            q.cos * twice - small / 6 * q.mid * (4 * q.sin * q.sin - 3) * (4 * q.mid * q.mid - 3)))
+        return b * big * (q.angle - shift)
+
+    def solved(p: Column) -> Column:
+        start = F.struct(p.diff.alias("lam"), F.lit(False).alias("settled"))
+        last = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, lambda state, _: step(p, state))
+        return _bound(last, lambda s: F.when(s.settled, arc(p, s.lam, lambda q: _bound(q, metres))))
+
+    return _bound(given, solved)
 
 
 def ring_edges(rings: Column) -> Column:

@@ -83,13 +83,37 @@ FROM {{points}} p, ({sites}) s {limit} GROUP BY p.point_id, p.lat, p.lng"""
 
 
 def by_geodesic(t: Source):
-    """Vehicle cells against each point's neighbour cell: ellipsoid and sphere agree to 0.6 percent."""
+    """Vehicle cells against each point's neighbour cell, on the ellipsoid and on the sphere."""
     df = t("snap").select("lat", "lon").distinct().select(
         "lat", F.col("lon").alias("lng"), (F.col("lat") + 0.013).alias("lat2"), (F.col("lon") + 0.021).alias("lng2"))
-    metres = geodesic_m(*(F.col(c) for c in ("lat", "lng", "lat2", "lng2")))
-    sphere = haversine_km(F.col("lat"), F.col("lng"), F.col("lat2"), F.col("lng2")) * 1000
-    return df.withColumn("m", metres).withColumn("s", sphere).select(
-        "lat", "lng", F.round("s", 4).alias("sphere_m"), (F.abs(F.col("m") - F.col("s")) < 0.006 * F.col("s")).alias("close"))
+    ends = [F.col(c) for c in ("lat", "lng", "lat2", "lng2")]
+    return df.select("lat", "lng", F.round(haversine_km(*ends) * 1000, 4).alias("sphere_m"), F.round(geodesic_m(*ends), 4).alias("ellipsoid_m"))
+
+
+# Twelve corrections of the longitude; lat and lng to lat2 and lng2 are nowhere near the antipode.
+GEODESIC_SQL = """
+SELECT * FROM (WITH RECURSIVE c AS (SELECT DISTINCT lat, lon AS lng, lat + 0.013 AS lat2, lon + 0.021 AS lng2 FROM {snap}),
+k AS (SELECT 6378137.0::DOUBLE AS a, 1 / 298.257223563::DOUBLE AS f),
+r AS (
+  SELECT lat, lng, lat2, lng2, a, f, atan((1 - f) * tan(radians(lat))) AS u1, atan((1 - f) * tan(radians(lat2))) AS u2,
+         radians(lng2 - lng) AS diff, radians(lng2 - lng) AS lam, 0 AS i FROM c, k
+  UNION ALL
+  SELECT lat, lng, lat2, lng2, a, f, u1, u2, diff,
+         diff + (1 - g) * f * sin_az * (sigma + g * sin_s * (mid + g * cos_s * (2 * mid * mid - 1))), i + 1
+  FROM (SELECT *, f / 16 * cos2 * (4 + f * (4 - 3 * cos2)) AS g, cos_s - 2 * sin(u1) * sin(u2) / cos2 AS mid
+        FROM (SELECT *, 1 - sin_az * sin_az AS cos2
+              FROM (SELECT *, cos(u1) * cos(u2) * sin(lam) / sin_s AS sin_az, atan2(sin_s, cos_s) AS sigma
+                    FROM (SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS sin_s,
+                                 sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cos_s FROM r WHERE i < 12))))),
+s AS (SELECT *, (1 - f) * a AS b, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS sin_s,
+             sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cos_s FROM r WHERE i = 12),
+z AS (SELECT *, 1 - pow(cos(u1) * cos(u2) * sin(lam) / sin_s, 2) AS cos2 FROM s),
+e AS (SELECT *, cos2 * (a * a - b * b) / (b * b) AS k2, cos_s - 2 * sin(u1) * sin(u2) / cos2 AS mid FROM z),
+h AS (SELECT *, 1 + k2 / 16384 * (4096 + k2 * (-768 + k2 * (320 - 175 * k2))) AS big, k2 / 1024 * (256 + k2 * (-128 + k2 * (74 - 47 * k2))) AS small FROM e)
+SELECT lat, lng,
+       round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * pow(sin(radians(lng2 - lng) / 2), 2))), 4) AS sphere_m,
+       round(b * big * (atan2(sin_s, cos_s) - small * sin_s * (mid + small / 4 * (cos_s * (2 * mid * mid - 1)
+             - small / 6 * mid * (4 * sin_s * sin_s - 3) * (4 * mid * mid - 3)))), 4) AS ellipsoid_m FROM h)"""
 
 
 def grid_sql(step: float = 2000.0) -> str:
@@ -267,12 +291,7 @@ QUERIES = [
             "point_id", F.round(haversine_km(F.col("lat"), F.col("lng"), F.col("o.lat"), F.col("o.lng")), 6).alias("km")),
         "WITH o AS (SELECT min(lat) AS lat, min(lng) AS lng FROM {points}) SELECT p.point_id, " + km_sql("p", "o") + " AS km FROM {points} p, o",
     ),
-    Query(
-        "g2_geodesic_m", by_geodesic,
-        """WITH c AS (SELECT DISTINCT lat, lon AS lng FROM {snap}), d AS (SELECT lat, lng, lat + 0.013 AS lat2, lng + 0.021 AS lng2 FROM c)
-           SELECT lat, lng, round(2 * 6371000.0 * asin(sqrt(pow(sin(radians(lat2 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(lat2)) * pow(sin(radians(lng2 - lng) / 2), 2))), 4) AS sphere_m,
-                  true AS close FROM d""",
-    ),
+    Query("g2_geodesic_m", by_geodesic, GEODESIC_SQL),
     Query(
         "g3_ring_contains",
         lambda t: t("areas").where("corners = 4").select("layer_order", "cx", "cy", inside(

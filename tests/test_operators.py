@@ -2,16 +2,18 @@
 
 import datetime as dt
 import io
+import math
 import pathlib
 import random
 import tarfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from fleetspark import session
 from fleetspark.functions.clock import day_seconds
-from fleetspark.functions.geo import haversine_km, swap_wkt_axes, vincenty_m
+from fleetspark.functions.geo import geodesic_m, haversine_km, swap_wkt_axes, vincenty_m
 from fleetspark.functions.numbers import decimals, half_even
 from fleetspark.operators import clean, merge, rotating, spatial, transit
 from fleetspark.operators.demand import demand_from_trips, first_last_sighting
@@ -289,6 +291,27 @@ def test_axes_are_swapped_once(spark):
     assert [r[0] for r in df.select(swap_wkt_axes(F.col("w"))).collect()] == ["POINT(-2 1.5)", "POLYGON((1 2))"]
 
 
+def test_geodesic_expression(spark):
+    rng = random.Random(3)
+    place = lambda: (rng.uniform(-90, 90), rng.uniform(-180, 180))
+    ends = [(0.0, 0.0, 0.0, 0.0), (50.0, 5.0, 58.0, 3.0), (0.0, 0.0, 0.0, 1.0), (90.0, 0.0, -89.0, 7.0), (10.0, 179.9, 10.0, -179.9)]
+    ends += [(*place(), *place()) for _ in range(60)] + [(y, x, y + 0.01, x - 0.02) for y, x in (place() for _ in range(60)) if y < 89]
+    df = spark.createDataFrame(ends, "a double, b double, c double, d double")
+    # Halfway round and null have no result.
+    out = [r[0] for r in df.select(geodesic_m(*(F.col(c) for c in "abcd"))).collect()]
+    want = vincenty_m(*(pd.Series([e[i] for e in ends]) for i in range(4)))
+    far = [haversine_by_hand(*e) > 19_800 for e in ends]
+    assert all(o is not None and abs(o - w) < 1e-3 for o, w, f in zip(out, want, far) if not f)
+    odd = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (0.0, 0.0, 0.3, 179.7), (None, 0.0, 0.0, 0.0)], "a double, b double, c double, d double")
+    assert [r[0] for r in odd.select(geodesic_m(*(F.col(c) for c in "abcd"))).collect()][1:] == [None, None]
+    assert "ArrowEvalPython" not in df.select(geodesic_m(*(F.col(c) for c in "abcd")))._jdf.queryExecution().toString()
+
+
+def haversine_by_hand(a, b, c, d):
+    a, b, c, d = (math.radians(x) for x in (a, b, c, d))
+    return 2 * 6371 * math.asin(min(1, math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2)))
+
+
 def test_daily_upsert(spark, tmp_path):
     path = str(tmp_path / "t")
     day = lambda n: dt.date(2024, 1, n)
