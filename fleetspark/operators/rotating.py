@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.clock import whole_seconds
-from fleetspark.functions.geo import geodesic_m, haversine_km, milli
+from fleetspark.functions.geo import EARTH_RADIUS_KM, geodesic_m, haversine_km, milli
 from fleetspark.functions.numbers import half_even
 from fleetspark.operators.demand import first_last_sighting
 from fleetspark.operators.lookup import mapped
@@ -22,27 +24,57 @@ MAX_KMH = 20
 # A gap this short with an unchanged vehicle is taken as certain.
 SURE_SECONDS, SURE_BATTERY_DROP, SURE_METRES = 6, 1, 1000
 
-# Latitude rows for the optional distance limit, in thousandths of a degree: 3000 m are about 27.
-LAT_ROW = 30
+# Places are told apart a hundredth beyond the limit: distances on the ellipsoid differ from the sphere by half of that.
+SLACK = 1.01
+
+
+def _cells(lat: Column, lng: Column, max_metres: int, around: bool) -> Column:
+    """The cell of a place as an array of one, or with ``around`` all cells (up to four) a place within the limit can lie in.
+
+    Rows are twice the limit high. A row is cut into equal columns at least twice as wide as the limit spans in
+    longitude where the row comes nearest to a pole, so columns widen there and become one around the pole; they
+    close at the date line.
+    """
+    arc = (max_metres + 1) * SLACK / (EARTH_RADIUS_KM * 1000)
+    reach = math.degrees(arc)
+    height = 2 * reach
+
+    def columns(row: Column) -> Column:
+        north = F.greatest(F.abs(row * height), F.abs((row + 1) * height)) + reach
+        ratio = math.sin(arc / 2) / F.nullif(F.cos(F.radians(F.least(north, F.lit(90.0)))), F.lit(0.0))
+        width = F.when((north < 90) & (ratio < 1), 2 * F.degrees(F.asin(F.least(ratio, F.lit(1.0)))))
+        count = F.coalesce(F.greatest(F.floor(180 / width), F.lit(1)), F.lit(1))
+        return F.struct(row.alias("row"), F.coalesce(width, F.lit(0.0)).alias("width"), count.alias("count"))
+
+    def cell(c: Column, shift: int) -> Column:
+        column = F.pmod(F.floor((lng + 180 + c.width * shift) * c["count"] / 360), c["count"])
+        return F.struct(c.row.alias("row"), column.alias("column"))
+
+    rows = F.array(*(F.floor((lat + reach * shift) / height) for shift in ((-1, 1) if around else (0,))))
+    known = F.transform(F.array_distinct(rows), columns)
+    shifts = (-1, 1) if around else (0,)
+    return F.array_distinct(F.flatten(F.transform(known, lambda c: F.array(*(cell(c, s) for s in shifts)))))
 
 
 def rotating_pairs(
-    sightings: DataFrame, roles: str = "literal", max_metres: int | None = None, order_by: str = "last_updated",
+    sightings: DataFrame, roles: str = "literal", max_metres: int | None = MAX_METRES, order_by: str = "last_updated",
 ) -> DataFrame:
     """Pairs (lend, return) of first and last sightings that could be one rental.
 
     In one network, 0 < gap <= 1800 s and a battery drop of 0..10. ``roles="literal"`` takes an id's
     first sighting as lend and another id's last as return; ``"swapped"`` the other way round.
 
-    A range join as equi join: returns are filed under one (network, half hour, battery step) key;
-    each lend looks into the two half hours and two battery steps its window touches, so every pair
-    meets exactly once. Small keys keep a busy network apart; with ``max_metres`` the latitude row
-    joins the key, which bounds the pairs by place as well.
+    A range join as equi join: returns are filed under one (network, cell, half hour, battery step) key;
+    each lend looks into the cells, half hours and battery steps its window touches, so every pair
+    meets exactly once. Cells of place keep all pairs within ``max_metres`` and bound the others: places
+    further apart may remain, without a place there is no pair. ``max_metres=None`` pairs by network, time and battery alone,
+    which grows with the square of a network's traffic.
     """
     payload = ["battery", "range_m", "lat", "lon", "network_name"]
     if order_by != "last_updated":
         payload = ["last_updated", *payload]
-    ends = first_last_sighting(sightings, order_by, payload)
+    # Written once: as a plan both sides of the join would aggregate the sightings, each for its own end.
+    ends = stored(first_last_sighting(sightings, order_by, payload), "ends")
     lend_end, return_end = ("first", "last") if roles == "literal" else ("last", "first")
 
     def side(end: str, name: str) -> DataFrame:
@@ -65,11 +97,11 @@ def rotating_pairs(
         "_level", F.floor(F.col("battery_return") / step))
     keys = ["network_name", "_slot", "_level"]
     if max_metres is not None:
-        rows = max(1, -(-max_metres // MAX_METRES)) * LAT_ROW
-        row = F.floor(milli(F.col("lat_lend")) / rows)
-        lend = lend.withColumn("_row", F.explode(F.array(row - 1, row, row + 1)))
-        back = back.withColumn("_row", F.floor(milli(F.col("lat_return")) / rows))
-        keys.append("_row")
+        placed = lambda end: F.col(f"lat_{end}").isNotNull() & F.col(f"lng_{end}").isNotNull()
+        lend = lend.where(placed("lend")).withColumn("_cell", F.explode(_cells(F.col("lat_lend"), F.col("lng_lend"), max_metres, True)))
+        back = back.where(placed("return")).withColumn("_cell", F.get(_cells(F.col("lat_return"), F.col("lng_return"), max_metres, False), F.lit(0)))
+        lend, back = (df.withColumns({"_row": F.col("_cell.row"), "_column": F.col("_cell.column")}).drop("_cell") for df in (lend, back))
+        keys += ["_row", "_column"]
     gap = F.col("timestamp_return") - F.col("timestamp_lend")
     drop = F.col("battery_lend") - F.col("battery_return")
     return (
@@ -78,7 +110,7 @@ def rotating_pairs(
             "trip_date": F.to_date(F.timestamp_seconds("timestamp_lend")), "time_diff": gap,
             "battery_diff": drop, "range_diff": F.col("range_lend") - F.col("range_return"),
         })
-        .drop("_slot", "_level", "_row")
+        .drop("_slot", "_level", "_row", "_column")
     )
 
 
@@ -97,6 +129,8 @@ def trip_candidates(pairs: DataFrame, metres: str = "sphere") -> DataFrame:
         "speed": F.round(F.col("distance") / 1000 / hours, 2),
         "speed_range_based": F.round(F.col("range_diff") / 1000 / hours, 2),
     }).where(F.col("speed") <= MAX_KMH)
+    # Written once: read for the sure matches and for the rest, the pairs meet a single time.
+    measured = stored(measured, "candidates")
     sure = (
         (F.col("time_diff") <= SURE_SECONDS) & (F.col("range_diff") == 0)
         & (F.col("battery_diff") <= SURE_BATTERY_DROP) & (F.col("distance") < SURE_METRES)

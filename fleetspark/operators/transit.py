@@ -30,17 +30,20 @@ def gtfs_join(
 def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
     """One row per stop time and active day, with arrival and departure stamps.
 
-    Hours from 24 on fall on the following days; rows with unreadable times are left out. Each row
-    is expanded where it stands, no shuffle. Local times of ``tz`` become UTC stamps.
+    Hours from 24 on fall on the following days; rows with unreadable times are left out. Rows are
+    dealt out by their values before they multiply, as a long file of one row group would expand in one task. Their number
+    of partitions is set, because by bytes the narrow rows would be put together again. Local times of ``tz`` become UTC stamps.
     """
     # The active days as bits, tested after the explode: both stay in generated code.
     bits = sum((F.when(F.col(d).cast("int") != 0, 1 << i).otherwise(0) for i, d in enumerate(WEEKDAYS)), F.lit(0))
+    parts = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Days as plain numbers since 1970-01-01, a Thursday.
     first, last = (F.unix_date(F.col(c).cast("date")) for c in ("start_date", "end_date"))
     timed = (
         joined.withColumn("_a", day_seconds(F.col("arrival_time"))).withColumn("_d", day_seconds(F.col("departure_time")))
         .withColumn("_bits", bits)
         .where(F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last) & (F.col("_bits") != 0))
+        .repartition(parts, "stop_id", "_a", "_d", "route_short_name")
         .withColumn("_day", F.explode(F.sequence(first, last)))
         .where(F.getbit("_bits", F.pmod(F.col("_day") + 3, F.lit(7))) == 1)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from fleetspark.operators.rotating import (
-    MAX_METRES, DestinationModel, as_trips, predict_destination, rotating_pairs, trip_candidates,
+    DestinationModel, as_trips, predict_destination, rotating_pairs, trip_candidates,
 )
 
 
@@ -13,9 +13,6 @@ def rotating_trips(
     sightings: DataFrame, locations: DataFrame, model: DestinationModel, networks: dict | None = None,
     roles: str = "literal", metres: str = "sphere",
 ) -> DataFrame:
-    """Pairs, plausible candidates, the predicted destination, and the trip layout.
-
-    Candidates beyond 3000 m are dropped anyway, so the pairing already keys on the latitude row.
-    """
-    pairs = rotating_pairs(sightings, roles, max_metres=MAX_METRES)
+    """Pairs, plausible candidates, the predicted destination, and the trip layout."""
+    pairs = rotating_pairs(sightings, roles)
     return as_trips(predict_destination(trip_candidates(pairs, metres), model), locations, networks)

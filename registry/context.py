@@ -44,7 +44,7 @@ SELECT * EXCLUDE (sure, any_sure, nth) FROM n WHERE NOT any_sure OR (sure AND nt
 
 
 def candidates(t: Source):
-    return rotating.trip_candidates(rotating.rotating_pairs(t("sightings"), max_metres=rotating.MAX_METRES))
+    return rotating.trip_candidates(rotating.rotating_pairs(t("sightings")))
 
 
 def model(t: Source):
@@ -187,8 +187,8 @@ def zipped(t: Source):
 
 
 QUERIES = [
-    Query("j9_rotating_pairs", lambda t: rotating.rotating_pairs(t("sightings")), pairs_sql(FIRST, LAST)),
-    Query("j9_rotating_pairs_swapped", lambda t: rotating.rotating_pairs(t("sightings"), roles="swapped"), pairs_sql(LAST, FIRST)),
+    Query("j9_rotating_pairs", lambda t: rotating.rotating_pairs(t("sightings"), max_metres=None), pairs_sql(FIRST, LAST)),
+    Query("j9_rotating_pairs_swapped", lambda t: rotating.rotating_pairs(t("sightings"), roles="swapped", max_metres=None), pairs_sql(LAST, FIRST)),
     Query("f1_trip_candidates", candidates, CANDIDATES_SQL),
     Query("f2_predict_destination", lambda t: rotating.predict_destination(candidates(t), model(t))),
     Query("f3_rotating_trips", lambda t: rotating_trips(t("sightings"), locations(t), model(t), NETWORKS)),

@@ -260,16 +260,55 @@ def test_sure_match_excludes_the_other_candidates(spark):
     assert rotating.trip_candidates(fast).count() == 0
 
 
+SIGHTING = "vehicle_id string, last_updated timestamp, network_name string, lat double, lon double, battery int, range_m int"
+
+
 def test_distance_limited_pairs_lose_no_candidate(spark):
     rng = random.Random(9)
     data = [(f"r{i // 2}", T0 + dt.timedelta(seconds=rng.randrange(0, 4000)), rng.choice("nm"), 49 + rng.randrange(0, 150) / 1000, 8.4, rng.randrange(0, 30), 0) for i in range(400)]
-    df = spark.createDataFrame(data, "vehicle_id string, last_updated timestamp, network_name string, lat double, lon double, battery int, range_m int")
-    far = rotating.trip_candidates(rotating.rotating_pairs(df))
-    near = rotating.trip_candidates(rotating.rotating_pairs(df, max_metres=3000))
+    df = spark.createDataFrame(data, SIGHTING)
+    far = rotating.trip_candidates(rotating.rotating_pairs(df, max_metres=None))
+    near = rotating.trip_candidates(rotating.rotating_pairs(df))
     assert far.count() > 0
     assert rows(far.select(sorted(far.columns))) == rows(near.select(sorted(near.columns)))
 
 
+@pytest.mark.parametrize("metres", [300, 3000, 40000])
+def test_pairs_around_poles_and_date_line(spark, metres):
+    rng = random.Random(metres)
+    degrees = metres / 111_195
+    data = []
+    for lat, lng in [(0.0, 179.999), (-45.0, -179.99), (60.0, 0.0), (89.99, 20.0), (-89.98, 120.0), (89.6, -60.0), (49.4, 8.4)]:
+        for _ in range(24):
+            y = max(-90.0, min(90.0, lat + rng.uniform(-2, 2) * degrees))
+            across = 360 if abs(lat) > 89 else 2 * degrees / math.cos(math.radians(lat))
+            x = (lng + rng.uniform(-across, across) + 180) % 360 - 180
+            data.append((f"r{len(data)}", T0 + dt.timedelta(seconds=rng.randrange(0, 1700)), "n", y, x, 50, 0))
+    data.append(("nowhere", T0, "n", None, 8.4, 50, 0))
+    df = spark.createDataFrame(data, SIGHTING)
+    ends = [F.col(c) for c in ("lat_lend", "lng_lend", "lat_return", "lng_return")]
+    pick = lambda pairs: rows(pairs.where(haversine_km(*ends) * 1000 <= metres).select("vehicle_id_lend", "vehicle_id_return"))
+    near, all_pairs = rotating.rotating_pairs(df, max_metres=metres), rotating.rotating_pairs(df, max_metres=None)
+    assert len(pick(all_pairs)) > 100
+    assert pick(near) == pick(all_pairs)
+    assert near.count() < all_pairs.count() / 2
+
+
+def test_candidates_read_the_ends_once(spark):
+    df = spark.createDataFrame([("a", T0, "n", 49.4, 8.4, 50, 0), ("b", hours(1), "n", 49.4, 8.4, 50, 0)], SIGHTING)
+    plan = rotating.trip_candidates(rotating.rotating_pairs(df))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" in plan and "ExistingRDD" not in plan
+
+
+def test_few_timetable_rows_expand_in_many_tasks(spark):
+    joined = spark.range(400).coalesce(1).select(
+        F.lit("Line").alias("route_long_name"), F.lit("L").alias("route_short_name"), F.lit(1).alias("route_type"), F.col("id").alias("stop_id"),
+        F.lit("07:00:00").alias("arrival_time"), F.lit("07:01:00").alias("departure_time"), *(F.lit(1).alias(d) for d in transit.WEEKDAYS),
+        F.lit("2024-01-01").alias("start_date"), F.lit("2024-12-30").alias("end_date"))
+    sizes = transit.expand_calendar(joined).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 400 * 365 and max(r["count"] for r in sizes) < 400 * 365 / 2
+
+
 def test_first_and_last_ignore_unknown_instants(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", hours(1), 2), ("a", hours(0), 3)], "vehicle_id string, last_updated timestamp, x int")
     r = first_last_sighting(df).first()
