@@ -89,10 +89,6 @@ def rotating_pairs(
     lend, back = side(lend_end, "lend"), side(return_end, "return")
     now = F.floor(F.col("timestamp_lend") / MAX_SECONDS)
     level = F.floor(F.col("battery_lend") / step)
-    lend = (
-        lend.withColumn("_slot", F.explode(F.array(now, now + 1)))
-        .withColumn("_level", F.explode(F.array(level - 1, level)))
-    )
     back = back.withColumn("_slot", F.floor(F.col("timestamp_return") / MAX_SECONDS)).withColumn(
         "_level", F.floor(F.col("battery_return") / step))
     keys = ["network_name", "_slot", "_level"]
@@ -102,6 +98,10 @@ def rotating_pairs(
         back = back.where(placed("return")).withColumn("_cell", F.get(_cells(F.col("lat_return"), F.col("lng_return"), max_metres, False), F.lit(0)))
         lend, back = (df.withColumns({"_row": F.col("_cell.row"), "_column": F.col("_cell.column")}).drop("_cell") for df in (lend, back))
         keys += ["_row", "_column"]
+    lend = (
+        lend.withColumn("_slot", F.explode(F.array(now, now + 1)))
+        .withColumn("_level", F.explode(F.array(level - 1, level)))
+    )
     gap = F.col("timestamp_return") - F.col("timestamp_lend")
     drop = F.col("battery_lend") - F.col("battery_return")
     return (

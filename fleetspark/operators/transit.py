@@ -39,12 +39,13 @@ def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
     parts = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Days as plain numbers since 1970-01-01, a Thursday.
     first, last = (F.unix_date(F.col(c).cast("date")) for c in ("start_date", "end_date"))
+    # Parsed and expanded after the shuffle; the conditions stay in the generator, a filter would parse once more.
+    days = F.when(
+        F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last) & (F.col("_bits") != 0), F.sequence(first, last))
     timed = (
-        joined.withColumn("_a", day_seconds(F.col("arrival_time"))).withColumn("_d", day_seconds(F.col("departure_time")))
-        .withColumn("_bits", bits)
-        .where(F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last) & (F.col("_bits") != 0))
-        .repartition(parts, "stop_id", "_a", "_d", "route_short_name")
-        .withColumn("_day", F.explode(F.sequence(first, last)))
+        joined.repartition(parts, "stop_id", "arrival_time", "departure_time", "route_short_name")
+        .withColumn("_a", day_seconds(F.col("arrival_time"))).withColumn("_d", day_seconds(F.col("departure_time")))
+        .withColumn("_bits", bits).withColumn("_day", F.explode(days))
         .where(F.getbit("_bits", F.pmod(F.col("_day") + 3, F.lit(7))) == 1)
     )
     keep = [c for c in ("stop_id", "location_id") if c in joined.columns]
