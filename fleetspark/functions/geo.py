@@ -64,7 +64,7 @@ def vincenty_m(lat1: pd.Series, lng1: pd.Series, lat2: pd.Series, lng2: pd.Serie
     return pd.Series(np.where(sin_s == 0, 0.0, metres), index=lat1.index)
 
 
-def _bound(value: Column, made) -> Column:
+def bound(value: Column, made) -> Column:
     """``made(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), made), F.lit(0))
 
@@ -94,20 +94,20 @@ def geodesic_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column
         def turned(q: Column) -> Column:
             # Equal points have no azimuth; along the equator there is no middle latitude.
             azimuth = F.coalesce(p.c1 * p.c2 * F.sin(lam) / F.nullif(q.sin, F.lit(0.0)), F.lit(0.0))
-            return _bound(azimuth, lambda z: _bound(1 - z * z, lambda w: made(F.struct(
+            return bound(azimuth, lambda z: bound(1 - z * z, lambda w: made(F.struct(
                 q.sin.alias("sin"), q.cos.alias("cos"), F.atan2(q.sin, q.cos).alias("angle"), z.alias("azimuth"), w.alias("cos2"),
                 F.when(w > 1e-15, q.cos - 2 * p.s1 * p.s2 / F.nullif(w, F.lit(0.0))).otherwise(0.0).alias("mid")))))
 
-        return _bound(sides, turned)
+        return bound(sides, turned)
 
     def corrected(p: Column, q: Column) -> Column:
         c = f / 16 * q.cos2 * (4 + f * (4 - 3 * q.cos2))
-        return _bound(c, lambda c: p.diff + (1 - c) * f * q.azimuth * (
+        return bound(c, lambda c: p.diff + (1 - c) * f * q.azimuth * (
             q.angle + c * q.sin * (q.mid + c * q.cos * (2 * q.mid * q.mid - 1))))
 
     def step(p: Column, state: Column) -> Column:
-        new = arc(p, state.lam, lambda q: _bound(q, lambda q: corrected(p, q)))
-        moved = _bound(new, lambda n: F.struct(n.alias("lam"), (F.abs(n - state.lam) < SETTLED).alias("settled")))
+        new = arc(p, state.lam, lambda q: bound(q, lambda q: corrected(p, q)))
+        moved = bound(new, lambda n: F.struct(n.alias("lam"), (F.abs(n - state.lam) < SETTLED).alias("settled")))
         return F.when(state.settled, state).otherwise(moved)
 
     def metres(q: Column) -> Column:
@@ -122,9 +122,9 @@ def geodesic_m(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column
     def solved(p: Column) -> Column:
         start = F.struct(p.diff.alias("lam"), F.lit(False).alias("settled"))
         last = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, lambda state, _: step(p, state))
-        return _bound(last, lambda s: F.when(s.settled, arc(p, s.lam, lambda q: _bound(q, metres))))
+        return bound(last, lambda s: F.when(s.settled, arc(p, s.lam, lambda q: bound(q, metres))))
 
-    return _bound(given, solved)
+    return bound(given, solved)
 
 
 def ring_edges(rings: Column) -> Column:
