@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetspark.functions.numbers import decimals
+from fleetspark.functions.wkb import polygon_wkb
 from fleetspark.operators.context import demographics, explode_subdivisions
 
 HOLIDAY_SCHEMA = (
@@ -92,9 +93,9 @@ FEATURE = "struct<properties: map<string, string>, geometry: struct<type: string
 
 
 def polygon_rows(features: DataFrame, name: str, order: str = "pos", constants: dict[str, str] | None = None, extra: dict[str, str] | None = None) -> DataFrame:
-    """(layer_order, name, rings, parts[, ...]) of the polygons among feature structs; other geometries are left out.
+    """(layer_order, name, rings, parts, multi[, ...]) of the polygons among feature structs; other geometries are left out.
 
-    ``parts`` numbers the part of a multi-polygon each ring belongs to; parts may overlap.
+    ``parts`` numbers the part of a multi-polygon (``multi``) each ring belongs to; parts may overlap.
     ``name`` is the property that becomes the name, ``extra`` maps further properties to columns and
     ``constants`` adds fixed columns.
     """
@@ -109,6 +110,7 @@ def polygon_rows(features: DataFrame, name: str, order: str = "pos", constants:
     prop = lambda p: F.try_element_at(F.col("f.properties"), F.lit(p))
     return features.where(kind.isin("Polygon", "MultiPolygon")).select(
         F.col(order).cast("int").alias("layer_order"), prop(name).alias("name"), rings.alias("rings"), parts.alias("parts"),
+        (kind == "MultiPolygon").alias("multi"),
         *(prop(p).alias(c) for p, c in (extra or {}).items()), *(F.lit(v).alias(c) for c, v in (constants or {}).items()))
 
 
@@ -120,6 +122,21 @@ def read_polygon_layer(
     return polygon_rows(docs.select(F.posexplode("features").alias("pos", "f")), name, constants=constants, extra=extra)
 
 
+def areas(polygons: DataFrame, *keep: str | Column) -> DataFrame:
+    """Polygon rows as the ``keep`` columns and ``area``, the polygon as well-known binary."""
+    return polygons.select(*keep, polygon_wkb(F.col("rings"), F.col("parts"), F.col("multi")).alias("area"))
+
+
+def read_feature_areas(spark: SparkSession, path: str, city: str = "MA", name: str = "id_name") -> DataFrame:
+    """(city, name, area) of a feature service's polygons."""
+    return areas(read_polygon_layer(spark, path, name, constants={"city": city}), "city", "name")
+
+
+def read_land_use(spark: SparkSession, path: str, city: str) -> DataFrame:
+    """(city, landuse, area) of one city's land-use polygons."""
+    return areas(read_polygon_layer(spark, path, "landuse", constants={"city": city}), "city", F.col("name").alias("landuse"))
+
+
 DEMOGRAPHICS_SCHEMA = (
     "geographies array<struct<features: array<struct<name: string>>, themes: array<struct<name: string, "
     "indicators: array<struct<name: string, date: string, values: array<string>>>>>>>"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetspark.functions.numbers import decimals
-from fleetspark.operators.clean import prune_by_file_date
+from fleetspark.sources.files import dated_files
 
 # Field positions (first, length) of the station list.
 STATION_SLICES = {
@@ -45,12 +45,14 @@ def read_station_observations(
 ) -> DataFrame:
     """Readings of one kind as (station_id, obs_ts, measure, raw_value) rows with start <= obs_ts <= end.
 
-    Files named for a period that ended before ``start`` are not read further. Unreadable rows drop out.
+    Files are named ``.._<first day>_<last day>_<rest>``. Those of a period that ended before ``start``, and those without
+    days, are never opened; ``prune=False`` reads all. Unreadable rows drop out.
     """
     columns = READING_COLUMNS[kind]
-    raw = spark.read.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", True).csv(path)
-    if prune:
-        raw = prune_by_file_date(raw, start.replace("-", "")[:8], pattern=r"(\d+)_[^_]*$")
+    files = dated_files(spark, path, start.replace("-", "")[:8], pattern=r"_(\d{8})_[^_]*$") if prune else [path]
+    reader = spark.read.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", True)
+    fields = ["STATIONS_ID", "MESS_DATUM", *columns]
+    raw = reader.csv(files) if files else spark.createDataFrame([], ", ".join(f"{c} string" for c in fields))
     stamp = F.try_to_timestamp(F.trim("MESS_DATUM"), F.lit("yyyyMMddHHmm"))
     entries = F.array(*(
         F.struct(F.lit(measure).cast("string").alias("measure"), F.trim(column).alias("raw_value"))

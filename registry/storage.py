@@ -6,16 +6,19 @@ import io
 import tarfile
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
+from fleetspark.functions.wkb import polygon_wkb, wkb_rings
 from fleetspark.operators.availability import availability
 from fleetspark.operators.clean import WEATHER_MEASURES
 from fleetspark.operators.keys import assign_ids
 from fleetspark.operators.transit import pivot_directions
 from fleetspark.operators.upgrade import upgrade_free_bike_status
+from fleetspark.plans.areas import add_land_use
 from fleetspark.session import scratch_path
 from fleetspark.sinks import tables
 from fleetspark.sources import context, feeds, snapshots, transit, weather
+from fleetspark.sources.files import dated_files
 from registry.base import NETWORKS, Query, Source
 from registry.context import LIST_SQL, mapped_sql
 from registry.facts import availability_sql, fill, locations, trips, NO_STATIONS, TRIPS_SQL
@@ -30,6 +33,29 @@ def by_folder(df, pick, write):
         write(df.where(pick == part), day)
 
 
+def documents(df, part, at, value, root, head="[", tail="]", **options):
+    """Write texts as the elements of many-line documents, one document per ``part``, elements in the order of ``at``.
+
+    Each document is one file; the lines are sorted into place, no document is held in a row.
+    """
+    rows = df.select(part.cast("bigint").alias("part"), at.cast("bigint").alias("_at"), value.alias("value"))
+    first = F.row_number().over(Window.partitionBy("part").orderBy("_at")) == 1
+    rows = rows.withColumn("value", F.concat(F.when(first, "").otherwise(","), "value")).withColumn("_place", F.lit(1))
+    ends = rows.select("part").distinct().select("part", F.inline(F.array(*(
+        F.struct(F.lit(0).cast("bigint").alias("_at"), F.lit(text).alias("value"), F.lit(place).alias("_place")) for place, text in ((0, head), (2, tail))))))
+    lines = rows.unionByName(ends).repartition("part").sortWithinPartitions("part", "_place", "_at")
+    lines.select("part", "value").write.options(**options).partitionBy("part").text(root)
+    return f"{root}/*/*"
+
+
+def unreadable(spark, path):
+    """A file that ends every job that opens it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/broken.txt.gz")
+    out = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    out.write(bytearray(b"no archive"))
+    out.close()
+
+
 # ----------------------------------------------------------------------------------------- sources
 
 
@@ -167,14 +193,10 @@ def counter_files(t: Source):
         F.when(F.col("event_id") % 4 != 0, "Stadt A").otherwise("Stadt B").alias("domain_name"), F.lit("Bridge").alias("counter_site"),
         F.col("event_id").cast("string").alias("counter_site_id"), F.lit(8.46789).alias("longitude"), F.lit(49.4823).alias("latitude"),
         F.array(pick(1, "IN"), pick(2, "OUT"), pick(3, "IN"), pick(4, "BOTH")).alias("channels"))
-    sites.write.option("compression", "gzip").json(root)
-    spark_rows = t.spark.read.schema(transit.COUNTER_SCHEMA)
-    # Written as JSON lines, which the multi-line reader takes one document per file for; read per line here.
-    rows = spark_rows.json(root)
-    flat = rows.where(F.col("domain_name") == "Stadt A").select(
-        F.col("counter_site_id").alias("counter_id"), F.posexplode("channels").alias("pos", "c")).select(
-        "counter_id", "pos", F.col("c.iso_timestamp").cast("timestamp").alias("timestamp"), "c.direction", "c.counts")
-    return pivot_directions(flat, ["counter_id", "timestamp"])
+    files = documents(sites.select("counter_site_id", F.to_json(F.struct(*sites.columns)).alias("site")), F.floor(F.col("counter_site_id").cast("bigint") / 5000),
+                      F.col("counter_site_id"), F.col("site"), root, compression="gzip")
+    rows = transit.read_bike_counters(t.spark, files, ["Stadt A"])
+    return pivot_directions(rows, ["counter_id", "timestamp"])
 
 
 def station_list(t: Source):
@@ -194,23 +216,44 @@ SELECT cast(c_custkey AS integer) AS station_id, date '2000-01-01' AS valid_from
        round(47 + cast(c_custkey % 900 AS double) / 1000, 4) AS lat, round(8 + cast(c_custkey % 70 AS double) / 100, 4) AS lng, c_name AS station_name FROM {customer}"""
 
 
-def observations(t: Source):
-    root = scratch_path(t.spark, "observations")
+# Ten days to a file; the first ends before the days asked for and cannot be read.
+PERIODS = ["20240101_20240110", "20240111_20240120", "20240121_20240131"]
+
+
+def observations(t: Source, kind: str):
+    root = scratch_path(t.spark, kind)
+    values = [F.concat(F.lit("   "), F.round("value", 1).cast("string")),
+              F.when(F.col("event_id") % 17 == 0, F.lit("-999")).otherwise((F.col("event_id") % 360).cast("string"))]
     df = t("events").select(
+        F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)).alias("period"),
         F.lpad((F.col("user_id") % 20).cast("string"), 11, " ").alias("STATIONS_ID"),
         F.when(F.col("event_id") % 31 == 0, "bad").otherwise(F.date_format("ts", "yyyyMMddHHmm")).alias("MESS_DATUM"), F.lit("    3").alias("QN"),
-        F.concat(F.lit("   "), F.round("value", 1).cast("string")).alias("FF_10"),
-        F.when(F.col("event_id") % 17 == 0, F.lit("-999")).otherwise((F.col("event_id") % 360).cast("string")).alias("DD_10"), F.lit("eor").alias("eor"))
-    df.write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False).csv(root)
-    rows = weather.read_station_observations(t.spark, root, "wind", "2024-01-03 00:00:00", "2024-01-20 12:00:00", prune=False)
+        *(v.alias(c) for v, c in zip(values, weather.READING_COLUMNS[kind])), F.lit("eor").alias("eor"))
+    name = lambda days: f"{root}/produkt_{days}_00044.txt"
+    unreadable(t.spark, name(PERIODS[0]))
+    unreadable(t.spark, f"{root}/without_days.txt")
+    for number in (1, 2):
+        df.where(F.col("period") == number).drop("period").write.option("header", True).option("sep", ";").option("ignoreLeadingWhiteSpace", False).csv(name(PERIODS[number]))
+    rows = weather.read_station_observations(t.spark, root, kind, "2024-01-13 00:00:00", "2024-01-25 12:00:00")
     return rows.withColumn("raw_value", F.col("raw_value").cast("double"))
 
 
-OBSERVATIONS_SQL = """
-WITH o AS (SELECT cast(user_id % 20 AS integer) AS station_id, date_trunc('minute', ts) AS obs_ts, event_id, value FROM {events} WHERE event_id % 31 <> 0)
-SELECT station_id, obs_ts, 'wind_speed' AS measure, round(value, 1) AS raw_value FROM o WHERE obs_ts BETWEEN timestamp '2024-01-03' AND timestamp '2024-01-20 12:00:00'
-UNION ALL SELECT station_id, obs_ts, 'wind_direction', CASE WHEN event_id % 17 = 0 THEN cast(-999 AS double) ELSE cast(event_id % 360 AS double) END
-FROM o WHERE obs_ts BETWEEN timestamp '2024-01-03' AND timestamp '2024-01-20 12:00:00'"""
+def observations_sql(kind: str) -> str:
+    values = ["round(value, 1)", "CASE WHEN event_id % 17 = 0 THEN cast(-999 AS double) ELSE cast(event_id % 360 AS double) END"]
+    measures = [f"'{m}'" if m else "cast(NULL AS varchar)" for m in weather.READING_COLUMNS[kind].values()]
+    return """WITH o AS (SELECT cast(user_id % 20 AS integer) AS station_id, date_trunc('minute', ts) AS obs_ts, event_id, value FROM {events} WHERE event_id % 31 <> 0)
+""" + " UNION ALL ".join(
+        f"SELECT station_id, obs_ts, {m} AS measure, {v} AS raw_value FROM o WHERE obs_ts BETWEEN timestamp '2024-01-13' AND timestamp '2024-01-25 12:00:00'"
+        for m, v in zip(measures, values))
+
+
+def files_by_name(t: Source):
+    """Lines in a folder per day, read for some days; an earlier one cannot be read."""
+    root = scratch_path(t.spark, "dated")
+    t("events").select(F.col("event_id").cast("string").alias("value"), F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("_x.txt")).alias("produkt")).write.partitionBy("produkt").text(root)
+    unreadable(t.spark, f"{root}/produkt=20231231_x.txt")
+    found = dated_files(t.spark, root, "20240110", "20240120", r"=(\d{8})_")
+    return t.spark.read.option("basePath", root).text(found).select(F.col("value").cast("bigint").alias("event_id"), F.substring("produkt", 1, 8).alias("day"))
 
 
 def holiday_files(t: Source):
@@ -219,14 +262,13 @@ def holiday_files(t: Source):
     from registry.context import code_at
 
     code = F.struct(code_at(key).alias("code"))
-    doc = t("orders").select(
+    doc = t("orders").select(key.alias("key"), F.to_json(F.struct(
         F.array(F.struct(F.lit("EN").alias("language"), F.concat(F.lit("Holiday "), key.cast("string")).alias("text"))).alias("name"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("endDate"), F.lit("School").alias("type"),
-        F.when(key % 3 != 0, F.array(code)).alias("subdivisions"))
-    # One array per file, as the service delivers it.
-    doc.select(F.to_json(F.struct("*")).alias("j")).groupBy(F.pmod(F.xxhash64("j"), F.lit(64))).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value")).select("value").write.option("lineSep", "\n").option("maxRecordsPerFile", 1).text(root)
-    return context.read_holidays(t.spark, root, "DE")
+        F.when(key % 3 != 0, F.array(code)).alias("subdivisions"))).alias("json"))
+    # Arrays, as the service delivers them.
+    files = documents(doc, F.floor(F.col("key") / 8000), F.col("key"), F.col("json"), root)
+    return context.read_holidays(t.spark, files, "DE")
 
 
 HOLIDAY_FILES_SQL = mapped_sql("o.code", f"""(
@@ -273,24 +315,86 @@ SELECT osm_id, timestamp '2024-01-01 12:00:00' AS timestamp, lat, lng, entity AS
        CASE WHEN entity = 'school' THEN '' ELSE '24/7' END AS opening_hours FROM u"""
 
 
-def polygon_files(t: Source):
-    """The layer as single-feature collections; every ninth feature is a line and left out."""
-    root = scratch_path(t.spark, "polygons")
+def collections(t: Source, name: str, shift: float = 0.0) -> str:
+    """The layer as feature collections of up to 500 features, in order: every ninth is a line, every fifth has two parts.
+
+    The corners of layers below a million may be moved by ``shift``.
+    """
+    order = F.col("layer_order")
     ring = F.element_at("rings", 1)
-    coordinates = F.transform(F.concat(ring, F.slice(ring, 1, 1)), lambda p: F.array(p.x, p.y))
-    line = F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.struct(F.col("name").alias("GEN"), F.col("layer_order").cast("string").alias("code")).alias("properties"),
-        F.struct(F.when(F.col("layer_order") % 9 == 0, "LineString").otherwise("Polygon").alias("type"), F.array(coordinates).alias("coordinates")).alias("geometry")))
-    # The collection file's lines each hold one collection with one feature.
-    layer(t).select(F.concat(F.lit('{"features": ['), line, F.lit("]}")).alias("value")).write.text(root)
-    docs = t.spark.read.schema(f"features array<{context.FEATURE}>").json(root)
-    rows = context.polygon_rows(docs.select(F.posexplode("features").alias("pos", "f")), "GEN", constants={"city": "MA"}, extra={"code": "code"})
+    moved = F.when(order % 2 == 0, F.lit(shift)).otherwise(0.0)
+    closed = F.transform(F.concat(ring, F.slice(ring, 1, 1)), lambda p: F.array(p.x + moved, p.y))
+    beside = F.transform(closed, lambda p: F.array(p[0] + 1.0, p[1]))
+    text = F.when(order % 9 == 0, F.to_json(closed)).when(order % 5 == 0, F.to_json(F.array(F.array(closed), F.array(beside)))).otherwise(F.to_json(F.array(closed)))
+    kind = F.when(order % 9 == 0, "LineString").when(order % 5 == 0, "MultiPolygon").otherwise("Polygon")
+    properties = F.to_json(F.struct(F.col("name").alias(name), order.cast("string").alias("code")))
+    feature = F.format_string('{"type": "Feature", "properties": %s, "geometry": {"type": "%s", "coordinates": %s}}', properties, kind, text)
+    return documents(layer(t), F.floor(order / 500), order, feature, scratch_path(t.spark, "collections"), '{"type": "FeatureCollection", "features": [', "]}")
+
+
+def polygon_files(t: Source):
+    rows = context.read_polygon_layer(t.spark, collections(t, "GEN"), "GEN", constants={"city": "MA"}, extra={"code": "code"})
     corner = F.element_at(F.element_at("rings", 1), 1)
-    return rows.select("name", "city", "code", F.size(F.element_at("rings", 1)).alias("corners"), corner.x.alias("x"), corner.y.alias("y"))
+    return rows.select("layer_order", "name", "city", "code", "parts", F.size(F.element_at("rings", 1)).alias("corners"), corner.x.alias("x"), corner.y.alias("y"))
 
 
 POLYGON_SQL = """
-SELECT name, 'MA' AS city, cast(layer_order AS varchar) AS code, corners + 1 AS corners, cx - r AS x, cy AS y FROM {areas} WHERE layer_order % 9 <> 0"""
+WITH n AS (SELECT *, cast(row_number() OVER (PARTITION BY layer_order // 500 ORDER BY layer_order) - 1 AS integer) AS place FROM {areas})
+SELECT place AS layer_order, name, 'MA' AS city, cast(layer_order AS varchar) AS code, CASE WHEN layer_order % 5 = 0 THEN [0, 1] ELSE [0] END AS parts,
+       corners + 1 AS corners, cx - r AS x, cy AS y FROM n WHERE layer_order % 9 <> 0"""
+
+
+def area_sql(shift: str) -> str:
+    """layer_order, name and the polygon's bytes as hex digits, from the bits of the corners."""
+    low_first = lambda c: "concat(" + ", ".join(f"substr({c}, {i}, 2)" for i in range(15, 0, -2)) + ")"
+    return f"""(
+  WITH c AS (SELECT layer_order, name, corners, cx + CASE WHEN layer_order % 2 = 0 THEN {shift} ELSE 0E0 END AS m, cx - r + CASE WHEN layer_order % 2 = 0 THEN {shift} ELSE 0E0 END AS w,
+                    cx + r + CASE WHEN layer_order % 2 = 0 THEN {shift} ELSE 0E0 END AS e, cy, cy - r AS s, cy - r / 2E0 AS h, cy + r AS n FROM {{areas}} WHERE layer_order % 9 <> 0),
+  k AS (SELECT layer_order, name, corners, 1 AS k, w AS x, cy AS y FROM c UNION ALL SELECT layer_order, name, corners, 5, w, cy FROM c
+        UNION ALL SELECT layer_order, name, corners, 2, m, s FROM c WHERE corners = 4 UNION ALL SELECT layer_order, name, corners, 3, e, cy FROM c WHERE corners = 4
+        UNION ALL SELECT layer_order, name, corners, 2, e, h FROM c WHERE corners = 3 UNION ALL SELECT layer_order, name, corners, 4, m, n FROM c),
+  b AS (SELECT k.*, part, hex(cast(cast(x + part AS bit) AS blob)) AS hx, hex(cast(cast(y AS bit) AS blob)) AS hy FROM k, (VALUES (0E0), (1E0)) p(part) WHERE part = 0 OR layer_order % 5 = 0),
+  g AS (SELECT layer_order, name, part, concat('010300000001000000', printf('%02X', corners + 1), '000000', string_agg(concat({low_first('hx')}, {low_first('hy')}), '' ORDER BY k)) AS polygon
+        FROM b GROUP BY layer_order, name, part, corners)
+  SELECT layer_order, name, CASE WHEN layer_order % 5 = 0 THEN concat('010600000002000000', string_agg(polygon, '' ORDER BY part)) ELSE max(polygon) END AS area
+  FROM g GROUP BY layer_order, name)"""
+
+
+def feature_areas(t: Source):
+    return context.read_feature_areas(t.spark, collections(t, "id_name")).withColumn("area", F.hex("area"))
+
+
+def land_use(t: Source):
+    """Two loads: of the second half of the areas is new, and one city is loaded twice."""
+    path = scratch_path(t.spark, "land_use")
+    first, second = collections(t, "landuse"), collections(t, "landuse", 0.25)
+    add_land_use(context.read_land_use(t.spark, first, "Mannheim"), path)
+    found = context.read_land_use(t.spark, second, "Mannheim").unionByName(context.read_land_use(t.spark, first, "Heidelberg"))
+    return add_land_use(found, path).withColumn("area", F.hex("area"))
+
+
+LAND_USE_SQL = f"""
+WITH u AS (SELECT 'Mannheim' AS city, name AS landuse, area FROM {area_sql("0E0")} a UNION SELECT 'Mannheim', name, area FROM {area_sql("0.25E0")} b
+           UNION SELECT 'Heidelberg', name, area FROM {area_sql("0E0")} c)
+SELECT row_number() OVER (ORDER BY city, landuse, area) AS id, * FROM u"""
+
+
+def areas_read_back(t: Source):
+    """Rings, written as bytes and read again."""
+    rows = context.read_polygon_layer(t.spark, collections(t, "GEN"), "GEN")
+    written = polygon_wkb(F.col("rings"), F.col("parts"), F.col("multi"))
+    back = rows.select("name", wkb_rings(written).alias("b"))
+    return back.select("name", "b.multi", "b.parts", F.posexplode(F.flatten("b.rings")).alias("k", "p")).select(
+        "name", "multi", "parts", "k", (F.col("p.x") * 1000000).alias("x"), (F.col("p.y") * 1000000).alias("y"))
+
+
+READ_BACK_SQL = """
+WITH c AS (SELECT layer_order, name, corners, cx AS m, cx - r AS w, cx + r AS e, cy, cy - r AS s, cy - r / 2E0 AS h, cy + r AS n, layer_order % 5 = 0 AS multi FROM {areas} WHERE layer_order % 9 <> 0),
+q AS (SELECT name, multi, corners, 0 AS k, w AS x, cy AS y FROM c UNION ALL SELECT name, multi, corners, corners, w, cy FROM c
+  UNION ALL SELECT name, multi, corners, 1, m, s FROM c WHERE corners = 4 UNION ALL SELECT name, multi, corners, 2, e, cy FROM c WHERE corners = 4
+  UNION ALL SELECT name, multi, corners, 1, e, h FROM c WHERE corners = 3 UNION ALL SELECT name, multi, corners, corners - 1, m, n FROM c)
+SELECT name, multi, CASE WHEN multi THEN [0, 1] ELSE [0] END AS parts, cast(k + part * (corners + 1) AS integer) AS k, (x + part) * 1000000 AS x, y * 1000000 AS y
+FROM q, (VALUES (0), (1)) p(part) WHERE part = 0 OR multi"""
 
 
 def hourly(t: Source):
@@ -332,12 +436,8 @@ def demographic_files(t: Source):
         F.array(F.struct(F.lit("age").alias("name"), F.array(
             indicator("2023", key.cast("string"), F.lit(" "), F.lit("7")), indicator("2022", F.lit("1"), F.lit("2"), F.lit("3")),
             indicator("2025", F.lit("x"), F.lit("2.5"), F.lit("3"))).alias("indicators"))).alias("themes"))
-    t("orders").select(F.array(geography, geography).alias("geographies")).write.json(root)
-    docs = t.spark.read.schema(context.DEMOGRAPHICS_SCHEMA).json(root)
-    second = F.get("geographies", F.lit(1))
-    from fleetspark.operators.context import demographics
-
-    return demographics(docs.select(second.features.alias("features"), second.themes.alias("themes")))
+    docs = t("orders").select(key.alias("key"), F.to_json(F.struct(F.array(geography, geography).alias("geographies"))).alias("json"))
+    return context.read_demographics(t.spark, documents(docs, F.floor(F.col("key") / 8000), F.col("key"), F.col("json"), root))
 
 
 DEMOGRAPHICS_SQL = """
@@ -444,7 +544,12 @@ QUERIES = [
         "SELECT * REPLACE (cast(service_id AS varchar) AS service_id) FROM {calendar}",
     ),
     Query("s7_parse_fixed_width_stations", station_list, STATION_LIST_SQL),
-    Query("s8_read_station_observations", observations, OBSERVATIONS_SQL),
+    Query("s8_read_station_observations", lambda t: observations(t, "wind"), observations_sql("wind")),
+    *(Query(f"s8_read_station_observations_{k}", lambda t, k=k: observations(t, k), observations_sql(k)) for k in ("solar", "precipitation", "air_temperature")),
+    Query(
+        "p16_dated_files", files_by_name,
+        "SELECT event_id, strftime(ts, '%Y%m%d') AS day FROM {events} WHERE cast(ts AS date) BETWEEN date '2024-01-10' AND date '2024-01-20'",
+    ),
     Query(
         "s9_read_bike_counters", counter_files,
         """SELECT cast(event_id AS varchar) AS counter_id, date_trunc('hour', ts) AS timestamp, event_id * 3 AS in_count, event_id * 2 AS out_count FROM {events} WHERE event_id % 4 <> 0""",
@@ -453,6 +558,9 @@ QUERIES = [
     Query("s11_read_pois", poi_files, POI_FILES_SQL),
     Query("s12_read_osm_nodes", osm_files, OSM_SQL),
     Query("s13_read_polygon_layer", polygon_files, POLYGON_SQL),
+    Query("s13_feature_areas", feature_areas, f"SELECT 'MA' AS city, name, area FROM {area_sql('0E0')} a"),
+    Query("s13_areas_read_back", areas_read_back, READ_BACK_SQL),
+    Query("k4_land_use_areas", land_use, LAND_USE_SQL),
     Query("s14_read_hourly_arrays", hourly, HOURLY_SQL),
     Query("s15_read_station_history", history, HISTORY_SQL),
     Query("s16_read_demographics", demographic_files, DEMOGRAPHICS_SQL),

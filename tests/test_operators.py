@@ -5,6 +5,7 @@ import io
 import math
 import pathlib
 import random
+import struct
 import tarfile
 
 import pandas as pd
@@ -15,13 +16,14 @@ from fleetspark import session
 from fleetspark.functions.clock import day_seconds
 from fleetspark.functions.geo import geodesic_m, haversine_km, swap_wkt_axes, vincenty_m
 from fleetspark.functions.numbers import decimals, half_even
+from fleetspark.functions.wkb import polygon_wkb, wkb_rings
 from fleetspark.operators import clean, merge, rotating, spatial, transit
 from fleetspark.operators.demand import demand_from_trips, first_last_sighting
 from fleetspark.operators.history import changes, ordered
 from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
 from fleetspark.sinks import tables, versions
-from fleetspark.sources import feeds, snapshots, transit as transit_files
+from fleetspark.sources import feeds, files, snapshots, transit as transit_files, weather as weather_files
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -698,3 +700,60 @@ def test_station_history_and_demographics_files(spark, tmp_path):
       "themes": [{"name": "age", "indicators": [{"name": "people", "date": "2023", "values": ["1.5", "x", "3"]}, {"name": "people", "date": "2019", "values": ["1"]}]}]}]}""")
     found = read_demographics(spark, str(tmp_path / "d.json")).select("topic", "area", "value")
     assert rows(found) == [("age", "a", 1.5), ("age", "b", None)]
+
+
+def packed(rings, order="<"):
+    """A polygon's bytes, written by hand."""
+    out = struct.pack(order + "BII", order == "<", 3, len(rings))
+    return out + b"".join(struct.pack(order + "I", len(r)) + b"".join(struct.pack(order + "dd", *p) for p in r) for r in rings)
+
+
+RINGS = "rings array<array<struct<x:double,y:double>>>, parts array<int>, multi boolean"
+
+
+def test_polygons_as_bytes_and_back(spark):
+    edge = [0.0, 1.0, -1.0, 2.0**-1022, -1.7976931348623157e308, math.nextafter(8, 0), math.nextafter(8, 9), 1e-300, 49.4, math.pi, 0.1]
+    ring = [(x, 1 - y) for x, y in zip(edge, reversed(edge))]
+    ring.append(ring[0])
+    opened = [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]
+    data = [([ring], [0], False), ([ring, ring[:1], ring], [0, 0, 1], True), ([ring], [0], True), ([], [], True), ([], [], False), ([opened], [0], False),
+            ([[(1.0, float("nan"))]], [0], False), ([[(float("inf"), 1.0)]], [0], False), ([[(1.0, None)]], [0], False), ([None], [0], False), (None, None, False)]
+    head = lambda n: struct.pack("<BII", 1, 6, n)
+    want = [packed([ring]), head(2) + packed([ring, ring[:1]]) + packed([ring]), head(1) + packed([ring]), head(0), packed([]), packed([opened + opened[:1]])] + [None] * 5
+    written = spark.createDataFrame(data, RINGS).select("*", polygon_wkb(F.col("rings"), F.col("parts"), F.col("multi")).alias("w"))
+    plain = lambda rings: [[tuple(p) for p in r] for r in rings]
+    found = written.withColumn("b", wkb_rings(F.col("w"))).collect()
+    assert [r.w and bytes(r.w) for r in found] == want
+    for r in found:
+        if r.w is None:
+            assert r.b is None
+        elif r.rings != found[5].rings:
+            assert (plain(r.b.rings), r.b.parts, r.b.multi) == (plain(r.rings), r.parts, r.multi)
+    assert plain(found[5].b.rings) == [opened + opened[:1]]
+
+
+def test_bytes_that_are_no_polygon(spark):
+    ring = [(1.5, 2.0), (3.0, 4.0), (1.5, 2.0)]
+    good = packed([ring])
+    several = struct.pack(">BII", 0, 6, 1) + good
+    bad = [good[:-1], good + b"x", b"", b"\x01", struct.pack("<BIdd", 1, 1, 1.0, 2.0), struct.pack("<BII", 1, 3, 2**32 - 1),
+           struct.pack("<BIII", 1, 3, 1, 2**32 - 1), struct.pack("<BII", 1, 6, 1) + struct.pack("<BIdd", 1, 1, 1.0, 2.0), None]
+    data = [(packed([ring], ">"),), (good,), (several,), *((b,) for b in bad)]
+    found = [r.b for r in spark.createDataFrame(data, "w binary").select(wkb_rings(F.col("w")).alias("b")).collect()]
+    assert [[tuple(p) for p in b.rings[0]] for b in found[:3]] == [ring] * 3
+    assert found[3:] == [None] * len(bad)
+
+
+def test_files_outside_the_days_are_not_opened(spark, tmp_path):
+    head, row = "STATIONS_ID;MESS_DATUM;QN;FF_10;DD_10;eor\n", "  7;202401150010;3;  2.5;180;eor\n"
+    (tmp_path / "produkt_20240111_20240120_00044.txt").write_text(head + row)
+    (tmp_path / "_20240111_20240120_hidden.txt").write_text(head + row)
+    for name in ("produkt_20240101_20240110_00044.txt", "days_unknown.txt"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "broken.txt.gz").write_bytes(b"no archive")
+    read = lambda start, **kw: weather_files.read_station_observations(spark, str(tmp_path), "wind", start, "2024-01-31", **kw)
+    assert sorted((r.station_id, r.measure, r.raw_value) for r in read("2024-01-12").collect()) == [(7, "wind_direction", "180"), (7, "wind_speed", "2.5")]
+    assert read("2024-02-01").collect() == []
+    with pytest.raises(Exception, match="gzip"):
+        read("2024-01-05").collect()
+    assert [f.rsplit("/", 1)[1] for f in files.dated_files(spark, f"{tmp_path}/prod*", "20240101", "20240115", r"_(\d{8})_[^_]*$")] == ["produkt_20240101_20240110_00044.txt"]
