@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -172,37 +173,94 @@ def trip_features(known_trips: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
+# A fitted tree as plain data: the value of a leaf, or (feature, threshold, tree at or below it, tree above it).
+Tree = float | list
+
+
+def _literal(value: float) -> str:
+    """A double that SQL dialects read as a double, not as a decimal."""
+    text = repr(float(value))
+    return f"({text if 'e' in text else text + 'E0'})"
+
+
+def _case(tree: Tree) -> str:
+    if not isinstance(tree, (list, tuple)):
+        return _literal(tree)
+    feature, threshold, low, high = tree
+    return f"CASE WHEN _x{feature} <= {_literal(threshold)} THEN {_case(low)} ELSE {_case(high)} END"
+
+
+def _tree(node) -> Tree:
+    """The nodes of a fitted tree, read from the model."""
+    if node.getClass().getSimpleName() != "InternalNode":
+        return node.prediction()
+    split = node.split()
+    return [split.featureIndex(), split.threshold(), _tree(node.leftChild()), _tree(node.rightChild())]
+
+
 class DestinationModel:
-    """Two boosted-tree regressions: latitude and longitude of the return."""
+    """Two sums of regression trees, latitude and longitude of the return, as plain data.
+
+    Candidates are judged by CASE expressions over scaled features, which are text that other SQL engines read as well:
+    ``features`` and ``predictions``. ``saved`` and ``load`` keep a fitted model without the library that fitted it.
+    Vehicles without a battery or range have no such differences: 0, and an indicator says so.
+    """
 
-    def __init__(self, scaler, lat_model, lng_model):
-        self.scaler, self.lat_model, self.lng_model = scaler, lat_model, lng_model
+    def __init__(self, means: list[float], scales: list[float], lat: list[tuple[float, Tree]], lng: list[tuple[float, Tree]]):
+        self.means, self.scales, self.lat, self.lng = means, scales, lat, lng
 
     @staticmethod
-    def _assemble(df: DataFrame) -> DataFrame:
-        """Vehicles without a battery or range have no such differences: 0, and an indicator says so."""
-        known = {f"_has_{c}": F.col(c).isNotNull().cast("double") for c in OPTIONAL}
-        value = {f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES}
-        full = df.withColumns({**known, **value})
-        return VectorAssembler(inputCols=[*value, *known], outputCol="_raw").transform(full).drop(*value, *known)
+    def _raw() -> list[str]:
+        known = [f"CASE WHEN {c} IS NULL THEN 0E0 ELSE 1E0 END" for c in OPTIONAL]
+        return [f"coalesce(cast({c} AS double), 0E0)" for c in FEATURES] + known
+
+    @property
+    def features(self) -> dict[str, str]:
+        """Name and SQL of the origin and of the scaled features."""
+        scaled = [f"({raw} - {_literal(m)}) * {_literal(s)}" for raw, m, s in zip(self._raw(), self.means, self.scales)]
+        return {f"_x{i}": text for i, text in enumerate(["cast(lat_lend AS double)", "cast(lng_lend AS double)", *scaled])}
+
+    @property
+    def predictions(self) -> dict[str, str]:
+        """SQL of the predicted place over ``features``."""
+        total = lambda trees: " + ".join(f"{_literal(weight)} * {_case(tree)}" for weight, tree in trees)
+        return {"_plat": total(self.lat), "_plng": total(self.lng)}
 
     @staticmethod
-    def _with_origin(df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=["lat_lend", "lng_lend", "_scaled"], outputCol="_x").transform(df)
+    def learn(trips: DataFrame, seed: int, rounds: int, depth: int):
+        """The scaler and two boosted-tree models, fitted, and the rows they learned from."""
+        raw = {f"_f{i}": F.expr(text) for i, text in enumerate(DestinationModel._raw())}
+        rows = trips.withColumns(raw).select(
+            F.col("lat_lend").cast("double"), F.col("lng_lend").cast("double"), "lat_return", "lng_return", *raw)
+        # Read by the scaler and by each model.
+        assembled = stored(VectorAssembler(inputCols=list(raw), outputCol="_raw").transform(rows).drop(*raw), "training")
+        scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True).fit(assembled)
+        data = VectorAssembler(inputCols=["lat_lend", "lng_lend", "_scaled"], outputCol="_x").transform(scaler.transform(assembled))
+        fitted = [GBTRegressor(featuresCol="_x", labelCol=label, predictionCol=out, maxIter=rounds, maxDepth=depth, seed=seed).fit(
+            data.select("_x", label)) for label, out in (("lat_return", "_plat"), ("lng_return", "_plng"))]
+        return scaler, *fitted, data
+
+    @classmethod
+    def of(cls, scaler, *fitted) -> DestinationModel:
+        scales = [1 / s if s else 0.0 for s in scaler.std.toArray().tolist()]
+        trees = [[(w, _tree(t._java_obj.rootNode())) for w, t in zip(m.treeWeights, m.trees)] for m in fitted]
+        return cls(scaler.mean.toArray().tolist(), scales, *trees)
 
     @classmethod
     def fit(cls, trips: DataFrame, seed: int = 7, rounds: int = 10, depth: int = 4) -> DestinationModel:
-        # Read by the scaler and by each model.
-        assembled = stored(cls._assemble(trips).select("lat_lend", "lng_lend", "lat_return", "lng_return", "_raw"), "training")
-        scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True).fit(assembled)
-        data = cls._with_origin(scaler.transform(assembled)).select("_x", "lat_return", "lng_return")
-        learn = lambda label, out: GBTRegressor(
-            featuresCol="_x", labelCol=label, predictionCol=out, maxIter=rounds, maxDepth=depth, seed=seed).fit(data)
-        return cls(scaler, learn("lat_return", "_plat"), learn("lng_return", "_plng"))
+        return cls.of(*cls.learn(trips, seed, rounds, depth)[:3])
+
+    def saved(self) -> str:
+        return json.dumps({"means": self.means, "scales": self.scales, "lat": self.lat, "lng": self.lng})
+
+    @classmethod
+    def load(cls, text: str) -> DestinationModel:
+        return cls(**json.loads(text))
 
     def transform(self, candidates: DataFrame) -> DataFrame:
-        data = self._with_origin(self.scaler.transform(self._assemble(candidates)))
-        return self.lng_model.transform(self.lat_model.transform(data)).drop("_raw", "_scaled", "_x")
+        """Candidates with the predicted place (_plat, _plng)."""
+        named = candidates.withColumns({k: F.expr(v) for k, v in self.features.items()})
+        return named.withColumns({k: F.expr(v) for k, v in self.predictions.items()}).drop(*self.features)
 
 
 def nearest_to_prediction(predicted: DataFrame) -> DataFrame:

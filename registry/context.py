@@ -11,7 +11,7 @@ from fleetspark.operators.keys import asc
 from fleetspark.operators.lookup import with_location_id
 from fleetspark.plans.rotating import rotating_trips
 from fleetspark.session import stored
-from registry.base import NETWORKS, Query, Source
+from registry.base import NETWORKS, NETWORKS_SQL, Query, Source
 from registry.facts import locations, trips
 
 # --------------------------------------------------------------------------------- rotating fleets
@@ -51,6 +51,39 @@ def model(t: Source):
     return rotating.DestinationModel.fit(rotating.trip_features(trips(t), locations(t)))
 
 
+# A small model as fitted on sf0.01 (two rounds of depth two), stated so that SQL can judge with the same trees.
+STATED_MODEL = """
+{"means": [40113.783373127786, 0.022357282396353557, 19.326568265682596, 942.1277403950511, 0.2249305404818753, 0.01996201432602564, 1.0, 1.0],
+ "scales": [2.6035673293214798e-05, 0.026464124400591236, 0.0001430401193912809, 0.0015697515277360073, 2.8679620218159356, 0.40246337291191314, 0.0, 0.0],
+ "lat": [[1.0, [4, -0.2839813493554052, [7, -0.05029263377151909, 49.41264075767475, 49.411226415094305], [5, 0.8074366403398907, 49.41227522741698, 49.41163532979535]]],
+         [0.1, [0, 49.423500000000004, [5, 0.2894186361870083, -0.0007086677366143293, 0.0011842056822886947], [5, 0.2894186361870083, 0.014285924064629286, -0.01071055954203743]]]],
+ "lng": [[1.0, [3, -1.0459245797259502, [4, 0.7112918013691272, 8.401601899196509, 8.401920634920634], [2, -0.8100682988186138, 8.401594574780033, 8.401512776565909]]],
+         [0.1, [2, 0.4084012113038388, [4, 0.41376835303526305, -6.427123874329328e-05, 4.358606165205907e-05], [6, -0.37263585557603635, 7.235519099924155e-05, 0.0005059461208529535]]]]}"""
+
+
+def stated_model():
+    return rotating.DestinationModel.load(STATED_MODEL)
+
+
+def destination_sql(fitted: rotating.DestinationModel) -> str:
+    """The candidate nearest to the place that the model's trees give, per rental."""
+    columns = lambda texts: ", ".join(f"{text} AS {name}" for name, text in texts.items())
+    return f"""
+WITH c AS ({CANDIDATES_SQL}), x AS (SELECT *, {columns(fitted.features)} FROM c),
+y AS (SELECT * EXCLUDE ({', '.join(fitted.features)}), {columns(fitted.predictions)} FROM x),
+z AS (SELECT *, round(2 * 6371.0 * asin(least(1, sqrt(pow(sin(radians(lat_return - _plat) / 2), 2)
+   + cos(radians(_plat)) * cos(radians(lat_return)) * pow(sin(radians(lng_return - _plng) / 2), 2)))), 6) AS miss FROM y)
+SELECT DISTINCT ON (trip_date, vehicle_id_lend) * EXCLUDE (miss, _plat, _plng) FROM z ORDER BY trip_date, vehicle_id_lend, miss, timestamp_return, vehicle_id_return"""
+
+
+def rotating_trips_sql(fitted: rotating.DestinationModel) -> str:
+    spot = lambda end: f"(SELECT cast(location_id AS integer) FROM {{cells}} c WHERE c.lat = round(d.lat_{end}, 3) AND c.lng = round(d.lng_{end}, 3))"
+    code = "(SELECT cast(code AS smallint) FROM " + NETWORKS_SQL + " WHERE nm.name = d.network_name)"
+    ends = ", ".join(f"""make_timestamp(timestamp_{e} * 1000000) AS timestamp_{e}, cast(NULL AS varchar) AS station_id_{e}, cast(NULL AS integer) AS station_name_id_{e},
+       {code} AS network_name_{e}, {spot(e)} AS location_id_{e}, cast(battery_{e} AS smallint) AS pedelec_battery_{e}, cast(range_{e} AS integer) AS current_range_meters_{e}""" for e in ("lend", "return"))
+    return f"SELECT vehicle_id_lend AS vehicle_id, {ends}, true AS predicted, trip_date FROM ({destination_sql(fitted)}) d"
+
+
 # -------------------------------------------------------------------------------------- timetables
 
 
@@ -192,6 +225,8 @@ QUERIES = [
     Query("f1_trip_candidates", candidates, CANDIDATES_SQL),
     Query("f2_predict_destination", lambda t: rotating.predict_destination(candidates(t), model(t))),
     Query("f3_rotating_trips", lambda t: rotating_trips(t("sightings"), locations(t), model(t), NETWORKS)),
+    Query("f2_predict_destination_stated", lambda t: rotating.predict_destination(candidates(t), stated_model()), destination_sql(stated_model())),
+    Query("f3_rotating_trips_stated", lambda t: rotating_trips(t("sightings"), locations(t), stated_model(), NETWORKS), rotating_trips_sql(stated_model())),
     Query("j14_gtfs_join", timetable, TIMETABLE_SQL),
     Query("e1_expand_calendar", lambda t: transit.expand_calendar(timetable(t)), EXPANDED_SQL),
     Query(
