@@ -235,6 +235,9 @@ QUERIES = [
         """SELECT p.* FROM {places} p WHERE EXISTS (SELECT 1 FROM {cities} c WHERE p.city_uid = c.uid AND p.snapshot_ts = c.snapshot_ts
            AND c.parent_country_name = 'network_a')""",
     ),
+    Query(
+        "j6_restrict_hierarchy_cities", lambda t: hierarchy(t, 2), "SELECT * FROM {cities} WHERE parent_country_name = 'network_a'"),
+    Query("j6_restrict_hierarchy_countries", lambda t: hierarchy(t, 3), "SELECT * FROM {countries} WHERE name = 'network_a'"),
     Query("a1_demand_from_trips", lambda t: demand_from_trips(trips(t)), demand_sql(fill(TRIPS_SQL, NO_STATIONS))),
     Query("a2_demand_zone", lambda t: demand_zone(zone_trips(t)), demand_sql(ZONE_TRIPS_SQL)),
     Query("a3_demand_station_network", lambda t: demand_station_network(network_trips(t)), demand_sql(NET_TRIPS_SQL)),

@@ -177,9 +177,9 @@ def gtfs(t: Source, name: str):
             extra = F.when(F.col("trip_id") % 70 == 0, ",9,9").otherwise("")
             cut = F.when(F.col("trip_id") % 50 == 1, F.concat_ws(",", "trip_id", "stop_id")).otherwise(
                 F.concat(F.concat_ws(",", "trip_id", "stop_id", "arrival_time", "departure_time"), extra))
-            header = df.sparkSession.range(1).select(F.lit("trip_id,stop_id,arrival_time,departure_time").alias("value"))
-            # The heading has to lead every file, so all rows of this table share one.
-            header.unionAll(df.select(cut.alias("value"))).coalesce(1).write.text(f"{root}/{table}.txt")
+            # One column of whole lines, whose name is the heading that leads every file.
+            lines = df.select(cut.alias("trip_id,stop_id,arrival_time,departure_time"))
+            lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(f"{root}/{table}.txt")
         else:
             df.write.option("header", True).csv(f"{root}/{table}.txt")
     return transit.read_gtfs_tables(t.spark, root)[name]
@@ -510,12 +510,14 @@ def warehouse(t: Source):
     return facts.withColumn("table", F.lit("trips")).unionByName(context_rows.withColumn("table", F.lit("holidays")))
 
 
-def dimensions(t: Source):
+def dimensions(t: Source, name: str):
     root = scratch_path(t.spark, "dimensions")
     geo = t("spots").select(F.concat(F.lit("POINT("), F.col("lat").cast("string"), F.lit(" "), F.col("lng").cast("string"), F.lit(")")).alias("location"), "lat", "lng")
     names = assign_ids(t("customer").select(F.col("c_name").alias("station_name")), ["station_name"], "station_name_id")
     for _ in range(2):
         tables.refresh_dimensions(geo, names, root, swap_axes=True)
+    if name == "station_names":
+        return tables.stored_table(t.spark, f"{root}/station_names")
     part = lambda i: F.regexp_extract("location", r"POINT\((\S+) (\S+)\)", i).cast("double")
     return tables.stored_table(t.spark, f"{root}/geo_information").select("lat", "lng", part(1).alias("first"), part(2).alias("second"))
 
@@ -543,6 +545,15 @@ QUERIES = [
         "s6_read_gtfs_calendar", lambda t: gtfs(t, "calendar"),
         "SELECT * REPLACE (cast(service_id AS varchar) AS service_id) FROM {calendar}",
     ),
+    Query(
+        "s6_read_gtfs_stops", lambda t: gtfs(t, "stops").withColumns({c: F.col(c).try_cast("double") for c in ("stop_lat", "stop_lon")}),
+        """SELECT cast(stop_id AS varchar) AS stop_id, stop_name, try_cast(stop_lat AS double) AS stop_lat, try_cast(stop_lon AS double) AS stop_lon FROM {stops}"""),
+    Query(
+        "s6_read_gtfs_trips", lambda t: gtfs(t, "trips"),
+        """SELECT cast(trip_id AS varchar) AS trip_id, cast(route_id AS varchar) AS route_id, cast(service_id AS varchar) AS service_id FROM {gtfs_trips}"""),
+    Query(
+        "s6_read_gtfs_routes", lambda t: gtfs(t, "routes"),
+        """SELECT cast(route_id AS varchar) AS route_id, route_long_name, route_short_name, cast(route_type AS varchar) AS route_type FROM {routes}"""),
     Query("s7_parse_fixed_width_stations", station_list, STATION_LIST_SQL),
     Query("s8_read_station_observations", lambda t: observations(t, "wind"), observations_sql("wind")),
     *(Query(f"s8_read_station_observations_{k}", lambda t, k=k: observations(t, k), observations_sql(k)) for k in ("solar", "precipitation", "air_temperature")),
@@ -593,5 +604,8 @@ QUERIES = [
         """SELECT c_custkey, c_name, c_mktsegment, 'trips' AS "table" FROM {customer} UNION ALL SELECT c_custkey, c_name, c_mktsegment, 'trips' FROM {customer}
            UNION ALL SELECT c_custkey, c_name, c_mktsegment, 'holidays' FROM {customer}""",
     ),
-    Query("k7_refresh_dimensions", dimensions, 'SELECT lat, lng, lng AS "first", lat AS "second" FROM {spots}'),
+    Query(
+        "k7_refresh_dimensions_names", lambda t: dimensions(t, "station_names"),
+        "SELECT cast(row_number() OVER (ORDER BY c_name) AS integer) AS station_name_id, c_name AS station_name FROM (SELECT DISTINCT c_name FROM {customer}) n"),
+    Query("k7_refresh_dimensions", lambda t: dimensions(t, "geo_information"), 'SELECT lat, lng, lng AS "first", lat AS "second" FROM {spots}'),
 ]
