@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 ARCHIVE_ROWS = "archive string, member string, json string"
+# Documents are handed on together, up to so many characters or rows at a time.
+HANDED_ON, HANDED_ON_ROWS = 4_000_000, 10_000
 
 
 def _documents(content: bytes) -> Iterator[tuple[str, str]]:
@@ -29,14 +31,21 @@ def unpack_archives(files: DataFrame, first_only: bool = False) -> DataFrame:
     """(path, content) of .tar.gz files to one row per document; unreadable documents and error answers are left out.
 
     Archives are small daily files; they are unpacked side by side, each one whole. ``first_only`` takes
-    the first document of an archive.
+    the first document of an archive. Documents leave in bounded groups: a batch for each costs more than its unpacking.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found, size = [], 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                for found in itertools.islice(_documents(content), 1 if first_only else None):
-                    yield pd.DataFrame([(path, *found)], columns=["archive", "member", "json"])
+                for document in itertools.islice(_documents(content), 1 if first_only else None):
+                    found.append((path, *document))
+                    size += len(document[1])
+                    if size >= HANDED_ON or len(found) >= HANDED_ON_ROWS:
+                        yield pd.DataFrame(found, columns=["archive", "member", "json"])
+                        found, size = [], 0
+        if found:
+            yield pd.DataFrame(found, columns=["archive", "member", "json"])
 
     texts = files.select("path", "content").mapInPandas(unpack, ARCHIVE_ROWS)
     return texts.where(F.get_json_object("json", "$").isNotNull() & ~F.contains("json", F.lit('"httpCode"')))

@@ -24,6 +24,8 @@ from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
 from fleetspark.sinks import tables, versions
 from fleetspark.sources import feeds, files, snapshots, transit as transit_files, weather as weather_files
+from registry import storage
+from registry.base import Source
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -461,6 +463,13 @@ def test_all_documents_of_an_archive(spark, tmp_path):
     assert [r.member for r in feeds.unpack_archives(files, first_only=True).collect()] == ["a.json"]
 
 
+def test_archives_of_a_single_file_of_events_are_unpacked_in_several_tasks(spark, tmp_path):
+    spark.range(0, 2000, 1, 1).selectExpr("id AS event_id", "id AS user_id", "id / 7 AS value").write.parquet(str(tmp_path / "events.parquet"))
+    found = storage.archives(Source(spark, str(tmp_path)))
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 1400
+
+
 def test_appends_keep_repeated_and_null_keys(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("b", 2), (None, 1), ("b", 1), (None, 1)], "name string, x int")
