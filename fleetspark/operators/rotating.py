@@ -7,7 +7,7 @@ import math
 
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetspark.functions.clock import whole_seconds
 from fleetspark.functions.geo import EARTH_RADIUS_KM, geodesic_m, haversine_km, milli
@@ -28,6 +28,9 @@ SURE_SECONDS, SURE_BATTERY_DROP, SURE_METRES = 6, 1, 1000
 # Places are told apart a hundredth beyond the limit: distances on the ellipsoid differ from the sphere by half of that.
 SLACK = 1.01
 
+# A miss in millimetres and the place of a return among those of a network's half hour (or the next) share one bigint.
+MISSES, PLACES = 2**35, 2**27
+
 
 def _cells(lat: Column, lng: Column, max_metres: int, around: bool) -> Column:
     """The cell of a place as an array of one, or with ``around`` all cells (up to four) a place within the limit can lie in.
@@ -57,19 +60,10 @@ def _cells(lat: Column, lng: Column, max_metres: int, around: bool) -> Column:
     return F.array_distinct(F.flatten(F.transform(known, lambda c: F.array(*(cell(c, s) for s in shifts)))))
 
 
-def rotating_pairs(
-    sightings: DataFrame, roles: str = "literal", max_metres: int | None = MAX_METRES, order_by: str = "last_updated",
-) -> DataFrame:
-    """Pairs (lend, return) of first and last sightings that could be one rental.
+def rental_ends(sightings: DataFrame, roles: str = "literal", order_by: str = "last_updated", numbered: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(lends, returns): an id's first and its last sighting, one row per id; ``roles="swapped"`` the other way round.
 
-    In one network, 0 < gap <= 1800 s and a battery drop of 0..10. ``roles="literal"`` takes an id's
-    first sighting as lend and another id's last as return; ``"swapped"`` the other way round.
-
-    A range join as equi join: returns are filed under one (network, cell, half hour, battery step) key;
-    each lend looks into the cells, half hours and battery steps its window touches, so every pair
-    meets exactly once. Cells of place keep all pairs within ``max_metres`` and bound the others: places
-    further apart may remain, without a place there is no pair. ``max_metres=None`` pairs by network, time and battery alone,
-    which grows with the square of a network's traffic.
+    ``numbered`` stores the returns with their half hour and their place in it (_slot, _nth), per network by time and id.
     """
     payload = ["battery", "range_m", "lat", "lon", "network_name"]
     if order_by != "last_updated":
@@ -86,8 +80,60 @@ def rotating_pairs(
             e.range_m.alias(f"range_{name}"), e.lat.alias(f"lat_{name}"), e.lon.alias(f"lng_{name}"),
         ).where(F.col(f"timestamp_{name}").isNotNull() & F.col(f"battery_{name}").isNotNull())
 
+    lends, returns = side(lend_end, "lend"), side(return_end, "return")
+    if numbered:
+        slot = F.floor(F.col("timestamp_return") / MAX_SECONDS)
+        order = Window.partitionBy("network_name", "_slot").orderBy("timestamp_return", "vehicle_id_return")
+        returns = stored(returns.withColumn("_slot", slot).withColumn("_nth", F.row_number().over(order)), "returns")
+    return lends, returns
+
+
+def _compared(pairs: DataFrame) -> DataFrame:
+    """Pairs of ends with what differs between them."""
+    return pairs.withColumns({
+        "trip_date": F.to_date(F.timestamp_seconds("timestamp_lend")),
+        "time_diff": F.col("timestamp_return") - F.col("timestamp_lend"),
+        "battery_diff": F.col("battery_lend") - F.col("battery_return"),
+        "range_diff": F.col("range_lend") - F.col("range_return"),
+    })
+
+
+def sure_matches(lends: DataFrame, returns: DataFrame, metres: str = "sphere") -> DataFrame:
+    """(vehicle_id_lend, timestamp_lend, _sure): the first sure match, by return time and id, of the lends that have one.
+
+    They meet by network, range and some seconds: only equal ranges are sure.
+    """
+    now = F.floor(F.col("timestamp_lend") / SURE_SECONDS)
+    lends = lends.withColumn("_moment", F.explode(F.array(now, now + 1))).withColumn("_range", F.col("range_lend"))
+    returns = returns.withColumn("_moment", F.floor(F.col("timestamp_return") / SURE_SECONDS)).withColumn("_range", F.col("range_return"))
+    met = _compared(lends.join(returns, ["network_name", "_moment", "_range"])).where(
+        F.col("time_diff").between(1, SURE_SECONDS) & F.col("battery_diff").between(0, SURE_BATTERY_DROP))
+    return _first_sure(_measured(met, metres))
+
+
+def rotating_pairs(
+    sightings: DataFrame, roles: str = "literal", max_metres: int | None = MAX_METRES, order_by: str = "last_updated",
+    sure: str | None = None, ends: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """Pairs (lend, return) of first and last sightings that could be one rental.
+
+    In one network, 0 < gap <= 1800 s and a battery drop of 0..10. ``roles="literal"`` takes an id's
+    first sighting as lend and another id's last as return; ``"swapped"`` the other way round.
+
+    A range join as equi join: returns are filed under one (network, cell, half hour, battery step) key;
+    each lend looks into the cells, half hours and battery steps its window touches, so every pair
+    meets exactly once. Cells of place keep all pairs within ``max_metres`` and bound the others: places
+    further apart may remain, without a place there is no pair. ``max_metres=None`` pairs by network, time and battery alone,
+    which grows with the square of a network's traffic.
+
+    ``sure`` (how to measure, see ``trip_candidates``) gives each pair the sure match of its lend (_sure); ``ends`` are
+    ``rental_ends`` at hand, numbered ones give each pair the place of its return (_place).
+    """
+    lend, back = lends, returns = ends or rental_ends(sightings, roles, order_by)
+    numbered = "_nth" in returns.columns
+    if sure:
+        lend = lend.join(sure_matches(lends, returns.drop("_slot", "_nth"), sure), ["vehicle_id_lend", "timestamp_lend"], "left").select(*lend.columns, "_sure")
     step = MAX_BATTERY_DROP + 1
-    lend, back = side(lend_end, "lend"), side(return_end, "return")
     now = F.floor(F.col("timestamp_lend") / MAX_SECONDS)
     level = F.floor(F.col("battery_lend") / step)
     back = back.withColumn("_slot", F.floor(F.col("timestamp_return") / MAX_SECONDS)).withColumn(
@@ -105,44 +151,52 @@ def rotating_pairs(
     )
     gap = F.col("timestamp_return") - F.col("timestamp_lend")
     drop = F.col("battery_lend") - F.col("battery_return")
-    return (
-        lend.join(back, keys).where((gap > 0) & (gap <= MAX_SECONDS) & drop.between(0, MAX_BATTERY_DROP))
-        .withColumns({
-            "trip_date": F.to_date(F.timestamp_seconds("timestamp_lend")), "time_diff": gap,
-            "battery_diff": drop, "range_diff": F.col("range_lend") - F.col("range_return"),
-        })
-        .drop("_slot", "_level", "_row", "_column")
-    )
-
+    met = _compared(lend.join(back, keys).where((gap > 0) & (gap <= MAX_SECONDS) & drop.between(0, MAX_BATTERY_DROP)))
+    if numbered:
+        met = met.withColumn("_place", (F.col("_slot") - now) * PLACES + F.col("_nth")).drop("_nth")
+    return met.drop("_slot", "_level", "_row", "_column")
 
-def trip_candidates(pairs: DataFrame, metres: str = "sphere") -> DataFrame:
-    """Pairs that a bicycle can have ridden: at most 3000 m and 20 km/h.
 
-    Where a rental has a sure match (at most 6 s, same range, battery drop at most 1, under 1000 m),
-    only the first sure match by return time and id is kept. ``metres="ellipsoid"`` measures on the
-    WGS-84 ellipsoid instead of the sphere.
-    """
+def _measured(pairs: DataFrame, metres: str) -> DataFrame:
     ends = [F.col(c) for c in ("lat_lend", "lng_lend", "lat_return", "lng_return")]
     length = geodesic_m(*ends) if metres == "ellipsoid" else haversine_km(*ends) * 1000
     # The planner may test the speed before the gap, so a zero gap must not raise.
     hours = F.nullif(F.col("time_diff"), F.lit(0)) / 3600
-    measured = pairs.withColumn("distance", F.floor(length).cast("int")).where(F.col("distance") <= MAX_METRES).withColumns({
+    return pairs.withColumn("distance", F.floor(length).cast("int")).where(F.col("distance") <= MAX_METRES).withColumns({
         "speed": F.round(F.col("distance") / 1000 / hours, 2),
         "speed_range_based": F.round(F.col("range_diff") / 1000 / hours, 2),
     }).where(F.col("speed") <= MAX_KMH)
-    # Written once: read for the sure matches and for the rest, the pairs meet a single time.
-    measured = stored(measured, "candidates")
+
+
+def _rank() -> Column:
+    return F.struct("timestamp_return", "vehicle_id_return")
+
+
+def _first_sure(measured: DataFrame) -> DataFrame:
     sure = (
         (F.col("time_diff") <= SURE_SECONDS) & (F.col("range_diff") == 0)
         & (F.col("battery_diff") <= SURE_BATTERY_DROP) & (F.col("distance") < SURE_METRES)
     )
-    rank = F.struct("timestamp_return", "vehicle_id_return")
     # The sure matches are few; aggregating them apart keeps the candidates out of any window.
-    chosen = measured.where(sure).groupBy("vehicle_id_lend", "timestamp_lend").agg(F.min(rank).alias("_sure"))
-    return (
-        measured.join(chosen, ["vehicle_id_lend", "timestamp_lend"], "left")
-        .where(F.col("_sure").isNull() | (F.col("_sure") == rank)).drop("_sure")
-    )
+    return measured.where(sure).groupBy("vehicle_id_lend", "timestamp_lend").agg(F.min(_rank()).alias("_sure"))
+
+
+def trip_candidates(pairs: DataFrame, metres: str = "sphere") -> DataFrame:
+    """Pairs that a bicycle can have ridden: at most 3000 m and 20 km/h.
+
+    Where a rental has a sure match (at most 6 s, same range, battery drop at most 1, under 1000 m),
+    only the first sure match by return time and id is kept. ``metres="ellipsoid"`` measures on the
+    WGS-84 ellipsoid instead of the sphere. Pairs with the sure match of their lend (_sure), measured in the same way, are judged
+    one by one; others are written, to look for sure matches among them.
+    """
+    measured = _measured(pairs, metres)
+    if "_sure" not in pairs.columns:
+        # Written once: read for the sure matches and for the rest, the pairs meet a single time.
+        measured = stored(measured, "candidates")
+        measured = measured.join(_first_sure(measured), ["vehicle_id_lend", "timestamp_lend"], "left")
+    keys = ["vehicle_id_lend", "timestamp_lend"]
+    return measured.where(F.col("_sure").isNull() | (F.col("_sure") == _rank())).select(
+        *keys, *(c for c in measured.columns if c not in (*keys, "_sure")))
 
 
 OPTIONAL = ["battery_diff", "range_diff"]
@@ -260,22 +314,52 @@ class DestinationModel:
     def transform(self, candidates: DataFrame) -> DataFrame:
         """Candidates with the predicted place (_plat, _plng)."""
         named = candidates.withColumns({k: F.expr(v) for k, v in self.features.items()})
-        return named.withColumns({k: F.expr(v) for k, v in self.predictions.items()}).drop(*self.features)
 
+        def total(trees: list[tuple[float, Tree]]) -> Column:
+            # The sum of ``predictions``, over an array: written out, many trees make one method too long to be compiled to machine code.
+            values = F.array(*(F.expr(f"{_literal(weight)} * {_case(tree)}") for weight, tree in trees))
+            return F.aggregate(values, F.lit(0.0), lambda a, value: a + value)
 
-def nearest_to_prediction(predicted: DataFrame) -> DataFrame:
-    """Per rental the candidate whose return lies nearest to the predicted place (_plat, _plng)."""
-    miss = haversine_km(F.col("_plat"), F.col("_plng"), F.col("lat_return"), F.col("lng_return"))
-    columns = [c for c in predicted.columns if c not in ("_plat", "_plng")]
-    rank = F.struct(F.round(miss, 6).alias("miss"), "timestamp_return", "vehicle_id_return")
-    return (
-        predicted.groupBy("trip_date", "vehicle_id_lend").agg(F.min_by(F.struct(*columns), rank).alias("best"))
-        .select("best.*")
-    )
+        return named.withColumns({"_plat": total(self.lat), "_plng": total(self.lng)}).drop(*self.features)
+
+
+def nearest_to_prediction(predicted: DataFrame, ends: tuple[DataFrame, DataFrame] | None = None, metres: str = "sphere") -> DataFrame:
+    """Per rental the candidate whose return lies nearest to the predicted place (_plat, _plng).
+
+    Candidates of numbered ``ends`` are compared by a single number, miss and place of the return, which is aggregated
+    where they meet; the chosen ones are put together again from their ends. So no candidate is sorted or moved.
+    """
+    miss = F.round(haversine_km(F.col("_plat"), F.col("_plng"), F.col("lat_return"), F.col("lng_return")), 6)
+    columns = [c for c in predicted.columns if c not in ("_plat", "_plng", "_place")]
+    if ends is None:
+        rank = F.struct(miss.alias("miss"), "timestamp_return", "vehicle_id_return")
+        return (
+            predicted.groupBy("trip_date", "vehicle_id_lend").agg(F.min_by(F.struct(*columns), rank).alias("best"))
+            .select("best.*")
+        )
+    lends, returns = ends
+    # Millimetres, at most half the way round the earth, fill 35 bits; no number comes last, as in any order of doubles.
+    number = F.when(F.isnan(miss), MISSES - 1).otherwise(F.round(miss * 1e6).cast("bigint")) * (2 * PLACES) + F.col("_place") - 1
+    best = predicted.select("vehicle_id_lend", number.alias("_number")).groupBy("vehicle_id_lend").agg(
+        F.min("_number").alias("_number")).withColumnRenamed("vehicle_id_lend", "_id")
+    place = F.pmod("_number", F.lit(2 * PLACES))
+    chosen = lends.join(best, lends["vehicle_id_lend"].eqNullSafe(best["_id"])).withColumns({
+        "_slot": F.floor(F.col("timestamp_lend") / MAX_SECONDS) + F.floor(place / PLACES), "_nth": (F.pmod(place, F.lit(PLACES)) + 1).cast("int")})
+    return _measured(_compared(chosen.join(returns, ["network_name", "_slot", "_nth"])), metres).select(*columns)
+
+
+def predict_destination(
+    candidates: DataFrame, model: DestinationModel, ends: tuple[DataFrame, DataFrame] | None = None, metres: str = "sphere",
+) -> DataFrame:
+    """The likeliest candidate of each rental; with ``ends``, the numbered ones the candidates come from, none is sorted or moved."""
+    return nearest_to_prediction(model.transform(candidates), ends, metres)
 
 
-def predict_destination(candidates: DataFrame, model: DestinationModel) -> DataFrame:
-    return nearest_to_prediction(model.transform(candidates))
+def rental_destinations(sightings: DataFrame, model: DestinationModel, roles: str = "literal", metres: str = "sphere") -> DataFrame:
+    """Pairs, plausible candidates and the predicted destination of each rental."""
+    ends = rental_ends(sightings, roles, numbered=True)
+    candidates = trip_candidates(rotating_pairs(sightings, roles, sure=metres, ends=ends), metres)
+    return predict_destination(candidates, model, ends, metres)
 
 
 def as_trips(chosen: DataFrame, locations: DataFrame, networks: dict | None = None) -> DataFrame:

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fleetspark.operators.rotating import (
-    DestinationModel, as_trips, predict_destination, rotating_pairs, trip_candidates,
-)
+from fleetspark.operators.rotating import DestinationModel, as_trips, rental_destinations
 
 
 def rotating_trips(
@@ -14,5 +12,4 @@ def rotating_trips(
     roles: str = "literal", metres: str = "sphere",
 ) -> DataFrame:
     """Pairs, plausible candidates, the predicted destination, and the trip layout."""
-    pairs = rotating_pairs(sightings, roles)
-    return as_trips(predict_destination(trip_candidates(pairs, metres), model), locations, networks)
+    return as_trips(rental_destinations(sightings, model, roles, metres), locations, networks)

@@ -44,7 +44,7 @@ SELECT * EXCLUDE (sure, any_sure, nth) FROM n WHERE NOT any_sure OR (sure AND nt
 
 
 def candidates(t: Source):
-    return rotating.trip_candidates(rotating.rotating_pairs(t("sightings")))
+    return rotating.trip_candidates(rotating.rotating_pairs(t("sightings"), sure="sphere"))
 
 
 def model(t: Source):
@@ -223,9 +223,9 @@ QUERIES = [
     Query("j9_rotating_pairs", lambda t: rotating.rotating_pairs(t("sightings"), max_metres=None), pairs_sql(FIRST, LAST)),
     Query("j9_rotating_pairs_swapped", lambda t: rotating.rotating_pairs(t("sightings"), roles="swapped", max_metres=None), pairs_sql(LAST, FIRST)),
     Query("f1_trip_candidates", candidates, CANDIDATES_SQL),
-    Query("f2_predict_destination", lambda t: rotating.predict_destination(candidates(t), model(t))),
+    Query("f2_predict_destination", lambda t: rotating.rental_destinations(t("sightings"), model(t))),
     Query("f3_rotating_trips", lambda t: rotating_trips(t("sightings"), locations(t), model(t), NETWORKS)),
-    Query("f2_predict_destination_stated", lambda t: rotating.predict_destination(candidates(t), stated_model()), destination_sql(stated_model())),
+    Query("f2_predict_destination_stated", lambda t: rotating.rental_destinations(t("sightings"), stated_model()), destination_sql(stated_model())),
     Query("f3_rotating_trips_stated", lambda t: rotating_trips(t("sightings"), locations(t), stated_model(), NETWORKS), rotating_trips_sql(stated_model())),
     Query("j14_gtfs_join", timetable, TIMETABLE_SQL),
     Query("e1_expand_calendar", lambda t: transit.expand_calendar(timetable(t)), EXPANDED_SQL),

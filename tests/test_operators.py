@@ -304,6 +304,54 @@ def test_candidates_read_the_ends_once(spark):
     assert "FileScan" in plan and "ExistingRDD" not in plan
 
 
+def crowd(spark):
+    """Sightings at few places, instants and ranges, so that sure matches and equal misses are many."""
+    rng = random.Random(4)
+    data = [(f"r{i // 2}", T0 + dt.timedelta(seconds=rng.choice([0, 2, 5, 400, 1799, 1801, 1803, 2500])), rng.choice(["n", "m", None]),
+             rng.choice([49.4, 49.4001, 49.41, None]), 8.4, rng.choice([None, 10, 11, 12, 21, 22]), rng.choice([None, 5, 6])) for i in range(600)]
+    return spark.createDataFrame([*data, (None, T0, "n", 49.4, 8.4, 12, 5), (None, hours(1), "n", 49.4, 8.4, 12, 5)], SIGHTING)
+
+
+@pytest.mark.parametrize("roles", ["literal", "swapped"])
+def test_candidates_are_judged_as_they_meet(spark, roles):
+    df = crowd(spark)
+    written = rotating.trip_candidates(rotating.rotating_pairs(df, roles))
+    streamed = rotating.trip_candidates(rotating.rotating_pairs(df, roles, sure="sphere"))
+    assert streamed.columns == written.columns and rows(streamed) == rows(written) and written.count() > 100
+    assert streamed.where("time_diff <= 6 AND range_diff = 0").count() > 0
+    plan = streamed._jdf.queryExecution().executedPlan().toString()
+    assert "/ends-" in plan and "/candidates-" not in plan
+
+
+MODEL = rotating.DestinationModel([0.0] * 8, [1.0] * 8, [(1.0, [2, 1000.0, 49.4, 49.41]), (0.1, 0.0)], [(1.0, [3, 0.5, 8.4, 8.41])])
+
+
+@pytest.mark.parametrize("roles, metres", [("literal", "sphere"), ("swapped", "ellipsoid")])
+def test_destinations_are_chosen_as_candidates_meet(spark, roles, metres):
+    """The same rows as from written candidates; nothing sorts them, and equal misses go by time and id."""
+    df = crowd(spark)
+    written = rotating.predict_destination(rotating.trip_candidates(rotating.rotating_pairs(df, roles), metres), MODEL)
+    chosen = rotating.rental_destinations(df, MODEL, roles, metres)
+    assert chosen.columns == written.columns and rows(chosen) == rows(written) and written.count() > 50
+    assert "SortAggregate" in written._jdf.queryExecution().executedPlan().toString()
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "min(_number" in plan and not any("SortAggregate" in line and "_number" in line for line in plan.splitlines())
+
+
+def test_many_trees_are_one_sum(spark):
+    """Trees written out in one expression are too long a method to be compiled; their sum is that of the text."""
+    rng = random.Random(2)
+    grow = lambda depth: rng.uniform(0, 9) if not depth else [rng.randrange(10), rng.uniform(-2, 2), grow(depth - 1), grow(depth - 1)]
+    trees = [[(rng.uniform(0, 1), grow(4)) for _ in range(10)] for _ in range(2)]
+    model = rotating.DestinationModel([0.5] * 8, [1.5] * 8, *trees)
+    pairs = spark.range(300).selectExpr(*(f"rand({i}) * 4 - 2 AS {c}" for i, c in enumerate(["lat_lend", "lng_lend", *rotating.FEATURES])))
+    pairs = session.stored(pairs, "judged")
+    text = pairs.withColumns({k: F.expr(v) for k, v in model.features.items()}).withColumns({k: F.expr(v) for k, v in model.predictions.items()})
+    made = model.transform(pairs)
+    assert rows(made) == rows(text.select(made.columns)) and made.distinct().count() == 300
+    assert "aggregate(array(" in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_few_timetable_rows_expand_in_many_tasks(spark):
     joined = spark.range(400).coalesce(1).select(
         F.lit("Line").alias("route_long_name"), F.lit("L").alias("route_short_name"), F.lit(1).alias("route_type"), F.col("id").alias("stop_id"),
