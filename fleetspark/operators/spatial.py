@@ -84,8 +84,11 @@ def containing(points: DataFrame, layer: DataFrame, lat: str = "lat", lng: str =
     and after the shuffle, so the edges of a large polygon and the points of a crowded one may lie in any number of tasks.
     """
     polygons = stored_polygons(layer, list(keys))
-    spots = points.select(F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).dropna().distinct()
-    near = _point_cells(spots, "_lat", "_lng").join(polygon_cells(polygons), ["level", "cx", "cy"]).where(
+    # Both sides are dealt out to a set number of tasks: by their bytes, a few places or the polygons of one file are left to
+    # one task, which would meet every pair of them and count its crossings.
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = points.select(F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).dropna().distinct().repartition(parts, "_lng", "_lat")
+    near = _point_cells(spots, "_lat", "_lng").join(polygon_cells(polygons).repartition(parts, "_poly"), ["level", "cx", "cy"]).where(
         "_lat BETWEEN y0 AND y9 AND _lng BETWEEN x0 AND x9")
     met = near.select("_lat", "_lng", "_poly", slab(F.col("_lat")).alias("_slab")).join(filed_edges(polygons), ["_poly", "_slab"])
     crossed = met.where(f"(y1 > _lat) <> (y2 > _lat) AND _lng < {CROSSING_X.format(y='_lat')}")

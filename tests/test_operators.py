@@ -361,6 +361,31 @@ def test_few_timetable_rows_expand_in_many_tasks(spark):
     assert len(sizes) == 4 and sum(r["count"] for r in sizes) == 400 * 365 and max(r["count"] for r in sizes) < 400 * 365 / 2
 
 
+def test_ordered_timetables_are_sorted_by_instant_and_name(spark):
+    """Names alike in their first bytes, without one and beyond ASCII; instants before 1970; the same rows as without an order."""
+    names = ["L1", "L10", "L100", "L1000", "L1001", "", None, "Ä", "Äb", "L", "zzzz", "zzz"]
+    name = F.element_at(F.array(*(F.lit(n) for n in names)), (F.col("id") % len(names) + 1).cast("int"))
+    joined = spark.range(360).select(
+        F.lit("Line").alias("route_long_name"), name.alias("route_short_name"), F.lit(1).alias("route_type"), F.col("id").alias("stop_id"),
+        F.format_string("%02d:00:00", F.col("id") % 27).alias("arrival_time"), F.lit("07:01:00").alias("departure_time"), *(F.lit(1).alias(d) for d in transit.WEEKDAYS),
+        F.lit("1969-12-29").alias("start_date"), F.lit("1970-01-04").alias("end_date"))
+    made = transit.expand_calendar(joined, "Europe/Berlin", ordered=True)
+    plain = transit.expand_calendar(joined, "Europe/Berlin")
+    assert made.columns == plain.columns and rows(made) == rows(plain) and made.count() == 360 * 7
+    for part in made.select("arrival_time", "route_short_name", F.spark_partition_id().alias("p")).rdd.glom().collect():
+        keys = [(r.arrival_time, r.route_short_name.encode()) for r in part]
+        assert keys == sorted(keys)
+
+
+def test_few_places_meet_many_polygons_in_several_tasks(spark):
+    points = spark.createDataFrame([(0.1 * i, 0.1) for i in range(1, 10)], "lat double, lng double").coalesce(1)
+    layer = spark.range(0, 300, 1, 1).selectExpr("int(id) AS layer_order", "concat('p', id) AS name", (
+        "array(array(named_struct('x', 0D, 'y', 0D), named_struct('x', 1D, 'y', 0D), named_struct('x', 1D, 'y', 1D), named_struct('x', 0D, 'y', 1D))) AS rings"))
+    found = spatial.containing(points, layer)
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 9 * 300
+
+
 def test_first_and_last_ignore_unknown_instants(spark):
     df = spark.createDataFrame([("a", None, 1), ("a", hours(1), 2), ("a", hours(0), 3)], "vehicle_id string, last_updated timestamp, x int")
     r = first_last_sighting(df).first()
