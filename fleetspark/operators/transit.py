@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetspark.functions.clock import day_seconds
 from fleetspark.operators.clean import valid_stop_times
+from fleetspark.operators.keys import asc
 
 WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 
@@ -27,12 +28,18 @@ def gtfs_join(
     )
 
 
-def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
+# Seconds and the first three bytes of a name share one bigint, as long as the year has no more than four digits.
+NAME_BITS, LAST_SECOND = 24, 2**38
+
+
+def expand_calendar(joined: DataFrame, tz: str = "UTC", ordered: bool = False) -> DataFrame:
     """One row per stop time and active day, with arrival and departure stamps.
 
     Hours from 24 on fall on the following days; rows with unreadable times are left out. Rows are
     dealt out by their values before they multiply, as a long file of one row group would expand in one task. Their number
     of partitions is set, because by bytes the narrow rows would be put together again. Local times of ``tz`` become UTC stamps.
+    ``ordered`` sorts each partition by arrival_time and route_short_name, nearly always by comparing one number: many rows
+    share an instant, and texts are compared only where the start of the name is the same as well.
     """
     # The active days as bits, tested after the explode: both stay in generated code.
     bits = sum((F.when(F.col(d).cast("int") != 0, 1 << i).otherwise(0) for i, d in enumerate(WEEKDAYS)), F.lit(0))
@@ -42,6 +49,9 @@ def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
     # Parsed and expanded after the shuffle; the conditions stay in the generator, a filter would parse once more.
     days = F.when(
         F.col("_a").isNotNull() & F.col("_d").isNotNull() & (first <= last) & (F.col("_bits") != 0), F.sequence(first, last))
+    if ordered:
+        start = F.rpad(F.hex(F.coalesce("route_short_name", F.lit(""))), NAME_BITS // 4, "0")
+        joined = joined.withColumn("_name", F.conv(start, 16, 10).cast("bigint"))
     timed = (
         joined.repartition(parts, "stop_id", "arrival_time", "departure_time", "route_short_name")
         .withColumn("_a", day_seconds(F.col("arrival_time"))).withColumn("_d", day_seconds(F.col("departure_time")))
@@ -54,11 +64,17 @@ def expand_calendar(joined: DataFrame, tz: str = "UTC") -> DataFrame:
         local = F.timestamp_seconds(F.col("_day").cast("bigint") * 86400 + F.col(seconds))
         return local if tz == "UTC" else F.to_utc_timestamp(local, tz)
 
-    return timed.select(
+    expanded = timed.select(
+        *([F.col("_name")] if ordered else []),
         F.coalesce("route_long_name", F.lit("")).alias("route_long_name"),
         F.coalesce("route_short_name", F.lit("")).alias("route_short_name"),
         F.coalesce(F.col("route_type").cast("int"), F.lit(0)).alias("route_type"), *keep,
         stamp("_a").alias("arrival_time"), stamp("_d").alias("departure_time"))
+    if not ordered:
+        return expanded
+    second = F.unix_seconds("arrival_time")
+    order = F.when(second < -LAST_SECOND, -2**63).when(second >= LAST_SECOND, 2**63 - 1).otherwise(second * 2**NAME_BITS + F.col("_name"))
+    return expanded.withColumn("_name", order).sortWithinPartitions(*asc("_name", "arrival_time", "route_short_name")).drop("_name")
 
 
 def pivot_directions(

@@ -272,7 +272,7 @@ QUERIES = [
         """SELECT o_orderkey, cast(unnest(generate_series(date_trunc('month', o_orderdate), date_trunc('month', cast(o_orderdate AS date) + interval 75 day), interval 1 month)) AS date) AS month FROM {orders}""",
     ),
     Query(
-        "o1_sort_output", lambda t: transit.expand_calendar(timetable(t)).sortWithinPartitions(*asc("arrival_time", "route_short_name")), EXPANDED_SQL),
+        "o1_sort_output", lambda t: transit.expand_calendar(timetable(t), ordered=True), EXPANDED_SQL),
     Query(
         "o2_limit",
         lambda t: with_location_id(t("snap"), locations(t)).orderBy(*asc("last_updated", "vehicle_id")).limit(5).select("vehicle_id", "last_updated", "location_id"),
