@@ -84,7 +84,9 @@ def rental_ends(sightings: DataFrame, roles: str = "literal", order_by: str = "l
     if numbered:
         slot = F.floor(F.col("timestamp_return") / MAX_SECONDS)
         order = Window.partitionBy("network_name", "_slot").orderBy("timestamp_return", "vehicle_id_return")
-        returns = stored(returns.withColumn("_slot", slot).withColumn("_nth", F.row_number().over(order)), "returns")
+        nth = F.col("_nth")
+        counted = F.when(nth <= PLACES, nth).otherwise(F.raise_error(F.lit(f"more than {PLACES} returns of a network in half an hour")).cast("int"))
+        returns = stored(returns.withColumn("_slot", slot).withColumn("_nth", F.row_number().over(order)).withColumn("_nth", counted), "returns")
     return lends, returns
 
 
