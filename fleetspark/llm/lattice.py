@@ -9,6 +9,8 @@ smoothed by the first distribution with a total weight of one per piece. An unco
 Texts are packed: a packet holds some million characters as its distinct words and their counts per document. Only
 distinct words of packets are shuffled, counted over the corpus, scored once in sorted order (forward scores up to
 the common prefix are kept) and sent back to their packets. Nothing but sums per piece reaches the driver.
+A packet travels as several rows, of some thousand numbers a column, and its words come back one by one: as one row each,
+packets and their words would pass through buffers of many times their size, inside and outside the heap.
 
 The base score is an add-one unigram model of the training words. Defined results: a null text is empty, has the end as
 its only token; a null id is in training; repeated rows count each; without training texts probabilities are the prior.
@@ -29,15 +31,21 @@ from fleetspark.session import stored
 
 PACKET = 8 << 20  # bytes of text
 LOG10 = math.log(10.0)
-PACKETS = """packet long, ids array<long>, held array<boolean>, owner array<int>, word array<int>, times array<int>,
+PART = 1 << 12  # numbers or words of a column in one row
+PACKETS = """packet long, part int, ids array<long>, held array<boolean>, owner array<int>, word array<int>, times array<int>,
              words array<binary>, trained array<long>"""
+# Parquet looks at the size of its pages and row groups only after a hundred rows otherwise.
+SMALL_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(4 << 20)}
 
 
 def pack(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Packets of documents as distinct lower-case words and counts; ``held_out`` is a condition on a document."""
+    """Packets of documents as distinct lower-case words and counts; ``held_out`` is a condition on a document.
+
+    The parts of a packet, put one after the other, are its columns.
+    """
     from pyspark import TaskContext
 
-    def flush(number: int, ids, held, texts) -> pa.RecordBatch:
+    def flush(number: int, ids, held, texts) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         owner, word, times = [], [], []
         for i, data in enumerate(texts):
@@ -51,11 +59,14 @@ def pack(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text")
         owner, word, times = (np.concatenate([*x, none]) for x in (owner, word, times))
         seen = ~np.array(held, bool)
         trained = np.bincount(word, weights=times * seen[owner], minlength=len(known)).astype(np.int64)
-        one = lambda values, kind: pa.array([values], pa.list_(kind))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), one(ids, pa.int64()), one(held, pa.bool_()), one(owner, pa.int32()),
-             one(word, pa.int32()), one(times, pa.int32()), one(list(known), pa.binary()), one(trained, pa.int64())],
-            ["packet", "ids", "held", "owner", "word", "times", "words", "trained"])
+        columns = [(ids, pa.int64()), (held, pa.bool_()), (owner, pa.int32()), (word, pa.int32()), (times, pa.int32()),
+                   (list(known), pa.binary()), (trained, pa.int64())]
+        for part in range(-(-max(len(values) for values, _ in columns) // PART)):
+            cut = slice(part * PART, (part + 1) * PART)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([part], pa.int32()),
+                 *(pa.array([values[cut]], pa.list_(kind)) for values, kind in columns)],
+                ["packet", "part", "ids", "held", "owner", "word", "times", "words", "trained"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -68,10 +79,10 @@ def pack(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text")
                 texts.append(data)
                 size += len(data)
                 if size >= PACKET:
-                    yield flush(number, ids, held, texts)
+                    yield from flush(number, ids, held, texts)
                     number, ids, held, texts, size = number + 1, [], [], [], 0
         if ids:
-            yield flush(number, ids, held, texts)
+            yield from flush(number, ids, held, texts)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), held_out.alias("held"), F.col(text).alias("text")).mapInArrow(run, PACKETS)
 
@@ -163,10 +174,10 @@ def _log_lattice(p: dict[str, float], of_bytes: list[float]) -> Lattice:
 def score_documents(docs: DataFrame, held_out, vocabulary: Vocabulary, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row."""
     small_batches(docs.sparkSession)
-    packets = stored(pack(docs, held_out, id_col, text), "packets")
+    packets = stored(pack(docs, held_out, id_col, text), "packets", **SMALL_PAGES)
     ends = packets.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
-    listed = packets.select("packet", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w")).select(
-        "packet", "at", F.col("w.words").alias("word"), F.col("w.trained").alias("n"))
+    listed = packets.select("packet", "part", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w")).select(
+        "packet", (F.col("part") * PART + F.col("at")).alias("at"), F.col("w.words").alias("word"), F.col("w.trained").alias("n"))
     counted = stored(
         listed.groupBy("word").agg(F.sum("n").alias("c")).repartitionByRange("word").sortWithinPartitions("word"), "words")
     in_words, kinds = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
@@ -208,33 +219,30 @@ def score_documents(docs: DataFrame, held_out, vocabulary: Vocabulary, id_col: s
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["word", "c", "log_p"])
 
     scored = stored(counted.mapInArrow(judge, "word binary, c long, log_p double"), "scored-words")
-    back = listed.join(scored, "word").groupBy("packet").agg(F.collect_list(F.struct("at", "c", "log_p")).alias("found"))
-    rows = packets.select("packet", "ids", "held", "owner", "word", "times").join(back, "packet", "left")
+    back = listed.join(scored, "word").select(F.col("packet").alias("of"), "at", "c", "log_p")
+    rows = packets.select("packet", "part", "ids", "held", "owner", "word", "times")
     least = n + (v + 1)
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, held, owner, word, times, found in zip(*(batch.column(k) for k in range(1, 7))):
-                docs, owner = len(ids.values), owner.values.to_numpy()
-                word, times = word.values.to_numpy(), times.values.to_numpy()
-                c, log_p = np.zeros(0, np.int64), np.zeros(0)
-                if found.is_valid:
-                    at = found.values.field("at").to_numpy()
-                    c, log_p = np.zeros(len(at), np.int64), np.zeros(len(at))
-                    c[at] = found.values.field("c").to_numpy()
-                    log_p[at] = found.values.field("log_p").to_numpy()
-                base = np.log10((c + 1) / least)
-                add = lambda x: np.bincount(owner, weights=x, minlength=docs)
-                tokens = add(times).astype(np.int64) + 1
-                known = add(times * (c[word] > 0)).astype(np.int64) + (ends > 0)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.values, held.values, pa.array(tokens), pa.array(known), pa.array(np.full(docs, n, np.int64)),
-                     pa.array(add(times * base[word]) + math.log10((ends + 1) / least)),
-                     pa.array((add(times * log_p[word]) + end_score) / LOG10)],
-                    ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    def total(parts: pa.Table, found: pa.Table) -> pa.Table:
+        parts = parts.sort_by("part")
+        ids, held, owner, word, times = (
+            pa.concat_arrays([part.values for part in parts.column(k)]) for k in ("ids", "held", "owner", "word", "times"))
+        owner, word, times, docs = owner.to_numpy(), word.to_numpy(), times.to_numpy(), len(ids)
+        at = found.column("at").to_numpy()
+        c, log_p = np.zeros(len(at), np.int64), np.zeros(len(at))
+        c[at], log_p[at] = found.column("c").to_numpy(), found.column("log_p").to_numpy()
+        base = np.log10((c + 1) / least)
+        add = lambda x: np.bincount(owner, weights=x, minlength=docs)
+        tokens = add(times).astype(np.int64) + 1
+        known = add(times * (c[word] > 0)).astype(np.int64) + (ends > 0)
+        return pa.Table.from_arrays(
+            [ids, held, pa.array(tokens), pa.array(known), pa.array(np.full(docs, n, np.int64)),
+             pa.array(add(times * base[word]) + math.log10((ends + 1) / least)),
+             pa.array((add(times * log_p[word]) + end_score) / LOG10)],
+            ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     scores = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.mapInArrow(total, scores).withColumnRenamed("id", id_col)
+    return rows.groupBy("packet").cogroup(back.groupBy("of")).applyInArrow(total, scores).withColumnRenamed("id", id_col)
 
 
 def op10_lattice_scoring(spark, folder, path: str | None = None):

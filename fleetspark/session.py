@@ -76,9 +76,9 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             _remove(spark, path)
 
 
-def stored(df, name: str):
-    """Write ``df`` to the scratch folder and read it back: lineage ends at the table."""
+def stored(df, name: str, **options: str):
+    """Write ``df`` to the scratch folder, with the writer's ``options``, and read it back: lineage ends at the table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -423,3 +423,15 @@ def test_lattice_scores(docs, nothing, vocabulary, monkeypatch):
     assert plain(found, "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6)) == sorted(want, key=repr)
     assert found.where("NOT (score < 0)").isEmpty()
     assert lattice.score_documents(nothing, held, vocabulary).count() == 0
+
+
+def test_packets_travel_in_small_rows(docs, vocabulary, monkeypatch):
+    """No row holds more than a part of a packet, no aggregate gathers a packet's words, and the scores stay the same."""
+    held = F.col("doc_id") % 3 == 0
+    whole = sorted(lattice.score_documents(docs, held, vocabulary).collect(), key=str)
+    monkeypatch.setattr(lattice, "PART", 3, raising=False)
+    sizes = lattice.pack(docs, held).select(F.greatest(*(F.size(c) for c in ("ids", "held", "owner", "word", "times", "words", "trained"))).alias("n"))
+    assert [r.n for r in sizes.agg(F.max("n").alias("n")).collect()] == [3]
+    scored = lattice.score_documents(docs, held, vocabulary)
+    assert sorted(scored.collect(), key=str) == whole and len(whole) > 3
+    assert "collect_list" not in scored._jdf.queryExecution().executedPlan().toString()
