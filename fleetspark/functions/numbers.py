@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def half_even(value: Column, kind: str) -> Column:
@@ -19,6 +19,27 @@ def decimals(value: Column, places: int) -> Column:
     return F.round(value * scale) / scale
 
 
+def with_units(df: DataFrame, name: str, places: int, out: str) -> DataFrame:
+    """Adds ``round(name, places)`` of a double in whole units of the last place; null near a half, for large values and no number.
+
+    Spark's ``round`` prints a double and reads it again to decide its halves. Away from them a product decides the same.
+    The steps are columns: an expression that names its parts again and again grows too long to be compiled.
+    """
+    # Below 1e9 the product is off by less than 1e-6, and so is the printed number.
+    scaled, whole = F.col("_scaled"), F.col("_whole")
+    sure = (scaled < 1e9) & (F.abs(F.abs(scaled - whole) - 0.5) > 1e-6)
+    return (
+        df.withColumn("_scaled", F.abs(F.col(name)) * float(10**places)).withColumn("_whole", F.rint("_scaled"))
+        .withColumn(out, F.when(sure, F.when(F.col(name) < 0, 0.0 - whole).otherwise(whole))).drop("_scaled", "_whole")
+    )
+
+
+def with_rounded(df: DataFrame, name: str, value: Column, places: int) -> DataFrame:
+    """Adds ``round(value, places)`` of a double, printed only where ``with_units`` leaves it open."""
+    made = with_units(df.withColumn("_exact", value), "_exact", places, "_units")
+    return made.withColumn(name, F.coalesce(F.col("_units") / float(10**places), F.round("_exact", places))).drop("_exact", "_units")
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(F.trim(text), F.lit(""))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetspark.functions.clock import whole_seconds
 from fleetspark.functions.geo import EARTH_RADIUS_KM, geodesic_m, haversine_km, milli
-from fleetspark.functions.numbers import half_even
+from fleetspark.functions.numbers import half_even, with_rounded, with_units
 from fleetspark.operators.demand import first_last_sighting
 from fleetspark.operators.lookup import mapped
 from fleetspark.operators.trips import TRIP_COLUMNS
@@ -159,15 +159,30 @@ def rotating_pairs(
     return met.drop("_slot", "_level", "_row", "_column")
 
 
+def _reach(seconds: Column) -> Column:
+    """The least whole number of metres too far for a gap: beyond ``MAX_METRES``, or faster than ``MAX_KMH``, rounded to 0.01.
+
+    The speed is taken as a quotient of whole numbers: no distance up to the limit comes so near to the last speed that
+    rounds to it that fractions would decide otherwise.
+    """
+    ridden = F.ceil(seconds * (MAX_KMH * 1000 + 5) / 3600)
+    return F.when(seconds < 0, MAX_METRES + 1).otherwise(F.least(F.lit(MAX_METRES + 1), ridden))
+
+
 def _measured(pairs: DataFrame, metres: str) -> DataFrame:
+    """Pairs within distance and speed.
+
+    One condition on the length tests both. The length is exploded, an array of one: the planner would move a test of a mere
+    column before it and compute the column twice.
+    """
     ends = [F.col(c) for c in ("lat_lend", "lng_lend", "lat_return", "lng_return")]
-    length = geodesic_m(*ends) if metres == "ellipsoid" else haversine_km(*ends) * 1000
-    # The planner may test the speed before the gap, so a zero gap must not raise.
+    length = F.floor(geodesic_m(*ends) if metres == "ellipsoid" else haversine_km(*ends) * 1000)
+    # The planner may compute the speed before the gap is tested, so a zero gap must not raise.
     hours = F.nullif(F.col("time_diff"), F.lit(0)) / 3600
-    return pairs.withColumn("distance", F.floor(length).cast("int")).where(F.col("distance") <= MAX_METRES).withColumns({
-        "speed": F.round(F.col("distance") / 1000 / hours, 2),
-        "speed_range_based": F.round(F.col("range_diff") / 1000 / hours, 2),
-    }).where(F.col("speed") <= MAX_KMH)
+    measured = pairs.withColumn("distance", F.explode(F.array(length))).where(F.col("distance") < _reach(F.col("time_diff")))
+    measured = measured.withColumn("distance", F.col("distance").cast("int"))
+    measured = with_rounded(measured, "speed", F.col("distance") / 1000 / hours, 2)
+    return with_rounded(measured, "speed_range_based", F.col("range_diff") / 1000 / hours, 2)
 
 
 def _rank() -> Column:
@@ -229,6 +244,9 @@ def trip_features(known_trips: DataFrame, locations: DataFrame) -> DataFrame:
     )
 
 
+# Nodes of trees in one generated method: methods above 8,000 bytes of bytecode are not compiled to machine code.
+NODES = 64
+
 # A fitted tree as plain data: the value of a leaf, or (feature, threshold, tree at or below it, tree above it).
 Tree = float | list
 
@@ -246,6 +264,22 @@ def _case(tree: Tree) -> str:
     return f"CASE WHEN _x{feature} <= {_literal(threshold)} THEN {_case(low)} ELSE {_case(high)} END"
 
 
+def _nodes(tree: Tree) -> int:
+    return 1 + _nodes(tree[2]) + _nodes(tree[3]) if isinstance(tree, (list, tuple)) else 0
+
+
+def _few(trees: list[tuple[float, Tree]]) -> list[list[tuple[float, Tree]]]:
+    """Trees in their order, in lists of about ``NODES`` nodes at most, one tree at least."""
+    lists, held = [[]], 0
+    for weight, tree in trees:
+        held += _nodes(tree)
+        if lists[-1] and held > NODES:
+            lists.append([])
+            held = _nodes(tree)
+        lists[-1].append((weight, tree))
+    return lists
+
+
 def _tree(node) -> Tree:
     """The nodes of a fitted tree, read from the model."""
     if node.getClass().getSimpleName() != "InternalNode":
@@ -324,25 +358,48 @@ class DestinationModel:
 
         return named.withColumns({"_plat": total(self.lat), "_plng": total(self.lng)}).drop(*self.features)
 
+    def missed(self, candidates: DataFrame) -> DataFrame:
+        """Candidates with the kilometres from the predicted place to the return (_miss), without the place itself.
+
+        The sums of ``predictions``, a few trees a step: an expression that stands twice becomes a method of its own, and one
+        of a few trees is short enough to be compiled to machine code. Trees in arrays are read node by node for every row.
+        """
+        made = candidates.withColumns({k: F.expr(v) for k, v in self.features.items()})
+        for name, trees in (("_plat", self.lat), ("_plng", self.lng)):
+            total = None
+            for few in _few(trees):
+                for weight, tree in few:
+                    value = F.expr(f"{_literal(weight)} * {_case(tree)}")
+                    total = value if total is None else total + value
+                made, total = made.withColumn(name, F.greatest(total, total)), F.col(name)
+        miss = haversine_km(F.col("_plat"), F.col("_plng"), F.col("lat_return"), F.col("lng_return"))
+        return made.withColumn("_miss", miss).drop("_plat", "_plng", *self.features)
+
+
+def nearest_to_prediction(predicted: DataFrame) -> DataFrame:
+    """Per rental the candidate whose return lies nearest to the predicted place (_plat, _plng)."""
+    miss = F.round(haversine_km(F.col("_plat"), F.col("_plng"), F.col("lat_return"), F.col("lng_return")), 6)
+    columns = [c for c in predicted.columns if c not in ("_plat", "_plng", "_place")]
+    rank = F.struct(miss.alias("miss"), "timestamp_return", "vehicle_id_return")
+    return (
+        predicted.groupBy("trip_date", "vehicle_id_lend").agg(F.min_by(F.struct(*columns), rank).alias("best"))
+        .select("best.*")
+    )
+
 
-def nearest_to_prediction(predicted: DataFrame, ends: tuple[DataFrame, DataFrame] | None = None, metres: str = "sphere") -> DataFrame:
-    """Per rental the candidate whose return lies nearest to the predicted place (_plat, _plng).
+def least_miss(missed: DataFrame, ends: tuple[DataFrame, DataFrame], metres: str) -> DataFrame:
+    """Per rental the candidate of numbered ``ends`` whose return lies nearest to the predicted place, by its miss (_miss).
 
-    Candidates of numbered ``ends`` are compared by a single number, miss and place of the return, which is aggregated
-    where they meet; the chosen ones are put together again from their ends. So no candidate is sorted or moved.
+    Candidates are compared by a single number, miss and place of the return, which is aggregated where they meet; the
+    chosen ones are put together again from their ends. So no candidate is sorted or moved.
     """
-    miss = F.round(haversine_km(F.col("_plat"), F.col("_plng"), F.col("lat_return"), F.col("lng_return")), 6)
-    columns = [c for c in predicted.columns if c not in ("_plat", "_plng", "_place")]
-    if ends is None:
-        rank = F.struct(miss.alias("miss"), "timestamp_return", "vehicle_id_return")
-        return (
-            predicted.groupBy("trip_date", "vehicle_id_lend").agg(F.min_by(F.struct(*columns), rank).alias("best"))
-            .select("best.*")
-        )
+    columns = [c for c in missed.columns if c not in ("_miss", "_place")]
     lends, returns = ends
+    miss = F.col("_miss")
     # Millimetres, at most half the way round the earth, fill 35 bits; no number comes last, as in any order of doubles.
-    number = F.when(F.isnan(miss), MISSES - 1).otherwise(F.round(miss * 1e6).cast("bigint")) * (2 * PLACES) + F.col("_place") - 1
-    best = predicted.select("vehicle_id_lend", number.alias("_number")).groupBy("vehicle_id_lend").agg(
+    exact = F.when(F.isnan(miss), MISSES - 1).otherwise(F.round(F.round(miss, 6) * 1e6).cast("bigint"))
+    number = F.coalesce(F.col("_millimetres").cast("bigint"), exact) * (2 * PLACES) + F.col("_place") - 1
+    best = with_units(missed, "_miss", 6, "_millimetres").select("vehicle_id_lend", number.alias("_number")).groupBy("vehicle_id_lend").agg(
         F.min("_number").alias("_number")).withColumnRenamed("vehicle_id_lend", "_id")
     place = F.pmod("_number", F.lit(2 * PLACES))
     chosen = lends.join(best, lends["vehicle_id_lend"].eqNullSafe(best["_id"])).withColumns({
@@ -354,7 +411,9 @@ def predict_destination(
     candidates: DataFrame, model: DestinationModel, ends: tuple[DataFrame, DataFrame] | None = None, metres: str = "sphere",
 ) -> DataFrame:
     """The likeliest candidate of each rental; with ``ends``, the numbered ones the candidates come from, none is sorted or moved."""
-    return nearest_to_prediction(model.transform(candidates), ends, metres)
+    if ends is None:
+        return nearest_to_prediction(model.transform(candidates))
+    return least_miss(model.missed(candidates), ends, metres)
 
 
 def rental_destinations(sightings: DataFrame, model: DestinationModel, roles: str = "literal", metres: str = "sphere") -> DataFrame:

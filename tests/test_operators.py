@@ -5,6 +5,7 @@ import io
 import math
 import pathlib
 import random
+import re
 import struct
 import tarfile
 
@@ -13,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetspark import session
+from fleetspark.functions import numbers
 from fleetspark.functions.clock import day_seconds
 from fleetspark.functions.geo import geodesic_m, haversine_km, swap_wkt_axes, vincenty_m
 from fleetspark.functions.numbers import decimals, half_even
@@ -338,6 +340,54 @@ def test_destinations_are_chosen_as_candidates_meet(spark, roles, metres):
     assert "min(_number" in plan and not any("SortAggregate" in line and "_number" in line for line in plan.splitlines())
 
 
+def test_one_condition_tests_distance_and_speed(spark):
+    """``_reach`` lets through what the rounded speed and the distance do, for every gap and around both limits."""
+    gaps = spark.range(-3, 1900).select(F.col("id").alias("time_diff"), F.explode(F.sequence(F.lit(0), F.lit(3100))).alias("distance"))
+    hours = F.nullif(F.col("time_diff"), F.lit(0)) / 3600
+    speed = F.round(F.col("distance") / 1000 / hours, 2)
+    near = (F.abs(F.col("distance") - 20 * F.col("time_diff") / 3.6) < 3) | F.col("distance").isin(0, 2999, 3000, 3001)
+    old = F.coalesce((F.col("distance") <= 3000) & (speed <= 20), F.lit(False))
+    judged = gaps.where(near).select(old.alias("old"), (F.col("distance") < rotating._reach(F.col("time_diff"))).alias("new"))
+    assert {(r.old, r.new) for r in judged.distinct().collect()} == {(True, True), (False, False)}
+
+
+def test_rounding_without_printing(spark):
+    rng = random.Random(6)
+    values = [x for k in range(-300, 300) for x in (k / 200, math.nextafter(k / 200, 9), math.nextafter(k / 200, -9))]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randrange(-9, 13) for _ in range(2000)]
+    values += [-0.0, 8.0095, 1.005, 20.005, math.nextafter(20.005, 0), 1e300, -1e300, math.nan, None]
+    df = spark.createDataFrame([(x,) for x in values], "x double").repartition(2)
+    for places in (2, 6):
+        both = numbers.with_rounded(df, "got", F.col("x"), places).withColumn("want", F.round("x", places))
+        assert both.where("NOT (got <=> want) OR string(got) <> string(want)").collect() == []
+        counted = numbers.with_units(df, "x", places, "units").where("abs(x) < 100")
+        assert counted.where(F.col("units").isNotNull()).count() > 1000
+        assert counted.where(F.col("units") != F.round(F.round("x", places) * 10**places)).count() == 0
+
+
+def test_judging_is_compiled_and_takes_each_length_once(spark):
+    """The generated method that meets and judges candidates stays below the size that is compiled to machine code."""
+    rng = random.Random(2)
+    grow = lambda depth: rng.uniform(0, .01) if not depth else [rng.randrange(10), rng.uniform(-2, 2), grow(depth - 1), grow(depth - 1)]
+    trees = [[(rng.uniform(0, 1), grow(4)) for _ in range(10)] for _ in range(2)]
+    model = rotating.DestinationModel([0.5] * 8, [1.5] * 8, *trees)
+    df = crowd(spark)
+    written = rotating.predict_destination(rotating.trip_candidates(rotating.rotating_pairs(df)), model)
+    chosen = rotating.rental_destinations(df, model)
+    assert rows(chosen) == rows(written) and written.count() > 50
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = rotating.rental_destinations(df, model)._jdf.queryExecution()
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        parts = [text.split("Generated code")[0].splitlines() for text in execution.explainString(mode).split("== Subtree ")]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    head, *plan = next(lines for lines in parts if len(lines) > 1 and "HashAggregate" in lines[1] and "partial_min(_number" in lines[1])
+    assert int(re.search(r"maxMethodCodeSize:(\d+)", head)[1]) < 8000
+    met = plan[:next(i for i, line in enumerate(plan) if "Join" in line) + 1]
+    assert sum("ASIN" in line and "_plat" not in line for line in met) == 1
+
+
 def test_many_trees_are_one_sum(spark):
     """Trees written out in one expression are too long a method to be compiled; their sum is that of the text."""
     rng = random.Random(2)
