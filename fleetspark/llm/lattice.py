@@ -35,7 +35,8 @@ PART = 1 << 12  # numbers or words of a column in one row
 PACKETS = """packet long, part int, ids array<long>, held array<boolean>, owner array<int>, word array<int>, times array<int>,
              words array<binary>, trained array<long>"""
 # Parquet looks at the size of its pages and row groups only after a hundred rows otherwise.
-SMALL_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(4 << 20)}
+SMALL_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(4 << 20),
+               "compression": "zstd"}
 
 
 def pack(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text") -> DataFrame:
