@@ -24,6 +24,7 @@ from fleetspark.operators.demand import demand_from_trips, first_last_sighting
 from fleetspark.operators.history import changes, ordered
 from fleetspark.operators.keys import asc, assign_ids, keep_first
 from fleetspark.operators.trips import trips_free_floating
+from fleetspark.plans.rotating import rotating_trips
 from fleetspark.sinks import tables, versions
 from fleetspark.sources import feeds, files, snapshots, transit as transit_files, weather as weather_files
 from registry import storage
@@ -365,27 +366,42 @@ def test_rounding_without_printing(spark):
         assert counted.where(F.col("units") != F.round(F.round("x", places) * 10**places)).count() == 0
 
 
-def test_judging_is_compiled_and_takes_each_length_once(spark):
-    """The generated method that meets and judges candidates stays below the size that is compiled to machine code."""
+def grown_model():
+    """As many trees, of the same depth, as a fitted model has."""
     rng = random.Random(2)
     grow = lambda depth: rng.uniform(0, .01) if not depth else [rng.randrange(10), rng.uniform(-2, 2), grow(depth - 1), grow(depth - 1)]
     trees = [[(rng.uniform(0, 1), grow(4)) for _ in range(10)] for _ in range(2)]
-    model = rotating.DestinationModel([0.5] * 8, [1.5] * 8, *trees)
-    df = crowd(spark)
-    written = rotating.predict_destination(rotating.trip_candidates(rotating.rotating_pairs(df)), model)
-    chosen = rotating.rental_destinations(df, model)
-    assert rows(chosen) == rows(written) and written.count() > 50
+    return rotating.DestinationModel([0.5] * 8, [1.5] * 8, *trees)
+
+
+def judged_by_compiled_code(spark, made):
+    """The generated method that meets and judges candidates stays below the size that is compiled to machine code, and no length is computed twice."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        execution = rotating.rental_destinations(df, model)._jdf.queryExecution()
         mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
-        parts = [text.split("Generated code")[0].splitlines() for text in execution.explainString(mode).split("== Subtree ")]
+        text = made()._jdf.queryExecution().explainString(mode)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+    parts = [part.split("Generated code")[0].splitlines() for part in text.split("== Subtree ")]
     head, *plan = next(lines for lines in parts if len(lines) > 1 and "HashAggregate" in lines[1] and "partial_min(_number" in lines[1])
-    assert int(re.search(r"maxMethodCodeSize:(\d+)", head)[1]) < 8000
     met = plan[:next(i for i, line in enumerate(plan) if "Join" in line) + 1]
-    assert sum("ASIN" in line and "_plat" not in line for line in met) == 1
+    return int(re.search(r"maxMethodCodeSize:(\d+)", head)[1]) < 8000 and sum("ASIN" in line and "_plat" not in line for line in met) == 1
+
+
+def test_destinations_are_judged_by_compiled_code(spark):
+    df, model = crowd(spark), grown_model()
+    written = rotating.predict_destination(rotating.trip_candidates(rotating.rotating_pairs(df)), model)
+    assert rows(rotating.rental_destinations(df, model)) == rows(written) and written.count() > 50
+    assert judged_by_compiled_code(spark, lambda: rotating.rental_destinations(df, model))
+
+
+def test_predicted_trips_are_judged_by_compiled_code(spark):
+    df, model = crowd(spark), grown_model()
+    places = assign_ids(df.select("lat", F.col("lon").alias("lng")), ["lat", "lng"], "location_id")
+    written = rotating.predict_destination(rotating.trip_candidates(rotating.rotating_pairs(df)), model)
+    made = rotating_trips(df, places, model, {"n": 1, "m": 2})
+    assert rows(made) == rows(rotating.as_trips(written, places, {"n": 1, "m": 2})) and made.where("location_id_lend IS NOT NULL").count() > 50
+    assert judged_by_compiled_code(spark, lambda: rotating_trips(df, places, model, {"n": 1, "m": 2}))
 
 
 def test_many_trees_are_one_sum(spark):
